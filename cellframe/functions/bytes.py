@@ -1,8 +1,9 @@
-"""Reading numbers and text out of a binary column with built-in functions."""
+"""Reading numbers and text out of binary values with built-in functions.
 
-from __future__ import annotations
+Each function takes and returns the text of a SQL expression.
+"""
 
-from pyspark.sql import Column, functions as F
+from __future__ import annotations
 
 # Number layout of transport files. One sign bit, a 7-bit base-16
 # exponent biased by 64, then 56 fraction bits.
@@ -15,58 +16,61 @@ MISSING_MARKS = "._ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 TEXT_ENCODINGS = ("UTF-8", "ISO-8859-1")
 
 
-def slice_bytes(content: Column, start: Column, size: Column) -> Column:
+def check_encoding(encoding: str) -> str:
+    if encoding.upper() not in TEXT_ENCODINGS:
+        raise ValueError(f"encoding must be one of {TEXT_ENCODINGS}, not {encoding!r}")
+    return encoding.upper()
+
+
+def slice_bytes(content: str, start: str | int, size: str | int) -> str:
     """``size`` bytes from the 0-based ``start``."""
-    return content.substr((start + 1).cast("int"), size.cast("int"))
+    first = str(start + 1) if isinstance(start, int) else f"CAST({start} + 1 AS INT)"
+    count = str(size) if isinstance(size, int) else f"CAST({size} AS INT)"
+    return f"substr({content}, {first}, {count})"
 
 
-def unsigned(b: Column) -> Column:
+def unsigned(b: str) -> str:
     """Big-endian unsigned integer of up to 7 bytes."""
-    return F.conv(F.hex(b), 16, 10).cast("bigint")
+    return f"CAST(conv(hex({b}), 16, 10) AS BIGINT)"
 
 
-def hex_float(b: Column) -> Column:
-    """A base-16 floating point number of 2 to 8 bytes; null for a missing mark."""
-    # A toBase below zero makes conv read 64 bits as signed, so the sign bit is the sign.
-    bits = F.conv(F.rpad(F.hex(b), 16, "0"), 16, -10).cast("bigint")
-    return hex_float_of_bits(bits)
+def hex_float_bits(b: str) -> str:
+    """The 64 bits of a base-16 number that may be cut to fewer bytes."""
+    # A target base below zero makes conv read 64 bits as signed, so the sign is kept.
+    return f"CAST(conv(rpad(hex({b}), 16, '0'), 16, -10) AS BIGINT)"
 
 
-def hex_float_of_bits(bits: Column) -> Column:
-    head = F.shiftrightunsigned(bits, _FRACTION_BITS).cast("int")
-    fraction = bits.bitwiseAND(F.lit(_FRACTION_MASK))
-    scale = F.element_at(
-        F.array(*[F.lit(16.0 ** (e - _EXPONENT_BIAS)) for e in range(128)]),
-        head.bitwiseAND(F.lit(127)) + 1,
-    )
-    marks = [ord(c) for c in MISSING_MARKS]
-    size = fraction.cast("double") * scale
+def hex_float(bits: str) -> str:
+    """The number that base-16 bits stand for; null for a missing mark."""
+    head = f"CAST(shiftrightunsigned({bits}, {_FRACTION_BITS}) AS INT)"
+    fraction = f"({bits} & {_FRACTION_MASK}L)"
+    scales = ", ".join(f"{16.0 ** (e - _EXPONENT_BIAS)!r}D" for e in range(128))
+    marks = ", ".join(str(ord(c)) for c in MISSING_MARKS)
+    size = f"CAST({fraction} AS DOUBLE) * element_at(array({scales}), ({head} & 127) + 1)"
     return (
-        F.when((fraction == 0) & head.isin(marks), F.lit(None).cast("double"))
-        .when(fraction == 0, F.lit(0.0))
-        .when(bits < 0, -size)
-        .otherwise(size)
+        f"CASE WHEN {fraction} = 0 THEN CASE WHEN {head} IN ({marks}) THEN NULL "
+        f"WHEN {bits} IS NOT NULL THEN 0D END WHEN {bits} < 0 THEN -({size}) ELSE {size} END"
     )
 
 
-def latin1(b: Column) -> Column:
+def latin1(b: str) -> str:
     """One character per byte; cannot fail."""
-    return F.decode(b, "ISO-8859-1")
+    return f"decode({b}, 'ISO-8859-1')"
 
 
-def fixed_text(b: Column, encoding: str = "UTF-8") -> Column:
+def fixed_text(b: str, encoding: str = "UTF-8") -> str:
     """Blank-padded text without its padding; null where the bytes are not valid text."""
-    if encoding.upper() == "ISO-8859-1":
-        return F.rtrim(latin1(b))
-    s = b.cast("string")
-    return F.when(F.is_valid_utf8(s), F.rtrim(s))
+    if check_encoding(encoding) == "ISO-8859-1":
+        return f"rtrim({latin1(b)})"
+    return f"CASE WHEN is_valid_utf8(CAST({b} AS STRING)) THEN rtrim(CAST({b} AS STRING)) END"
 
 
-def none_if_blank(s: Column) -> Column:
-    return F.when(F.length(s) > 0, s)
+def header_text(b: str, encoding: str = "UTF-8") -> str:
+    """The same for names and labels: bytes that are not valid are replaced."""
+    if check_encoding(encoding) == "ISO-8859-1":
+        return f"rtrim({latin1(b)})"
+    return f"rtrim(make_valid_utf8(CAST({b} AS STRING)))"
 
 
-def check_encoding(encoding: str) -> str:
-    if encoding.upper() not in TEXT_ENCODINGS:
-        raise ValueError(f"encoding must be one of {TEXT_ENCODINGS}, not {encoding!r}")
-    return encoding
+def none_if_blank(s: str) -> str:
+    return f"nullif({s}, '')"

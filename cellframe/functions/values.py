@@ -1,15 +1,14 @@
 """Scalar conversions: 1960-epoch numbers and typed Spark values to cell slots.
 
-Every function takes and returns Columns, never raises for a data value (ANSI
-mode is on in Spark 4, hence the range guards in front of each narrowing cast)
-and stays inside whole-stage code generation. NaN orders above every number, so
-a range guard also turns NaN, a missing number, into null.
+Each function takes and returns the text of a SQL expression, for ``F.expr`` and
+``selectExpr``: a whole conversion is then one call into the JVM. No conversion raises
+for a data value (ANSI mode is on in Spark 4, hence the range guard in front of each
+narrowing cast). NaN orders above every number, so a range guard also turns NaN, a
+missing number, into null.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 # The dataset epoch is 1960-01-01, 3653 days before 1970-01-01.
 EPOCH_DAYS = 3653
 SECONDS_PER_DAY = 86400
@@ -19,76 +18,67 @@ MIN_DAY, MAX_DAY = -715509, 2936549
 INT_MAX = 2**31 - 1
 
 
-def missing_to_null(v: Column) -> Column:
-    """NaN is a missing number, as null is."""
-    v = v.cast("double")
-    return F.when(~F.isnan(v), v)
+def text(v: str) -> str:
+    return f"CAST({v} AS STRING)"
 
 
-def text(v: Column) -> Column:
-    return v.cast("string")
+def double(v: str) -> str:
+    """A number; NaN is a missing number, as null is."""
+    return f"nanvl(CAST({v} AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def double(v: Column) -> Column:
-    return missing_to_null(v)
+def text_as_double(v: str) -> str:
+    """A number written as text; null where it is not one."""
+    return f"nanvl(try_cast({v} AS DOUBLE), CAST(NULL AS DOUBLE))"
 
 
-def text_as_double(v: Column) -> Column:
-    """A number written as text; null where it is not one."""
-    return missing_to_null(v.try_cast("double"))
+def _within(v: str, low: str, high: str) -> str:
+    d = f"CAST({v} AS DOUBLE)"
+    return f"CASE WHEN {d} {low}D AND {d} {high}D THEN {d} END"
 
 
-def days_to_date(v: Column) -> Column:
+def days_to_date(v: str) -> str:
     """Days since 1960-01-01, the fraction dropped; null outside years 1-9999."""
-    v = v.cast("double")
-    in_range = (v > MIN_DAY - 1) & (v < MAX_DAY + 1)
-    days = F.when(in_range, v).cast("int")
-    return F.date_add(F.lit("1960-01-01").cast("date"), days)
+    days = _within(v, f"> {MIN_DAY - 1}", f"< {MAX_DAY + 1}")
+    return f"date_add(DATE'1960-01-01', CAST({days} AS INT))"
 
 
-def seconds_to_time(v: Column) -> Column:
+def seconds_to_time(v: str) -> str:
     """Whole seconds, the fraction dropped; not wrapped at 24 hours."""
-    v = v.cast("double")
-    return F.when((v > -INT_MAX - 1) & (v < INT_MAX + 1), v).cast("int")
+    return f"CAST({_within(v, f'> {-INT_MAX - 1}', f'< {INT_MAX + 1}')} AS INT)"
 
 
-def time_text(seconds: Column) -> Column:
-    """``HH:mm:ss`` of a number of seconds; a leading ``-`` below zero, hours unbounded."""
+def time_text(seconds: str) -> str:
+    """``HH:mm:ss`` of whole seconds; a leading ``-`` below zero, hours unbounded."""
     # bigint first: abs(-2147483648) does not fit an int
-    whole = F.abs(seconds.cast("bigint"))
-    hours = F.floor(whole / 3600)
-
-    def two(n: Column) -> Column:
-        return F.lpad(n.cast("string"), 2, "0")
-
-    return F.concat(
-        F.when(seconds < 0, F.lit("-")).otherwise(F.lit("")),
-        F.when(hours < 100, two(hours)).otherwise(hours.cast("string")),
-        F.lit(":"),
-        two(F.floor(whole / 60) % 60),
-        F.lit(":"),
-        two(whole % 60),
+    whole = f"abs(CAST({seconds} AS BIGINT))"
+    hours = f"CAST({whole} div 3600 AS STRING)"
+    return (
+        f"concat(CASE WHEN {seconds} < 0 THEN '-' ELSE '' END, "
+        f"CASE WHEN {whole} < 360000 THEN lpad({hours}, 2, '0') ELSE {hours} END, ':', "
+        f"lpad(CAST({whole} div 60 % 60 AS STRING), 2, '0'), ':', "
+        f"lpad(CAST({whole} % 60 AS STRING), 2, '0'))"
     )
 
 
-def seconds_to_timestamp(v: Column) -> Column:
+def _in_calendar(v: str) -> str:
+    return _within(v, f">= {MIN_DAY * SECONDS_PER_DAY}", f"< {(MAX_DAY + 1) * SECONDS_PER_DAY}")
+
+
+def seconds_to_timestamp(v: str) -> str:
     """Seconds since 1960-01-01 00:00 UTC, to the nearest microsecond."""
-    v = v.cast("double")
-    in_range = (v >= MIN_DAY * SECONDS_PER_DAY) & (v < (MAX_DAY + 1) * SECONDS_PER_DAY)
+    whole = f"floor({_in_calendar(v)})"
     # Whole and fractional seconds apart: v * 1e6 as one double loses the last digits.
-    whole = F.floor(F.when(in_range, v))
-    micros = F.round((v - whole) * 1_000_000).cast("bigint")
-    return F.timestamp_micros((whole - EPOCH_SECONDS) * 1_000_000 + micros)
+    micros = f"CAST(round((CAST({v} AS DOUBLE) - {whole}) * 1000000) AS BIGINT)"
+    return f"timestamp_micros(({whole} - {EPOCH_SECONDS}) * 1000000 + {micros})"
 
 
-def seconds_to_time_of_day(v: Column) -> Column:
+def seconds_to_time_of_day(v: str) -> str:
     """Seconds since 1960-01-01 to second of the day, UTC; the date part is dropped."""
-    v = v.cast("double")
-    in_range = (v >= MIN_DAY * SECONDS_PER_DAY) & (v < (MAX_DAY + 1) * SECONDS_PER_DAY)
-    return F.pmod(F.floor(F.when(in_range, v)), F.lit(SECONDS_PER_DAY)).cast("int")
+    return f"CAST(pmod(floor({_in_calendar(v)}), {SECONDS_PER_DAY}) AS INT)"
 
 
-def timestamp_to_time_of_day(ts: Column) -> Column:
+def timestamp_to_time_of_day(v: str) -> str:
     """Second of the day of an instant, UTC."""
-    seconds = F.floor(F.unix_micros(ts.cast("timestamp")) / 1_000_000)
-    return F.pmod(seconds, F.lit(SECONDS_PER_DAY)).cast("int")
+    seconds = f"floor(unix_micros(CAST({v} AS TIMESTAMP)) / 1000000)"
+    return f"CAST(pmod({seconds}, {SECONDS_PER_DAY}) AS INT)"

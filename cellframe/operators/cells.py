@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from cellframe.functions import values as V
-from cellframe.functions.formats import FORMAT_PREFIXES
+from cellframe.functions.formats import FORMAT_PREFIXES, quoted
 from cellframe.operators.dictionary import ColumnInfo, describe
 from cellframe.operators.row_index import with_row_index
 from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform
@@ -70,35 +70,37 @@ def pivot(
     for slot in VALUE_SLOTS:
         held = [n for n, v in enumerate(values) if slot in v]
         if held:
-            arrays[slot] = F.array(*[values[n][slot] for n in held]).alias(f"_{slot}")
+            arrays[slot] = f"array({', '.join(values[n][slot] for n in held)}) AS _{slot}"
             places[slot] = {n: p for p, n in enumerate(held)}
 
-    count = len(infos)
-    exploded = df.select(path, row_index, *arrays.values()).select(
-        "*", F.explode(F.array(*[F.lit(n) for n in range(count)])).alias("_column")
+    numbers = range(len(infos))
+    exploded = df.selectExpr(path, row_index, *arrays.values()).selectExpr(
+        "*", f"explode(array({', '.join(map(str, numbers))})) AS _column"
     )
 
-    def lookup(entries: Sequence, dtype: str = "string") -> Column:
-        distinct = set(entries)
-        if len(distinct) == 1:
-            return F.lit(distinct.pop()).cast(dtype)
-        return F.get(F.array(*[F.lit(e).cast(dtype) for e in entries]), F.col("_column"))
+    def lookup(entries: Sequence[str]) -> str:
+        if len(set(entries)) == 1:
+            return entries[0]
+        return f"get(array({', '.join(entries)}), _column)"
 
-    def value(slot: str) -> Column:
-        at = [places[slot].get(n) for n in range(count)]
-        return F.get(F.col(f"_{slot}"), lookup(at, "int"))
+    def texts(entries: Iterable[str | None]) -> str:
+        return lookup(["CAST(NULL AS STRING)" if e is None else quoted(e) for e in entries])
+
+    def value(slot: str) -> str:
+        at = [str(places[slot].get(n, "CAST(NULL AS INT)")) for n in numbers]
+        return f"get(_{slot}, {lookup(at)})"
 
     return conform(
         exploded,
-        logical_path=F.col(path),
-        dataset_label=F.lit(dataset_label),
-        row_index=F.col(row_index),
-        column_index=F.col("_column"),
-        column_name=lookup([i.name for i in infos]),
-        column_label=lookup([i.label for i in infos]),
-        column_format=lookup([i.format for i in infos]),
-        data_type=lookup([i.data_type for i in infos]),
-        error_msg=lookup([_unsupported(i) for i in infos]),
+        logical_path=path,
+        dataset_label="NULL" if dataset_label is None else quoted(dataset_label),
+        row_index=row_index,
+        column_index="_column",
+        column_name=texts(i.name for i in infos),
+        column_label=texts(i.label for i in infos),
+        column_format=texts(i.format for i in infos),
+        data_type=texts(i.data_type for i in infos),
+        error_msg=texts(_unsupported(i) for i in infos),
         **{slot: value(slot) for slot in arrays},
     )
 
@@ -109,18 +111,18 @@ def _unsupported(info: ColumnInfo) -> str | None:
     return None
 
 
-def _slots(info: ColumnInfo) -> dict[str, Column]:
+def _slots(info: ColumnInfo) -> dict[str, str]:
     """The value slots a column fills, by its logical and physical type."""
-    v = F.col(f"`{info.name}`")
+    v = "`" + info.name.replace("`", "``") + "`"
     timed = isinstance(info.physical, (T.DateType, T.TimestampType, T.TimestampNTZType))
     if info.data_type == STRING:
         return {"value_string": V.text(v)}
     if info.data_type == DOUBLE:
         return {"value_double": V.double(v)}
     if info.data_type == DATE:
-        return {"value_date": v.cast("date") if timed else V.days_to_date(v)}
+        return {"value_date": f"CAST({v} AS DATE)" if timed else V.days_to_date(v)}
     if info.data_type == TIMESTAMP:
-        return {"value_timestamp": v.cast("timestamp") if timed else V.seconds_to_timestamp(v)}
+        return {"value_timestamp": f"CAST({v} AS TIMESTAMP)" if timed else V.seconds_to_timestamp(v)}
     if info.data_type == TIME:
         if timed:
             seconds = V.timestamp_to_time_of_day(v)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from cellframe.functions.formats import quoted
 from cellframe.schema import conform
 
 # The error texts of the output contract.
@@ -16,10 +17,9 @@ VALUE_FAILED = "Failed to get value: "
 TABLE_COUNT = "A single table in XPT-file is supported, found "
 
 
-def file_errors(df: DataFrame, message: str | Column) -> DataFrame:
-    """One error row per row of ``df``: path and message only."""
-    text = F.lit(message) if isinstance(message, str) else message
-    return conform(df, logical_path=F.col("logical_path"), error_msg=text)
+def file_errors(df: DataFrame, message: str) -> DataFrame:
+    """One error row per row of ``df``: its path and the message, a SQL expression."""
+    return conform(df, logical_path="logical_path", error_msg=message)
 
 
 def data_rows(cells: DataFrame) -> DataFrame:
@@ -38,4 +38,4 @@ def empty_datasets(datasets: DataFrame, cells: DataFrame) -> DataFrame:
     """
     seen = cells.select("logical_path").distinct()
     missing = datasets.select("logical_path").join(seen, "logical_path", "left_anti")
-    return file_errors(missing, EMPTY_DATASET)
+    return file_errors(missing, quoted(EMPTY_DATASET))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cellframe.functions.formats import quoted
 from cellframe.operators.errors import UNSUPPORTED_FILE, file_errors
 
 # The supported file name endings.
@@ -32,4 +33,4 @@ def unsupported_files(files: DataFrame) -> DataFrame:
     """Error rows for the other files; reads paths only, never their content."""
     path = F.col("logical_path")
     other = files.select("logical_path").filter(file_format(path).isNull() | path.isNull())
-    return file_errors(other, F.concat(F.lit(UNSUPPORTED_FILE), F.coalesce(path, F.lit(""))))
+    return file_errors(other, f"concat({quoted(UNSUPPORTED_FILE)}, coalesce(logical_path, ''))")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 FILE_SCHEMA = T.StructType(
@@ -39,15 +39,16 @@ VALUE_SLOTS = {
 STRING, DOUBLE, DATE, TIME, TIMESTAMP = "String", "Double", "Date", "Time", "Timestamp"
 
 
-def conform(df: DataFrame, **columns: Column) -> DataFrame:
-    """Select the 14 contract columns: the ones given, a typed null for the rest.
+def conform(df: DataFrame, **expressions: str) -> DataFrame:
+    """Select the 14 contract columns from SQL expressions; a typed null for the rest.
 
-    ``when(true, x)`` has no other effect than a nullable result type, which the
-    contract asks for; the optimizer reduces it to ``x``.
+    The ``CASE`` has no other effect than a nullable result type, which the contract
+    asks for; the optimizer reduces it to the value.
     """
-    return df.select(
+    return df.selectExpr(
         *[
-            F.when(F.lit(True), columns.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name)
+            f"CASE WHEN 1 = 1 THEN CAST({expressions.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) END"
+            f" AS {f.name}"
             for f in CELL_SCHEMA
         ]
     )

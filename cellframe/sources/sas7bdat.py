@@ -9,19 +9,21 @@ from __future__ import annotations
 
 import io
 import struct
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from cellframe.functions.bytes import none_if_blank, slice_bytes
 from cellframe.functions.formats import (
     FORMAT_PREFIXES,
+    Prefixes,
     format_text,
     is_time_of_day,
+    quoted,
     type_from_format,
 )
 from cellframe.operators.errors import EMPTY_DATASET, ROW_FAILED, SAS_FAILED
@@ -39,15 +41,35 @@ _HEAD_SIZE, _WIDE_AT, _SHIFT_AT, _ORDER_AT, _SIZES_AT = 288, 32, 35, 37, 196
 _DATA, _MIX, _META_KINDS = 0x0100, 0x0200, (0x0000, 0x4000)
 _ROW_FLAGS, _ROW_SORT = (0, 4), 1
 
-_LAYOUT = T.StructType.fromDDL(
-    "file_error string, head binary, page_size bigint, prefix_end bigint, prefix_rows bigint,"
-    " mixed_rows bigint, row_count bigint, range_rows array<bigint>,"
-    " columns array<struct<index:int,name:string,label:string,format_name:string,width:int,"
-    "decimals:int,text:boolean>>"
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, dtype) for name, dtype in fields.items()])
+
+
+_INT, _LONG, _TEXT = T.IntegerType(), T.LongType(), T.StringType()
+_LAYOUT = _struct(
+    file_error=_TEXT,
+    head=T.BinaryType(),
+    page_size=_LONG,
+    prefix_end=_LONG,
+    prefix_rows=_LONG,
+    mixed_rows=_LONG,
+    row_count=_LONG,
+    range_rows=T.ArrayType(_LONG),
+    columns=T.ArrayType(
+        _struct(
+            index=_INT, name=_TEXT, label=_TEXT, format_name=_TEXT, width=_INT, decimals=_INT, text=T.BooleanType()
+        )
+    ),
 )
-_BLOCK = T.StructType.fromDDL(
-    "logical_path string, error string, c struct<index:int,name:string,label:string,"
-    "format:string,text:boolean>, first_row bigint, numbers array<double>, texts array<string>"
+_BLOCK = _struct(
+    logical_path=_TEXT,
+    error=_TEXT,
+    c=_struct(index=_INT, name=_TEXT, label=_TEXT, format=_TEXT, text=T.BooleanType()),
+    first_row=_LONG,
+    numbers=T.ArrayType(T.DoubleType()),
+    texts=T.ArrayType(_TEXT),
 )
 
 
@@ -173,14 +195,14 @@ def _pages_per_range(page_size: int, range_bytes: int) -> int:
     return max(1, range_bytes // page_size)
 
 
-def _pages_per_range_column(range_bytes: int) -> Column:
-    return F.greatest(F.lit(1), F.floor(F.lit(range_bytes) / F.col("page_size")))
+def _range_size(range_bytes: int) -> str:
+    return f"(greatest(1L, {range_bytes} div page_size) * page_size)"
 
 
 def scan_sas7bdat(
     files: DataFrame,
     *,
-    prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
+    prefixes: Prefixes = FORMAT_PREFIXES,
     range_bytes: int = RANGE_BYTES,
     spread: bool = True,
 ) -> DataFrame:
@@ -191,36 +213,30 @@ def scan_sas7bdat(
         rows = [read_layout(io.BytesIO(c or b""), c or b"", range_bytes) for c in contents]
         return pd.DataFrame(rows, columns=_LAYOUT.names)
 
-    content = F.col("content")
-    laid = files.select("logical_path", "content", layout(content).alias("l")).select(
+    laid = files.select("logical_path", "content", layout("content").alias("l")).select(
         "logical_path", "content", "l.*"
     )
-    step = _pages_per_range_column(range_bytes) * F.col("page_size")
-    ranges = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("range_rows"), F.lit(1)) - 1),
-        lambda i: F.struct(
-            i.alias("range"),
-            F.aggregate(
-                F.slice(F.col("range_rows"), F.lit(1), i), F.lit(0).cast("bigint"), lambda n, r: n + r
-            ).alias("before"),
-            F.coalesce(F.get(F.col("range_rows"), i), F.lit(0)).alias("counted"),
-            slice_bytes(content, F.col("prefix_end") + i * step, step).alias("body"),
-        ),
+    step = _range_size(range_bytes)
+    ranges = (
+        "transform(sequence(0, greatest(size(range_rows), 1) - 1), i -> named_struct('range', CAST(i AS BIGINT), "
+        "'before', aggregate(slice(range_rows, 1, i), 0L, (n, r) -> n + r), "
+        "'counted', coalesce(get(range_rows, i), 0L), "
+        f"'body', {slice_bytes('content', f'prefix_end + i * {step}', step)}))"
     )
-    fine = laid.filter(F.col("file_error").isNull()).select(
+    fine = laid.filter("file_error IS NULL").selectExpr(
         "logical_path", "columns", "prefix_rows", "row_count",
-        slice_bytes(content, F.lit(0), F.col("prefix_end")).alias("prefix"), F.inline(ranges),
+        f"{slice_bytes('content', 0, 'prefix_end')} AS prefix", "CAST(NULL AS STRING) AS body_error",
+        f"inline({ranges})",
     )
-    bad = laid.filter(F.col("file_error").isNotNull())
     if spread:
         fine = fine.repartition("logical_path", "range")
-    return _cells_of(fine, bad, prefixes)
+    return _cells_of(fine, laid.filter("file_error IS NOT NULL"), prefixes)
 
 
 def scan_large_sas7bdat(
     listing: DataFrame,
     *,
-    prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
+    prefixes: Prefixes = FORMAT_PREFIXES,
     range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """The same for files given as (``logical_path``, ``length``) in a shared store."""
@@ -238,21 +254,17 @@ def scan_large_sas7bdat(
 
     @F.pandas_udf("bigint")
     def count_rows(heads: pd.Series, mixed: pd.Series, bodies: pd.Series) -> pd.Series:
-        return pd.Series(
-            [PageShape(h).rows_in(b, m) if b is not None else 0 for h, m, b in zip(heads, mixed, bodies)],
-            dtype="int64",
-        )
+        counts = [PageShape(h).rows_in(b, m) if b is not None else 0 for h, m, b in zip(heads, mixed, bodies)]
+        return pd.Series(counts, dtype="int64")
 
-    laid = listing.select(
-        "logical_path", "length", layout("logical_path").alias("l")
-    ).select("logical_path", "length", "l.*")
-    step = _pages_per_range_column(range_bytes) * F.col("page_size")
-    last = F.greatest(F.ceil((F.col("length") - F.col("prefix_end")) / step) - 1, F.lit(0))
+    laid = listing.select("logical_path", "length", layout("logical_path").alias("l")).select(
+        "logical_path", "length", "l.*"
+    )
+    step = _range_size(range_bytes)
     placed = (
-        laid.filter(F.col("file_error").isNull())
-        .withColumn("range", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .withColumn("offset", F.col("prefix_end") + F.col("range") * step)
-        .withColumn("size", step)
+        laid.filter("file_error IS NULL")
+        .selectExpr("*", f"explode(sequence(0L, greatest((length - prefix_end - 1) div {step}, 0L))) AS range")
+        .selectExpr("*", f"prefix_end + range * {step} AS offset", f"{step} AS size")
         .repartition("logical_path", "range")
     )
     # Rows per range, so that each range knows its first row; only counts are shuffled.
@@ -261,64 +273,51 @@ def scan_large_sas7bdat(
         .withColumn("counted", count_rows("head", "mixed_rows", "body"))
         .drop("body", "range_error", "head", "mixed_rows")
     )
-    earlier = Window.partitionBy("logical_path").orderBy("range").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    ranges = counted.withColumn(
-        "before", F.coalesce(F.sum("counted").over(earlier), F.lit(0))
+    ranges = counted.selectExpr(
+        "*",
+        "coalesce(sum(counted) OVER (PARTITION BY logical_path ORDER BY range "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS before",
     ).repartition("logical_path", "range")
-    bodies = read_ranges(ranges, "body").withColumnRenamed("range_error", "body_error")
-    whole = read_ranges(
-        bodies.withColumn("offset", F.lit(0).cast("bigint")).withColumn("size", F.col("prefix_end")),
-        "prefix",
-    ).withColumn("body_error", F.coalesce("body_error", "range_error"))
-    return _cells_of(whole, laid.filter(F.col("file_error").isNotNull()), prefixes)
-
-
-def _cells_of(ranges: DataFrame, bad: DataFrame, prefixes) -> DataFrame:
-    first = F.col("range") == 0
-    work = ranges.select(
-        "logical_path",
-        F.transform(
-            "columns",
-            lambda c: F.struct(
-                c["index"].alias("index"),
-                c["name"].alias("name"),
-                none_if_blank(c["label"]).alias("label"),
-                format_text(c["format_name"], c["width"], c["decimals"]).alias("format"),
-                c["text"].alias("text"),
-            ),
-        ).alias("columns"),
-        "prefix",
-        "body",
-        # The data page at the end of the metadata belongs to the first range.
-        F.when(first, F.lit(0)).otherwise(F.col("prefix_rows")).cast("bigint").alias("skip"),
-        F.when(first, F.lit(0)).otherwise(F.col("prefix_rows") + F.col("before")).cast("bigint").alias("first_row"),
-        (F.when(first, F.col("prefix_rows")).otherwise(F.lit(0)) + F.col("counted")).cast("bigint").alias("rows"),
-        F.col("row_count"),
-        (F.col("body_error") if "body_error" in ranges.columns else F.lit(None)).cast("string").alias("body_error"),
+    bodies = read_ranges(ranges, "body").selectExpr(
+        "* EXCEPT (offset, size, range_error)", "range_error AS first_error", "0L AS offset", "prefix_end AS size"
+    )
+    whole = read_ranges(bodies, "prefix").selectExpr("*", "coalesce(first_error, range_error) AS body_error")
+    return _cells_of(whole, laid.filter("file_error IS NOT NULL"), prefixes)
+
+
+def _cells_of(ranges: DataFrame, bad: DataFrame, prefixes: Prefixes) -> DataFrame:
+    columns = (
+        "transform(columns, p -> named_struct('index', p.index, 'name', p.name, "
+        f"'label', {none_if_blank('p.label')}, 'format', {format_text('p.format_name', 'p.width', 'p.decimals')}, "
+        "'text', p.text))"
+    )
+    # The data page at the end of the metadata belongs to the first range.
+    work = ranges.selectExpr(
+        "logical_path", f"{columns} AS columns", "prefix", "body", "row_count", "body_error",
+        "CASE WHEN range = 0 THEN 0L ELSE prefix_rows END AS skip",
+        "CASE WHEN range = 0 THEN 0L ELSE prefix_rows + before END AS first_row",
+        "CASE WHEN range = 0 THEN prefix_rows + counted ELSE counted END AS rows",
     )
     blocks = work.mapInArrow(_decode_ranges, _BLOCK)
-    errors = bad.select(
-        "logical_path", F.col("file_error").alias("error"),
-        *[F.lit(None).cast(_BLOCK[n].dataType).alias(n) for n in ("c", "first_row", "numbers", "texts")],
+    errors = bad.selectExpr(
+        "logical_path", "file_error AS error",
+        *[f"CAST(NULL AS {_BLOCK[n].dataType.simpleString()}) AS {n}" for n in ("c", "first_row", "numbers", "texts")],
     )
-    both = blocks.unionByName(errors)
-    fmt = F.col("c.format")
-    logical = F.when(F.col("c.text"), F.lit(STRING)).otherwise(type_from_format(fmt, F.lit(DOUBLE), prefixes))
-    typed = both.select(
+    logical = f"CASE WHEN c.text THEN {quoted(STRING)} ELSE {type_from_format('c.format', quoted(DOUBLE), prefixes)} END"
+    typed = blocks.unionByName(errors).selectExpr(
         "logical_path", "error", "first_row",
-        F.col("c").withField("type", logical).withField("time_of_day", is_time_of_day(fmt)).alias("c"),
-        F.coalesce(F.size("numbers"), F.size("texts")).alias("n_values"), "numbers", "texts",
+        "CASE WHEN c IS NOT NULL THEN named_struct('index', c.index, 'name', c.name, 'label', c.label, "
+        f"'format', c.format, 'type', {logical}, 'time_of_day', {is_time_of_day('c.format')}) END AS c",
+        # arrays_zip of a null array is null; of an empty one it is padded with nulls
+        "coalesce(numbers, CAST(array() AS ARRAY<DOUBLE>)) AS numbers",
+        "coalesce(texts, CAST(array() AS ARRAY<STRING>)) AS texts",
     )
-    values = typed.select(
-        "logical_path", "error", "first_row", "c",
-        F.posexplode_outer(F.arrays_zip("numbers", "texts")).alias("n", "v"),
+    values = typed.selectExpr(
+        "logical_path", "error", "first_row", "c", "posexplode_outer(arrays_zip(numbers, texts)) AS (n, v)"
     )
-    raw = values.select(
-        "logical_path", "error", F.lit(None).cast("string").alias("dataset_label"),
-        (F.col("first_row") + F.col("n")).alias("row"), "c",
-        F.col("v.numbers").alias("number"), F.col("v.texts").alias("text"),
+    raw = values.selectExpr(
+        "logical_path", "error", "CAST(NULL AS STRING) AS dataset_label", "first_row + n AS row", "c",
+        "v.numbers AS number", "v.texts AS text",
     )
     return typed_cells(raw)
 

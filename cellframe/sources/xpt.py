@@ -1,21 +1,21 @@
-"""Transport (``.xpt``) files decoded with built-in functions only.
+"""Transport (``.xpt``) files decoded with built-in SQL functions only.
 
-The layout is the public transport record layout: 80-byte header records, one
-fixed-size descriptor per column, then fixed-size records padded with blanks to a
+The layout is the public transport record layout: 80-byte header records ("cards"),
+one fixed-size descriptor per column, then fixed-size records padded with blanks to a
 multiple of 80. Positions below are 0-based byte offsets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cellframe.functions import values as V
 from cellframe.functions.bytes import (
     check_encoding,
     fixed_text,
-    hex_float_of_bits,
+    header_text,
+    hex_float,
+    hex_float_bits,
     latin1,
     none_if_blank,
     slice_bytes,
@@ -23,8 +23,10 @@ from cellframe.functions.bytes import (
 )
 from cellframe.functions.formats import (
     FORMAT_PREFIXES,
+    Prefixes,
     format_text,
     is_time_of_day,
+    quoted,
     type_from_format,
 )
 from cellframe.operators.errors import (
@@ -43,22 +45,27 @@ MEMBER_AT, MEMBER_NAME_AT, LABEL_AT, COUNT_AT, COLUMNS_AT = 240, 408, 512, 614,
 DESCRIPTOR_SIZE_AT = MEMBER_AT + 74
 TEXT_KIND = 2
 
+CHUNK_BYTES = 4 << 20
+LARGE_CHUNK_BYTES = 32 << 20
+INT_MAX = 2**31 - 1
 
-def _card(name: str) -> Column:
-    return F.lit(f"HEADER RECORD*******{name:<8}HEADER RECORD!!!!!!!".encode("ascii"))
+_NO_NAMES = "CAST(array() AS ARRAY<STRING>)"
 
 
-LIBRARY, MEMBER, DESCRIPTORS, RECORDS = "LIBRARY", "MEMBER", "NAMESTR", "OBS"
+def _card(name: str) -> str:
+    text = f"HEADER RECORD*******{name:<8}HEADER RECORD!!!!!!!"
+    return f"X'{text.encode('ascii').hex()}'"
 
-CHUNK_BYTES = 4 << 20
-INT_MAX = 2**31 - 1
+
+def _is_card(at: str | int, name: str, content: str = "head") -> str:
+    return f"coalesce({slice_bytes(content, at, 48)} = {_card(name)}, false)"
 
 
 def scan_xpt(
     files: DataFrame,
     *,
     encoding: str = "UTF-8",
-    prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
+    prefixes: Prefixes = FORMAT_PREFIXES,
     chunk_bytes: int = CHUNK_BYTES,
     spread: bool = True,
 ) -> DataFrame:
@@ -67,30 +74,20 @@ def scan_xpt(
     A file is cut into chunks of whole records before its bytes grow into cells.
     ``spread`` shuffles the chunks, so that one large file is decoded by many tasks.
     """
-    content = F.col("content")
-    heads = read_headers(
-        files.select(
-            "logical_path",
-            content,
-            content.alias("head"),
-            F.col("content").substr(F.greatest(F.length(content) - CARD + 1, F.lit(1)), F.lit(CARD)).alias("tail"),
-            F.length(content).cast("bigint").alias("file_length"),
-        ),
-        encoding,
-        prefixes,
+    heads = read_headers(_whole_heads(files, "content"), encoding, prefixes)
+    later = slice_bytes("content", "records_at", "file_length - records_at")
+    more = f"CASE WHEN contains(later, {_card('MEMBER')}) THEN {_member_names('later')} END"
+    heads = (
+        heads.selectExpr("*", f"CASE WHEN file_error IS NULL THEN {later} END AS later")
+        .selectExpr("*", f"coalesce({more}, {_NO_NAMES}) AS extra")
+        .selectExpr("* EXCEPT (file_error, later)", f"coalesce(file_error, {_table_count_error()}) AS file_error")
     )
-    later = slice_bytes(content, F.col("records_at"), F.col("file_length") - F.col("records_at"))
-    extra = F.when(
-        F.col("file_error").isNull() & later.contains(_card(MEMBER)), _member_names(later)
-    ).otherwise(F.array().cast("array<string>"))
-    heads = heads.withColumn("file_error", F.coalesce("file_error", _table_count_error(extra)))
-
-    ranges = F.transform(
-        _chunk_ranges(chunk_bytes),
-        lambda c: c.withField("bytes", slice_bytes(content, c["offset"], c["size"])),
+    with_bytes = (
+        f"transform({_chunk_ranges(chunk_bytes)}, c -> named_struct('first_row', c.first_row, 'rows', c.rows, "
+        f"'error', c.error, 'bytes', {slice_bytes('content', 'c.offset', 'c.size')}))"
     )
-    chunks = heads.select(
-        "logical_path", "dataset_label", "columns", "record_size", F.inline(ranges)
+    chunks = heads.selectExpr(
+        "logical_path", "dataset_label", "columns", "record_size", f"inline({with_bytes})"
     )
     if spread:
         chunks = chunks.repartition("logical_path", "first_row")
@@ -101,163 +98,172 @@ def scan_large_xpt(
     listing: DataFrame,
     *,
     encoding: str = "UTF-8",
-    prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
-    chunk_bytes: int = 32 << 20,
+    prefixes: Prefixes = FORMAT_PREFIXES,
+    chunk_bytes: int = LARGE_CHUNK_BYTES,
 ) -> DataFrame:
     """The same for files given as (``logical_path``, ``length``) in a shared store.
 
     Reads a file's header, then hands out byte ranges, so a file of any size is
     decoded by as many tasks as it has chunks and its content never sits in one row.
     """
-    files = listing.select("logical_path", F.col("length").alias("file_length"))
-
-    def fetch(df: DataFrame, at: Column, size: Column, name: str) -> DataFrame:
-        placed = df.withColumn("offset", at.cast("bigint")).withColumn("size", size.cast("bigint"))
-        got = read_ranges(placed, name)
-        error = F.concat(F.lit(XPT_FAILED), F.col("range_error"))
-        if "range_failure" in df.columns:
-            error = F.coalesce("range_failure", error)
-        return got.withColumn("range_failure", error).drop("offset", "size", "range_error")
-
-    first = fetch(files, F.lit(0), F.lit(COLUMNS_AT), "head")
-    head_size = _column_part_end(_descriptor_size(), _column_count()) + CARD
-    safe = F.when(head_size < F.col("file_length"), head_size).otherwise(F.lit(COLUMNS_AT))
-    wide = fetch(
-        first.select("logical_path", "file_length", "range_failure", F.coalesce(safe, F.lit(COLUMNS_AT)).alias("n")),
-        F.lit(0), F.col("n"), "head",
-    ).drop("n")
-    both = fetch(wide, F.greatest(F.col("file_length") - CARD, F.lit(0)), F.lit(CARD), "tail")
-    heads = read_headers(both, encoding, prefixes)
+    files = listing.selectExpr("logical_path", "length AS file_length", "CAST(NULL AS STRING) AS failure")
+
+    def fetch(df: DataFrame, at: str, size: str, name: str) -> DataFrame:
+        placed = df.selectExpr("*", f"CAST({at} AS BIGINT) AS offset", f"CAST({size} AS BIGINT) AS size")
+        return read_ranges(placed, name).selectExpr(
+            "* EXCEPT (offset, size, failure, range_error)",
+            f"coalesce(failure, {quoted(XPT_FAILED)} || range_error) AS failure",
+        )
+
+    first = fetch(files, "0", str(COLUMNS_AT), "head")
+    end = f"{_records_card()} + {CARD}"
+    sized = first.selectExpr(
+        "logical_path", "file_length", "failure",
+        f"CASE WHEN {end} <= file_length THEN {end} ELSE {COLUMNS_AT} END AS n",
+    )
+    whole = fetch(sized, "0", f"coalesce(n, {COLUMNS_AT})", "head").drop("n")
+    heads = read_headers(
+        fetch(whole, f"greatest(file_length - {CARD}, 0)", str(CARD), "tail"), encoding, prefixes
+    )
     # Later members can only be found by looking: one pass over the record bytes,
-    # reduced to one flag per range before anything is shuffled.
-    ok = heads.filter(F.col("file_error").isNull())
-    looked = read_ranges(_spread_ranges(ok.select("logical_path", F.inline(_chunk_ranges(chunk_bytes)))))
-    later = (
-        looked.filter(F.col("bytes").contains(_card(MEMBER)))
-        .select("logical_path", F.explode(_member_names(F.col("bytes"))).alias("name"))
+    # reduced to the names found, almost always none, before anything is shuffled.
+    ranges = f"inline({_chunk_ranges(chunk_bytes)})"
+    looked = read_ranges(
+        heads.filter("file_error IS NULL").selectExpr("logical_path", ranges).repartition("logical_path", "first_row")
+    )
+    extra = (
+        looked.filter(f"contains(bytes, {_card('MEMBER')})")
+        .selectExpr("logical_path", f"explode({_member_names('bytes')}) AS name")
         .groupBy("logical_path")
-        .agg(F.sort_array(F.collect_list("name")).alias("extra"))
+        .agg({"name": "collect_list"})
+        .toDF("logical_path", "names")
+        .selectExpr("logical_path", "sort_array(names) AS extra")
     )
-    heads = heads.join(later, "logical_path", "left").withColumn(
-        "file_error",
-        F.coalesce("file_error", _table_count_error(F.coalesce("extra", F.array().cast("array<string>")))),
+    heads = (
+        heads.join(extra, "logical_path", "left")
+        .selectExpr("* EXCEPT (extra)", f"coalesce(extra, {_NO_NAMES}) AS extra")
+        .selectExpr("* EXCEPT (file_error)", f"coalesce(file_error, {_table_count_error()}) AS file_error")
     )
-    ranges = heads.select(
-        "logical_path", "dataset_label", "columns", "record_size", F.inline(_chunk_ranges(chunk_bytes))
+    spread = heads.selectExpr("logical_path", "dataset_label", "columns", "record_size", ranges).repartition(
+        "logical_path", "first_row"
     )
-    chunks = read_ranges(_spread_ranges(ranges))
-    failed = F.concat(F.lit(ROW_FAILED), F.col("range_error"))
-    chunks = chunks.withColumn("error", F.coalesce("error", failed)).withColumn(
-        "rows", F.when(F.col("error").isNull(), F.col("rows")).otherwise(F.lit(0))
+    chunks = (
+        read_ranges(spread)
+        .selectExpr(
+            "* EXCEPT (error, range_error)", f"coalesce(error, {quoted(ROW_FAILED)} || range_error) AS error"
+        )
+        .selectExpr("* EXCEPT (rows)", "CASE WHEN error IS NULL THEN rows ELSE 0 END AS rows")
     )
-    return decode_records(chunks.drop("range_error"), encoding)
+    return decode_records(chunks, encoding)
 
 
-def _spread_ranges(ranges: DataFrame) -> DataFrame:
-    return ranges.repartition("logical_path", "first_row")
+def dictionary(files: DataFrame, encoding: str = "UTF-8", prefixes: Prefixes = FORMAT_PREFIXES) -> DataFrame:
+    """The column dictionary of each readable file; record bytes are not decoded."""
+    heads = read_headers(_whole_heads(files), encoding, prefixes)
+    return heads.selectExpr("logical_path", "dataset_label", "inline(columns)").selectExpr(
+        "logical_path", "dataset_label", "index AS column_index", "name AS column_name",
+        "label AS column_label", "format AS column_format", "type AS data_type",
+    )
 
 
 # --- headers -----------------------------------------------------------------
 
 
-def _ascii_int(b: Column) -> Column:
-    return F.trim(latin1(b)).try_cast("int")
-
+def _whole_heads(files: DataFrame, *kept: str) -> DataFrame:
+    return files.selectExpr(
+        "logical_path", *kept, "content AS head", f"substr(content, greatest(length(content) - {CARD - 1}, 1)) AS tail",
+        "CAST(length(content) AS BIGINT) AS file_length", "CAST(NULL AS STRING) AS failure",
+    )
 
-def _column_count() -> Column:
-    return _ascii_int(slice_bytes(F.col("head"), F.lit(COUNT_AT), F.lit(4)))
 
+def _ascii_int(at: int) -> str:
+    return f"try_cast(trim({latin1(slice_bytes('head', at, 4))}) AS INT)"
 
-def _descriptor_size() -> Column:
-    return _ascii_int(slice_bytes(F.col("head"), F.lit(DESCRIPTOR_SIZE_AT), F.lit(4)))
 
+def _records_card(size: str | None = None, count: str | None = None) -> str:
+    """Where the card in front of the records is: behind the descriptors, padded."""
+    end = f"({COLUMNS_AT} + {size or _ascii_int(DESCRIPTOR_SIZE_AT)} * {count or _ascii_int(COUNT_AT)})"
+    return f"(({end} + {CARD - 1}) div {CARD} * {CARD})"
 
-def _column_part_end(size: Column, count: Column) -> Column:
-    end = F.lit(COLUMNS_AT) + size * count
-    return F.ceil(end / CARD) * CARD
 
+def read_headers(files: DataFrame, encoding: str, prefixes: Prefixes) -> DataFrame:
+    """Add label, columns, record layout and ``file_error`` to (head, tail, file_length).
 
-def read_headers(files: DataFrame, encoding: str = "UTF-8", prefixes=FORMAT_PREFIXES) -> DataFrame:
-    """Add label, columns, record layout and ``file_error`` to (head, tail, file_length)."""
+    ``failure`` says why a file could not be fetched. Nothing here depends on the
+    number of records, so it is one small row per file.
+    """
     check_encoding(encoding)
-    head = F.col("head")
-
-    def is_card(at: Column | int, name: str) -> Column:
-        at = F.lit(at) if isinstance(at, int) else at
-        found = slice_bytes(head, at, F.lit(48)) == _card(name)
-        return F.coalesce(found, F.lit(False))
-
-    sized = files.withColumn("descriptor_size", _descriptor_size()).withColumn(
-        "column_count", _column_count()
+    sized = files.selectExpr(
+        "*", f"{_ascii_int(DESCRIPTOR_SIZE_AT)} AS descriptor_size", f"{_ascii_int(COUNT_AT)} AS column_count"
+    ).selectExpr(
+        "* EXCEPT (descriptor_size, column_count)",
+        "CASE WHEN descriptor_size BETWEEN 88 AND 200 THEN descriptor_size END AS descriptor_size",
+        "CASE WHEN column_count BETWEEN 0 AND 9999 THEN column_count END AS column_count",
+    )
+    card_at = _records_card("descriptor_size", "column_count")
+    reasons = [
+        ("head IS NULL", "no content"),
+        (f"NOT {_is_card(0, 'LIBRARY')}", "not a transport file"),
+        (f"file_length <= {MEMBER_AT}", f"{TABLE_COUNT}0: "),
+        (f"NOT {_is_card(MEMBER_AT, 'MEMBER')}", "no member header"),
+        (f"NOT {_is_card(COLUMNS_AT - CARD, 'NAMESTR')}", "no column descriptors"),
+        ("descriptor_size IS NULL OR column_count IS NULL", "bad column count"),
+        (f"NOT {_is_card(card_at, 'OBS')}", "no observation header"),
+    ]
+    refused = " ".join(f"WHEN {test} THEN {quoted(XPT_FAILED + why)}" for test, why in reasons)
+    checked = sized.selectExpr(
+        "*", f"CAST({card_at} + {CARD} AS BIGINT) AS records_at",
+        f"CASE WHEN failure IS NOT NULL THEN failure {refused} END AS file_error",
     )
-    records_card = _column_part_end(F.col("descriptor_size"), F.col("column_count"))
-    sane = F.col("descriptor_size").between(88, 200) & F.col("column_count").between(0, 9999)
-    refused = (
-        (F.when(F.col("range_failure").isNotNull(), F.col("range_failure")) if "range_failure" in files.columns else F)
-        .when(head.isNull(), F.lit(XPT_FAILED + "no content"))
-        .when(~is_card(0, LIBRARY), F.lit(XPT_FAILED + "not a transport file"))
-        .when(F.col("file_length") <= MEMBER_AT, F.lit(f"{XPT_FAILED}{TABLE_COUNT}0: "))
-        .when(~is_card(MEMBER_AT, MEMBER), F.lit(XPT_FAILED + "no member header"))
-        .when(~is_card(COLUMNS_AT - CARD, DESCRIPTORS), F.lit(XPT_FAILED + "no column descriptors"))
-        .when(~F.coalesce(sane, F.lit(False)), F.lit(XPT_FAILED + "bad column count"))
-        .when(~is_card(records_card, RECORDS), F.lit(XPT_FAILED + "no observation header"))
+    label = none_if_blank(header_text(slice_bytes("head", LABEL_AT, 40), encoding))
+    described = checked.selectExpr(
+        "*",
+        f"CASE WHEN file_error IS NULL AND column_count > 0 THEN {_columns(encoding, prefixes)} END AS columns",
+        f"CASE WHEN file_error IS NULL THEN {label} END AS dataset_label",
+        f"{header_text(slice_bytes('head', MEMBER_NAME_AT, 8), encoding)} AS first_name",
+    ).selectExpr("*", "aggregate(columns, 0L, (n, c) -> n + c.size) AS record_size")
+    misplaced = (
+        f"exists(columns, c -> c.size < 1 OR c.at + c.size > record_size OR "
+        f"(c.kind <> {TEXT_KIND} AND c.size NOT BETWEEN 2 AND 8))"
     )
-    checked = sized.withColumn("file_error", refused).withColumn("records_at", records_card + CARD)
-
-    fine = F.col("file_error").isNull()
-    described = checked.withColumn(
-        "columns", F.when(fine & (F.col("column_count") > 0), _columns(head, encoding, prefixes))
-    ).withColumn(
-        "dataset_label",
-        F.when(fine, none_if_blank(_header_text(slice_bytes(head, F.lit(LABEL_AT), F.lit(40)), encoding))),
-    ).withColumn("first_name", _header_text(slice_bytes(head, F.lit(MEMBER_NAME_AT), F.lit(8)), encoding))
-    laid_out = described.withColumn(
-        "record_size",
-        F.aggregate(F.coalesce("columns", F.array().cast(described.schema["columns"].dataType)),
-                    F.lit(0).cast("bigint"), lambda n, c: n + c["size"]),
+    laid_out = described.selectExpr(
+        "* EXCEPT (head, file_error, failure, descriptor_size, column_count)",
+        f"CASE WHEN file_error IS NOT NULL THEN file_error WHEN {misplaced} "
+        f"THEN {quoted(XPT_FAILED + 'bad column descriptors')} END AS file_error",
     )
-    fits = F.forall("columns", lambda c: (c["size"] > 0) & (c["at"] + c["size"] <= F.col("record_size")))
-    readable = F.forall("columns", lambda c: (c["kind"] == TEXT_KIND) | c["size"].between(2, 8))
-    bad_layout = F.when(fine & F.col("columns").isNotNull() & ~(fits & readable), F.lit(XPT_FAILED + "bad column descriptors"))
-    return _count_records(laid_out.withColumn("file_error", F.coalesce("file_error", bad_layout)))
-
-
-def _header_text(b: Column, encoding: str) -> Column:
-    if encoding.upper() == "ISO-8859-1":
-        return F.rtrim(latin1(b))
-    return F.rtrim(F.make_valid_utf8(b.cast("string")))
+    return _count_records(laid_out)
 
 
-def _columns(head: Column, encoding: str, prefixes) -> Column:
-    """The column dictionary: one struct per descriptor."""
-    size = F.col("descriptor_size")
-    raw = F.transform(
-        F.sequence(F.lit(0), F.col("column_count") - 1),
-        lambda i: slice_bytes(head, F.lit(COLUMNS_AT) + i * size, size),
-    )
+def _columns(encoding: str, prefixes: Prefixes) -> str:
+    """The column dictionary: an array of one struct per descriptor."""
 
-    def part(d: Column, at: int, n: int) -> Column:
-        return slice_bytes(d, F.lit(at), F.lit(n))
-
-    def describe(d: Column, i: Column) -> Column:
-        return F.struct(
-            i.cast("int").alias("index"),
-            _header_text(part(d, 8, 8), encoding).alias("name"),
-            none_if_blank(_header_text(part(d, 16, 40), encoding)).alias("label"),
-            format_text(
-                _header_text(part(d, 56, 8), encoding), unsigned(part(d, 64, 2)), unsigned(part(d, 66, 2))
-            ).alias("format"),
-            unsigned(part(d, 0, 2)).cast("int").alias("kind"),
-            unsigned(part(d, 4, 2)).cast("int").alias("size"),
-            unsigned(part(d, 84, 4)).alias("at"),
-        )
+    def part(at: int, size: int) -> str:
+        return slice_bytes("d", at, size)
 
-    def typed(c: Column) -> Column:
-        of_number = type_from_format(c["format"], F.lit(DOUBLE), prefixes)
-        logical = F.when(c["kind"] == TEXT_KIND, F.lit(STRING)).otherwise(of_number)
-        return c.withField("type", logical).withField("time_of_day", is_time_of_day(c["format"]))
+    def text(at: int, size: int) -> str:
+        return header_text(part(at, size), encoding)
 
-    return F.transform(F.transform(raw, describe), typed)
+    raw = (
+        "transform(sequence(0, column_count - 1), i -> "
+        f"{slice_bytes('head', f'{COLUMNS_AT} + i * descriptor_size', 'descriptor_size')})"
+    )
+    parts = (
+        f"transform({raw}, (d, i) -> named_struct('index', i, 'name', {text(8, 8)}, "
+        f"'label', {none_if_blank(text(16, 40))}, 'format_name', {text(56, 8)}, "
+        f"'width', {unsigned(part(64, 2))}, 'decimals', {unsigned(part(66, 2))}, "
+        f"'kind', {unsigned(part(0, 2))}, 'size', {unsigned(part(4, 2))}, 'at', {unsigned(part(84, 4))}))"
+    )
+    written = (
+        f"transform({parts}, p -> named_struct('index', p.index, 'name', p.name, 'label', p.label, "
+        f"'format', {format_text('p.format_name', 'p.width', 'p.decimals')}, 'kind', p.kind, 'size', p.size, "
+        f"'at', p.at))"
+    )
+    number = type_from_format("p.format", quoted(DOUBLE), prefixes)
+    return (
+        f"transform({written}, p -> named_struct('index', p.index, 'name', p.name, 'label', p.label, "
+        f"'format', p.format, 'type', CASE WHEN p.kind = {TEXT_KIND} THEN {quoted(STRING)} ELSE {number} END, "
+        f"'time_of_day', {is_time_of_day('p.format')}, 'kind', p.kind, 'size', p.size, 'at', p.at))"
+    )
 
 
 def _count_records(heads: DataFrame) -> DataFrame:
@@ -266,170 +272,126 @@ def _count_records(heads: DataFrame) -> DataFrame:
     Padding fills the last 80 bytes, so all-blank records within the last 79 bytes
     are padding, and what is left behind the last whole record must be blank.
     """
-    size = F.when(F.col("record_size") > 0, F.col("record_size"))
-    data = F.when(F.col("file_error").isNull(), F.greatest(F.col("file_length") - F.col("records_at"), F.lit(0)))
-    tail = latin1(F.col("tail"))
-    blanks = F.least(F.length(tail) - F.length(F.rtrim(tail)), F.lit(CARD - 1), data)
-    touched = F.ceil((data - blanks) / size)
-    whole = F.floor(data / size)
-    at_least = F.greatest(F.floor((data - CARD) / size) + 1, F.lit(0))
+    data = "CASE WHEN file_error IS NULL THEN greatest(file_length - records_at, 0L) END AS data"
+    tail = latin1("tail")
     return (
-        heads.withColumn("rows", F.coalesce(F.least(whole, F.greatest(touched, at_least)), F.lit(0)))
-        .withColumn("cut_short", F.coalesce(touched > whole, F.lit(False)))
-        .withColumn(
-            "file_error",
-            F.coalesce(
-                "file_error",
-                F.when((F.col("rows") == 0) & ~F.col("cut_short"), F.lit(EMPTY_DATASET)).when(
-                    F.col("rows") > INT_MAX, F.lit(ROW_FAILED + "more rows than row_index can number")
-                ),
-            ),
+        heads.selectExpr("*", data, "nullif(record_size, 0L) AS step")
+        .selectExpr("*", f"data - least(length({tail}) - length(rtrim({tail})), {CARD - 1}, data) AS used")
+        .selectExpr(
+            "*", "(used + step - 1) div step AS touched", "data div step AS whole",
+            # the least number of records whose padding is less than a card
+            f"CASE WHEN data >= {CARD} THEN (data - {CARD}) div step + 1 ELSE 0L END AS least_rows",
+        )
+        .selectExpr(
+            "* EXCEPT (tail, data, step, used, touched, whole, least_rows)",
+            "coalesce(least(whole, greatest(touched, least_rows)), 0L) AS rows",
+            "coalesce(touched > whole, false) AS cut_short",
+        )
+        .selectExpr(
+            "* EXCEPT (file_error)",
+            f"CASE WHEN file_error IS NOT NULL THEN file_error "
+            f"WHEN rows = 0 AND NOT cut_short THEN {quoted(EMPTY_DATASET)} WHEN rows > {INT_MAX} "
+            f"THEN {quoted(ROW_FAILED + 'more rows than row_index can number')} END AS file_error",
         )
-        .drop("tail")
     )
 
 
-def _member_names(b: Column) -> Column:
+def _member_names(b: str) -> str:
     """Names of the members whose header starts at a card boundary of ``b``."""
-    cards = F.sequence(F.lit(0), F.greatest(F.floor(F.length(b) / CARD).cast("int") - 1, F.lit(0)))
-    found = F.filter(cards, lambda i: slice_bytes(b, i * CARD, F.lit(48)) == _card(MEMBER))
-    name_at = MEMBER_NAME_AT - MEMBER_AT
-    return F.transform(
-        found,
-        lambda i: F.rtrim(latin1(slice_bytes(b, i * CARD + name_at, F.lit(8)))),
-    )
+    cards = f"sequence(0, CAST(greatest(length({b}) div {CARD} - 1, 0L) AS INT))"
+    name = slice_bytes(b, f"i * {CARD} + {MEMBER_NAME_AT - MEMBER_AT}", 8)
+    return f"transform(filter({cards}, i -> {_is_card(f'i * {CARD}', 'MEMBER', b)}), i -> rtrim({latin1(name)}))"
 
 
-def _table_count_error(extra: Column) -> Column:
-    names = F.concat_ws(", ", F.array(F.col("first_name")), extra)
-    found = F.concat(F.lit(XPT_FAILED + TABLE_COUNT), (F.size(extra) + 1).cast("string"), F.lit(": "), names)
-    return F.when(F.size(extra) > 0, found)
+def _table_count_error() -> str:
+    return (
+        f"CASE WHEN size(extra) > 0 THEN concat({quoted(XPT_FAILED + TABLE_COUNT)}, "
+        "CAST(size(extra) + 1 AS STRING), ': ', concat_ws(', ', array(first_name), extra)) END"
+    )
 
 
-def _chunk_ranges(chunk_bytes: int) -> Column:
+def _chunk_ranges(chunk_bytes: int) -> str:
     """Ranges of whole records; a file error is a range of its own, and so is a cut end.
 
-    A range is a multiple of both record and card size where that is within reach, so
-    a card never straddles two ranges.
+    A range is a multiple of both record and card size, so a card never straddles two.
     """
-    size, rows = F.col("record_size"), F.col("rows")
-    step = F.greatest(F.lit(1), F.floor(F.lit(chunk_bytes) / size / CARD)) * CARD
-
-    def one(i: Column) -> Column:
-        first = i * step
-        n = F.least(step, rows - first)
-        return _range(first, n, F.col("records_at") + first * size, n * size, F.lit(None))
-
-    nothing = F.lit(0).cast("bigint")
-
-    def failed(message: Column) -> Column:
-        return F.array(_range(F.lit(-1).cast("bigint"), nothing, nothing, nothing, message))
-
-    whole = F.transform(F.sequence(nothing, F.ceil(rows / step) - 1), one)
-    cut = failed(F.lit(ROW_FAILED + "the file ends inside a record"))
-    return (
-        F.when(F.col("file_error").isNotNull(), failed(F.col("file_error")))
-        .when(F.col("cut_short") & (rows == 0), cut)
-        .when(F.col("cut_short"), F.concat(whole, cut))
-        .otherwise(whole)
+    step = f"(greatest(1L, {chunk_bytes} div record_size div {CARD}) * {CARD})"
+    rows = f"least({step}, rows - i * {step})"
+    whole = (
+        f"transform(sequence(0L, (rows - 1) div {step}), i -> named_struct('first_row', i * {step}, "
+        f"'rows', CAST({rows} AS INT), 'offset', records_at + i * {step} * record_size, "
+        f"'size', {rows} * record_size, 'error', CAST(NULL AS STRING)))"
     )
 
+    def failed(message: str) -> str:
+        return (
+            "array(named_struct('first_row', -1L, 'rows', 0, 'offset', 0L, 'size', 0L, "
+            f"'error', CAST({message} AS STRING)))"
+        )
 
-def _range(first: Column, rows: Column, offset: Column, size: Column, error: Column) -> Column:
-    return F.struct(
-        first.cast("bigint").alias("first_row"),
-        rows.cast("int").alias("rows"),
-        offset.cast("bigint").alias("offset"),
-        size.cast("bigint").alias("size"),
-        error.cast("string").alias("error"),
+    cut = failed(quoted(ROW_FAILED + "the file ends inside a record"))
+    return (
+        f"CASE WHEN file_error IS NOT NULL THEN {failed('file_error')} WHEN cut_short AND rows = 0 THEN {cut} "
+        f"WHEN cut_short THEN concat({whole}, {cut}) ELSE {whole} END"
     )
 
 
 # --- records -----------------------------------------------------------------
 
 
-def decode_records(chunks: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+def decode_records(chunks: DataFrame, encoding: str) -> DataFrame:
     """Chunks of records to cells; a chunk that only carries an error becomes its row."""
-    size = F.col("record_size")
-    records = F.when(
-        F.col("rows") > 0,
-        F.transform(
-            F.sequence(F.lit(0), F.col("rows") - 1),
-            lambda i: slice_bytes(F.col("bytes"), i * size, size),
-        ),
+    records = (
+        "CASE WHEN rows > 0 THEN transform(sequence(0, rows - 1), i -> "
+        f"{slice_bytes('bytes', 'i * record_size', 'record_size')}) END"
     )
-    rows = chunks.select(
+    rows = chunks.selectExpr(
         "logical_path", "dataset_label", "columns", "error", "first_row",
-        F.posexplode_outer(records).alias("n", "record"),
+        f"posexplode_outer({records}) AS (n, record)",
     )
-    cells = rows.select(
-        "logical_path", "dataset_label", "error", (F.col("first_row") + F.col("n")).alias("row"), "record",
-        F.explode_outer(F.when(F.col("n").isNotNull(), F.col("columns"))).alias("c"),
+    cells = rows.selectExpr(
+        "logical_path", "dataset_label", "error", "first_row + n AS row", "record",
+        "explode_outer(CASE WHEN n IS NOT NULL THEN columns END) AS c",
     )
-    fields = cells.select(
-        "logical_path", "error", "row", "c",
-        F.when(F.col("c").isNotNull(), F.col("dataset_label")).alias("dataset_label"),
-        slice_bytes(F.col("record"), F.col("c.at"), F.col("c.size")).alias("field"),
+    fields = cells.selectExpr(
+        "logical_path", "CASE WHEN c IS NOT NULL THEN dataset_label END AS dataset_label", "error", "row", "c",
+        f"{slice_bytes('record', 'c.at', 'c.size')} AS field",
     )
-    is_text = F.col("c.kind") == TEXT_KIND
-    bits = F.conv(F.rpad(F.hex("field"), 16, "0"), 16, -10).cast("bigint")
-    raw = fields.select(
+    raw = fields.selectExpr(
         "*",
-        F.when(is_text, fixed_text(F.col("field"), encoding)).alias("text"),
-        F.when(~is_text, bits).alias("bits"),
+        f"CASE WHEN c.kind = {TEXT_KIND} THEN {fixed_text('field', encoding)} END AS text",
+        f"CASE WHEN c.kind <> {TEXT_KIND} THEN {hex_float_bits('field')} END AS bits",
     )
-    numbers = raw.select("*", hex_float_of_bits(F.col("bits")).alias("number"))
-    return typed_cells(numbers, encoding)
+    return typed_cells(raw.selectExpr("*", f"{hex_float('bits')} AS number"), encoding)
 
 
 def typed_cells(raw: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     """Raw text and numbers into the slot of their column's logical type."""
-    c, number = F.col("c"), F.col("number")
-    kind = c["type"]
-    timed = raw.select(
+    timed = raw.selectExpr(
         "*",
-        F.when((kind == TIME) & c["time_of_day"], V.seconds_to_time_of_day(number))
-        .when(kind == TIME, V.seconds_to_time(number))
-        .alias("seconds"),
-    )
-    unreadable = (kind == STRING) & F.col("text").isNull()
-    message = F.lit(f"{VALUE_FAILED}the bytes are not {encoding} text")
-    return conform(
-        timed,
-        logical_path=F.col("logical_path"),
-        dataset_label=F.col("dataset_label"),
-        row_index=F.col("row").cast("int"),
-        column_index=c["index"],
-        column_name=c["name"],
-        column_label=c["label"],
-        column_format=c["format"],
-        data_type=kind,
-        value_string=F.when(kind == STRING, F.col("text")).when(kind == TIME, V.time_text(F.col("seconds"))),
-        value_double=F.when(kind == DOUBLE, number),
-        value_date=F.when(kind == DATE, V.days_to_date(number)),
-        value_time=F.col("seconds"),
-        value_timestamp=F.when(kind == TIMESTAMP, V.seconds_to_timestamp(number)),
-        error_msg=F.coalesce("error", F.when(unreadable, message)),
+        f"CASE WHEN c.type <> {quoted(TIME)} THEN NULL WHEN c.time_of_day THEN {V.seconds_to_time_of_day('number')} "
+        f"ELSE {V.seconds_to_time('number')} END AS seconds",
     )
 
+    def when(logical: str, value: str) -> str:
+        return f"CASE WHEN c.type = {quoted(logical)} THEN {value} END"
 
-def dictionary(files: DataFrame, encoding: str = "UTF-8", prefixes=FORMAT_PREFIXES) -> DataFrame:
-    """The column dictionary of each readable file; record bytes are not decoded."""
-    content = F.col("content")
-    heads = read_headers(
-        files.select(
-            "logical_path", content.alias("head"), content.substr(-CARD, CARD).alias("tail"),
-            F.length(content).cast("bigint").alias("file_length"),
-        ),
-        encoding,
-        prefixes,
-    )
-    return heads.select("logical_path", "dataset_label", F.explode("columns").alias("c")).select(
-        "logical_path",
-        "dataset_label",
-        F.col("c.index").alias("column_index"),
-        F.col("c.name").alias("column_name"),
-        F.col("c.label").alias("column_label"),
-        F.col("c.format").alias("column_format"),
-        F.col("c.type").alias("data_type"),
+    spoiled = quoted(f"{VALUE_FAILED}the bytes are not {encoding} text")
+    return conform(
+        timed,
+        logical_path="logical_path",
+        dataset_label="dataset_label",
+        row_index="row",
+        column_index="c.index",
+        column_name="c.name",
+        column_label="c.label",
+        column_format="c.format",
+        data_type="c.type",
+        value_string=f"CASE WHEN c.type = {quoted(STRING)} THEN text "
+        f"WHEN c.type = {quoted(TIME)} THEN {V.time_text('seconds')} END",
+        value_double=when(DOUBLE, "number"),
+        value_date=when(DATE, V.days_to_date("number")),
+        value_time="seconds",
+        value_timestamp=when(TIMESTAMP, V.seconds_to_timestamp("number")),
+        error_msg=f"coalesce(error, CASE WHEN c.type = {quoted(STRING)} AND text IS NULL THEN {spoiled} END)",
     )

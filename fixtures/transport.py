@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -75,8 +76,8 @@ def hex_float_bytes(v: Column, size: int = 8) -> Column:
     return F.unhex(hexed.substr(1, 2 * size))
 
 
-def text_bytes(v: Column, size: int) -> Column:
-    b = F.encode(F.coalesce(v, F.lit("")), "UTF-8").substr(1, size)
+def text_bytes(v: Column, size: int, encoded: bool = False) -> Column:
+    b = (v if encoded else F.encode(F.coalesce(v, F.lit("")), "UTF-8")).substr(1, size)
     return F.call_function("rpad", b, F.lit(size), F.lit(b" "))
 
 
@@ -90,7 +91,7 @@ def transport_files(
 ) -> DataFrame:
     """(``logical_path``, ``content``): one file per path, its rows in order."""
     parts = [
-        text_bytes(F.col(f.name), f.size) if f.text else hex_float_bytes(F.col(f.name), f.size) for f in fields
+        text_bytes(F.col(f.name), f.size, df.schema[f.name].dataType == T.BinaryType()) if f.text else hex_float_bytes(F.col(f.name), f.size) for f in fields
     ]
     rows = df.select(path.alias("logical_path"), F.struct(*order_by).alias("k"), F.concat(*parts).alias("record"))
     data = rows.groupBy("logical_path").agg(
