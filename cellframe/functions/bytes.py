@@ -29,6 +29,15 @@ def slice_bytes(content: str, start: str | int, size: str | int) -> str:
     return f"substr({content}, {first}, {count})"
 
 
+def bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for a value that is fetched only once.
+
+    Inside a lambda, every mention of a binary column copies all of its bytes out of
+    the row; a lambda variable is a plain reference.
+    """
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def unsigned(b: str) -> str:
     """Big-endian unsigned integer of up to 7 bytes."""
     return f"CAST(conv(hex({b}), 16, 10) AS BIGINT)"

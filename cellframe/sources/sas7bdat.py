@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from cellframe.functions.bytes import none_if_blank, slice_bytes
+from cellframe.functions.bytes import bound, none_if_blank, slice_bytes
 from cellframe.functions.formats import (
     FORMAT_PREFIXES,
     Prefixes,
@@ -217,11 +217,13 @@ def scan_sas7bdat(
         "logical_path", "content", "l.*"
     )
     step = _range_size(range_bytes)
-    ranges = (
+    ranges = bound(
+        "content",
+        "b",
         "transform(sequence(0, greatest(size(range_rows), 1) - 1), i -> named_struct('range', CAST(i AS BIGINT), "
         "'before', aggregate(slice(range_rows, 1, i), 0L, (n, r) -> n + r), "
         "'counted', coalesce(get(range_rows, i), 0L), "
-        f"'body', {slice_bytes('content', f'prefix_end + i * {step}', step)}))"
+        f"'body', {slice_bytes('b', f'prefix_end + i * {step}', step)}))",
     )
     fine = laid.filter("file_error IS NULL").selectExpr(
         "logical_path", "columns", "prefix_rows", "row_count",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from cellframe.functions import values as V
 from cellframe.functions.bytes import (
+    bound,
     check_encoding,
     fixed_text,
     header_text,
@@ -82,9 +83,11 @@ def scan_xpt(
         .selectExpr("*", f"coalesce({more}, {_NO_NAMES}) AS extra")
         .selectExpr("* EXCEPT (file_error, later)", f"coalesce(file_error, {_table_count_error()}) AS file_error")
     )
-    with_bytes = (
+    with_bytes = bound(
+        "content",
+        "b",
         f"transform({_chunk_ranges(chunk_bytes)}, c -> named_struct('first_row', c.first_row, 'rows', c.rows, "
-        f"'error', c.error, 'bytes', {slice_bytes('content', 'c.offset', 'c.size')}))"
+        f"'error', c.error, 'bytes', {slice_bytes('b', 'c.offset', 'c.size')}))",
     )
     chunks = heads.selectExpr(
         "logical_path", "dataset_label", "columns", "record_size", f"inline({with_bytes})"
@@ -116,12 +119,10 @@ def scan_large_xpt(
         )
 
     first = fetch(files, "0", str(COLUMNS_AT), "head")
-    end = f"{_records_card()} + {CARD}"
     sized = first.selectExpr(
-        "logical_path", "file_length", "failure",
-        f"CASE WHEN {end} <= file_length THEN {end} ELSE {COLUMNS_AT} END AS n",
+        "logical_path", "file_length", "failure", f"coalesce({_head_size()}, {COLUMNS_AT}) AS n"
     )
-    whole = fetch(sized, "0", f"coalesce(n, {COLUMNS_AT})", "head").drop("n")
+    whole = fetch(sized, "0", "n", "head").drop("n")
     heads = read_headers(
         fetch(whole, f"greatest(file_length - {CARD}, 0)", str(CARD), "tail"), encoding, prefixes
     )
@@ -170,19 +171,34 @@ def dictionary(files: DataFrame, encoding: str = "UTF-8", prefixes: Prefixes = F
 
 
 def _whole_heads(files: DataFrame, *kept: str) -> DataFrame:
-    return files.selectExpr(
-        "logical_path", *kept, "content AS head", f"substr(content, greatest(length(content) - {CARD - 1}, 1)) AS tail",
+    """The head and tail of whole contents, cut out before anything else looks at them."""
+    front = files.selectExpr(
+        "logical_path", "content", f"substr(content, 1, {COLUMNS_AT}) AS head",
+        f"substr(content, greatest(length(content) - {CARD - 1}, 1)) AS tail",
         "CAST(length(content) AS BIGINT) AS file_length", "CAST(NULL AS STRING) AS failure",
     )
+    return front.selectExpr(
+        "logical_path", *kept, f"substr(content, 1, coalesce({_head_size()}, {COLUMNS_AT})) AS head",
+        "tail", "file_length", "failure",
+    )
+
+
+def _head_size() -> str:
+    """Bytes in front of the first record; null unless both counts make sense."""
+    size, count = _ascii_int(DESCRIPTOR_SIZE_AT), _ascii_int(COUNT_AT)
+    return (
+        f"CASE WHEN {size} BETWEEN 88 AND 200 AND {count} BETWEEN 0 AND 9999 "
+        f"THEN CAST({_records_card(size, count)} + {CARD} AS INT) END"
+    )
 
 
 def _ascii_int(at: int) -> str:
     return f"try_cast(trim({latin1(slice_bytes('head', at, 4))}) AS INT)"
 
 
-def _records_card(size: str | None = None, count: str | None = None) -> str:
+def _records_card(size: str, count: str) -> str:
     """Where the card in front of the records is: behind the descriptors, padded."""
-    end = f"({COLUMNS_AT} + {size or _ascii_int(DESCRIPTOR_SIZE_AT)} * {count or _ascii_int(COUNT_AT)})"
+    end = f"({COLUMNS_AT} + {size} * {count})"
     return f"(({end} + {CARD - 1}) div {CARD} * {CARD})"
 
 
@@ -243,9 +259,11 @@ def _columns(encoding: str, prefixes: Prefixes) -> str:
     def text(at: int, size: int) -> str:
         return header_text(part(at, size), encoding)
 
-    raw = (
+    raw = bound(
+        "head",
+        "h",
         "transform(sequence(0, column_count - 1), i -> "
-        f"{slice_bytes('head', f'{COLUMNS_AT} + i * descriptor_size', 'descriptor_size')})"
+        f"{slice_bytes('h', f'{COLUMNS_AT} + i * descriptor_size', 'descriptor_size')})",
     )
     parts = (
         f"transform({raw}, (d, i) -> named_struct('index', i, 'name', {text(8, 8)}, "
@@ -298,9 +316,10 @@ def _count_records(heads: DataFrame) -> DataFrame:
 
 def _member_names(b: str) -> str:
     """Names of the members whose header starts at a card boundary of ``b``."""
-    cards = f"sequence(0, CAST(greatest(length({b}) div {CARD} - 1, 0L) AS INT))"
-    name = slice_bytes(b, f"i * {CARD} + {MEMBER_NAME_AT - MEMBER_AT}", 8)
-    return f"transform(filter({cards}, i -> {_is_card(f'i * {CARD}', 'MEMBER', b)}), i -> rtrim({latin1(name)}))"
+    cards = f"sequence(0, CAST(greatest(length(b) div {CARD} - 1, 0L) AS INT))"
+    name = slice_bytes("b", f"i * {CARD} + {MEMBER_NAME_AT - MEMBER_AT}", 8)
+    found = f"filter({cards}, i -> {_is_card(f'i * {CARD}', 'MEMBER', 'b')})"
+    return bound(b, "b", f"transform({found}, i -> rtrim({latin1(name)}))")
 
 
 def _table_count_error() -> str:
@@ -341,10 +360,8 @@ def _chunk_ranges(chunk_bytes: int) -> str:
 
 def decode_records(chunks: DataFrame, encoding: str) -> DataFrame:
     """Chunks of records to cells; a chunk that only carries an error becomes its row."""
-    records = (
-        "CASE WHEN rows > 0 THEN transform(sequence(0, rows - 1), i -> "
-        f"{slice_bytes('bytes', 'i * record_size', 'record_size')}) END"
-    )
+    cut = f"transform(sequence(0, rows - 1), i -> {slice_bytes('b', 'i * record_size', 'record_size')})"
+    records = f"CASE WHEN rows > 0 THEN {bound('bytes', 'b', cut)} END"
     rows = chunks.selectExpr(
         "logical_path", "dataset_label", "columns", "error", "first_row",
         f"posexplode_outer({records}) AS (n, record)",
