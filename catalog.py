@@ -24,7 +24,7 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 # Small enough that the check tables already use several buckets.
-ROWS_PER_BUCKET = 10_000
+ROWS_PER_BUCKET = 25_000
 
 
 def query(sql: str | None = None, name: str | None = None):

@@ -46,7 +46,7 @@ MEMBER_AT, MEMBER_NAME_AT, LABEL_AT, COUNT_AT, COLUMNS_AT = 240, 408, 512, 614,
 DESCRIPTOR_SIZE_AT = MEMBER_AT + 74
 TEXT_KIND = 2
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 LARGE_CHUNK_BYTES = 32 << 20
 INT_MAX = 2**31 - 1
 

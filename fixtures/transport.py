@@ -57,23 +57,40 @@ def header(
     return out + pad_card(body) + card("OBS")
 
 
-def hex_float_bytes(v: Column, size: int = 8) -> Column:
-    """A double as a base-16 float; a null as the missing mark."""
-    v = v.cast("double")
-    a = F.abs(v)
-    guess = F.floor(F.log2(a) / 4) + 1
+def hex_float_steps(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns of doubles as the bits of base-16 floats; a null as the missing mark.
+
+    In steps, so that each intermediate value is computed once.
+    """
+    def each(template: str) -> list[str]:
+        return [template.format(n=n) + f" AS {n}" for n in names]
+
+    others = [c for c in df.columns if c not in names]
+    doubles = df.selectExpr(*others, *each("nanvl(CAST({n} AS DOUBLE), CAST(NULL AS DOUBLE))"))
+    guessed = doubles.selectExpr(
+        *others, *each("named_struct('v', {n}, 'a', abs({n}), 'g', CAST(floor(log2(abs({n})) / 4) AS INT) + 1)")
+    )
     # log2 may be off by one ulp at powers of 16
-    e = (
-        F.when(a >= F.pow(F.lit(16.0), guess), guess + 1)
-        .when(a < F.pow(F.lit(16.0), guess - 1), guess - 1)
-        .otherwise(guess)
+    placed = guessed.selectExpr(
+        *others,
+        *each(
+            "named_struct('v', {n}.v, 'a', {n}.a, 'e', {n}.g + CASE WHEN {n}.a >= pow(16D, {n}.g) THEN 1 "
+            "WHEN {n}.a < pow(16D, {n}.g - 1) THEN -1 ELSE 0 END)"
+        ),
+    )
+    mark = 0x2E << 56
+    return placed.selectExpr(
+        *others,
+        *each(
+            f"CASE WHEN {{n}}.v IS NULL THEN {mark}L WHEN {{n}}.v = 0 THEN 0L ELSE "
+            "shiftleft(CAST({n}.e + 64 + CASE WHEN {n}.v < 0 THEN 128 ELSE 0 END AS BIGINT), 56) "
+            "| CAST({n}.a * pow(2D, 56 - 4 * {n}.e) AS BIGINT) END"
+        ),
     )
-    fraction = (a * F.pow(F.lit(2.0), 56 - 4 * e)).cast("bigint")
-    head = F.when(v < 0, 128).otherwise(0) + e + 64
-    digits = F.concat(F.lpad(F.hex(head), 2, "0"), F.lpad(F.hex(fraction), 14, "0"))
-    zero = "0" * 16
-    hexed = F.when(v.isNull() | F.isnan(v), F.lit("2E" + zero[2:])).when(v == 0, zero).otherwise(digits)
-    return F.unhex(hexed.substr(1, 2 * size))
+
+
+def bits_bytes(bits: Column, size: int = 8) -> Column:
+    return F.unhex(F.lpad(F.hex(bits), 16, "0").substr(1, 2 * size))
 
 
 def text_bytes(v: Column, size: int, encoded: bool = False) -> Column:
@@ -90,10 +107,18 @@ def transport_files(
     member: str = "DATA",
 ) -> DataFrame:
     """(``logical_path``, ``content``): one file per path, its rows in order."""
+    texts = [f.name for f in fields if f.text]
+    encoded = {n: df.schema[n].dataType == T.BinaryType() for n in texts}
+    # The grouping needs this shuffle in any case; ahead of the encoding it also spreads that work.
+    keyed = df.select(
+        path.alias("logical_path"), F.struct(*order_by).alias("k"), *[F.col(f.name) for f in fields]
+    ).repartition("logical_path")
+    bits = hex_float_steps(keyed, [f.name for f in fields if not f.text])
     parts = [
-        text_bytes(F.col(f.name), f.size, df.schema[f.name].dataType == T.BinaryType()) if f.text else hex_float_bytes(F.col(f.name), f.size) for f in fields
+        text_bytes(F.col(f.name), f.size, encoded[f.name]) if f.text else bits_bytes(F.col(f.name), f.size)
+        for f in fields
     ]
-    rows = df.select(path.alias("logical_path"), F.struct(*order_by).alias("k"), F.concat(*parts).alias("record"))
+    rows = bits.select("logical_path", "k", F.concat(*parts).alias("record"))
     data = rows.groupBy("logical_path").agg(
         F.expr("listagg(record, X'') WITHIN GROUP (ORDER BY k)").alias("data")
     )
