@@ -11,7 +11,7 @@ from cellframe.functions import values as V
 from cellframe.functions.formats import FORMAT_PREFIXES, quoted
 from cellframe.operators.dictionary import ColumnInfo, describe
 from cellframe.operators.row_index import with_row_index
-from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform
+from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform, ident
 
 
 def to_cells(
@@ -47,7 +47,7 @@ def to_cells(
         row_index = "_row_index"
         needed = dict.fromkeys(["_path", *columns, *order_by])
         dataset_by = [] if one_dataset else ["_path"]
-        df = with_row_index(df.select(*needed), order_by, dataset_by, row_index, rows_per_bucket)
+        df = with_row_index(df.select(*map(ident, needed)), order_by, dataset_by, row_index, rows_per_bucket)
     return pivot(df, infos, "_path", row_index, dataset_label)
 
 
@@ -74,7 +74,7 @@ def pivot(
             places[slot] = {n: p for p, n in enumerate(held)}
 
     numbers = range(len(infos))
-    exploded = df.selectExpr(path, row_index, *arrays.values()).selectExpr(
+    exploded = df.selectExpr(path, f"{ident(row_index)} AS _row", *arrays.values()).selectExpr(
         "*", f"explode(array({', '.join(map(str, numbers))})) AS _column"
     )
 
@@ -94,7 +94,7 @@ def pivot(
         exploded,
         logical_path=path,
         dataset_label="NULL" if dataset_label is None else quoted(dataset_label),
-        row_index=row_index,
+        row_index="_row",
         column_index="_column",
         column_name=texts(i.name for i in infos),
         column_label=texts(i.label for i in infos),
@@ -113,7 +113,7 @@ def _unsupported(info: ColumnInfo) -> str | None:
 
 def _slots(info: ColumnInfo) -> dict[str, str]:
     """The value slots a column fills, by its logical and physical type."""
-    v = "`" + info.name.replace("`", "``") + "`"
+    v = ident(info.name)
     timed = isinstance(info.physical, (T.DateType, T.TimestampType, T.TimestampNTZType))
     if info.data_type == STRING:
         return {"value_string": V.text(v)}

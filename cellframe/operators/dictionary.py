@@ -66,7 +66,8 @@ def describe(
     """
     labels, formats = labels or {}, formats or {}
     infos = []
-    for index, field in enumerate(df.select(*(columns or df.columns)).schema):
+    for index, name in enumerate(df.columns if columns is None else columns):
+        field = df.schema[name]
         fmt = formats.get(field.name, field.metadata.get("format")) or None
         physical = type_of_physical(field.dataType)
         logical = physical

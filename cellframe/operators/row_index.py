@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cellframe.schema import ident
+
 INT_MAX = 2**31 - 1
 # Boundaries are drawn from a sample of this many rows per bucket.
 _SAMPLE_PER_BUCKET = 8
@@ -37,28 +39,30 @@ def with_row_index(
         window = _window(dataset_by, order_by)
         return df.withColumn(name, _to_int(F.row_number().over(window) - 1))
 
-    key = F.struct(*[F.col(k) for k in keys])
+    key = F.struct(*[F.col(ident(k)) for k in keys])
     bounds = _boundaries(df.select(key.alias("key")), total, buckets)
     placed = df.withColumn("_bucket", _bucket_of(key, bounds, buckets))
     group = [*dataset_by, "_bucket"]
-    counts = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*dataset_by).orderBy("_bucket").rowsBetween(
+    counts = placed.groupBy(*map(ident, group)).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy(*map(ident, dataset_by)).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = counts.select(
-        *group, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        *map(ident, group), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
     ranked = placed.withColumn("_rank", F.row_number().over(_window(group, order_by)))
-    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in group]
+    same = [F.col(f"r.{ident(c)}").eqNullSafe(F.col(f"o.{ident(c)}")) for c in group]
     joined = ranked.alias("r").join(offsets.alias("o"), same)
     return joined.select(
-        *[F.col(f"r.{c}") for c in df.columns],
+        *[F.col(f"r.{ident(c)}") for c in df.columns],
         _to_int(F.col("_before") + F.col("_rank") - 1).alias(name),
     )
 
 
 def _window(partition: Sequence[str], order_by: Sequence[str]):
-    return Window.partitionBy(*partition).orderBy(*[F.col(k).asc_nulls_first() for k in order_by])
+    return Window.partitionBy(*map(ident, partition)).orderBy(
+        *[F.col(ident(k)).asc_nulls_first() for k in order_by]
+    )
 
 
 def _to_int(index: Column) -> Column:

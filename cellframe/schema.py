@@ -39,6 +39,11 @@ VALUE_SLOTS = {
 STRING, DOUBLE, DATE, TIME, TIMESTAMP = "String", "Double", "Date", "Time", "Timestamp"
 
 
+def ident(name: str) -> str:
+    """A column name as SQL, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def conform(df: DataFrame, **expressions: str) -> DataFrame:
     """Select the 14 contract columns from SQL expressions; a typed null for the rest.
 

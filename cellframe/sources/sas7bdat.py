@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
+from cellframe.functions import values as V
 from cellframe.functions.bytes import bound, none_if_blank, slice_bytes
 from cellframe.functions.formats import (
     FORMAT_PREFIXES,
@@ -319,7 +320,7 @@ def _cells_of(ranges: DataFrame, bad: DataFrame, prefixes: Prefixes) -> DataFram
     )
     raw = values.selectExpr(
         "logical_path", "error", "CAST(NULL AS STRING) AS dataset_label", "first_row + n AS row", "c",
-        "v.numbers AS number", "v.texts AS text",
+        f"{V.double('v.numbers')} AS number", "v.texts AS text",
     )
     return typed_cells(raw)
 
