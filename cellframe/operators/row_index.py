@@ -41,21 +41,23 @@ def with_row_index(
 
     key = F.struct(*[F.col(ident(k)) for k in keys])
     bounds = _boundaries(df.select(key.alias("key")), total, buckets)
-    placed = df.withColumn("_bucket", _bucket_of(key, bounds, buckets))
-    group = [*dataset_by, "_bucket"]
-    counts = placed.groupBy(*map(ident, group)).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*map(ident, dataset_by)).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    # Dataset and bucket as one struct: never null, so grouping, ranking and joining
+    # all need the same partitioning and the rows are not moved again for the join.
+    group = F.struct(
+        *[F.col(ident(c)).alias(f"set{i}") for i, c in enumerate(dataset_by)],
+        _bucket_of(key, bounds, buckets).alias("bucket"),
     )
-    offsets = counts.select(
-        *map(ident, group), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+    placed = df.withColumn("_group", group)
+    counts = placed.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"))
+    before = (
+        Window.partitionBy(*[f"_group.set{i}" for i in range(len(dataset_by))])
+        .orderBy("_group.bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranked = placed.withColumn("_rank", F.row_number().over(_window(group, order_by)))
-    same = [F.col(f"r.{ident(c)}").eqNullSafe(F.col(f"o.{ident(c)}")) for c in group]
-    joined = ranked.alias("r").join(offsets.alias("o"), same)
-    return joined.select(
-        *[F.col(f"r.{ident(c)}") for c in df.columns],
-        _to_int(F.col("_before") + F.col("_rank") - 1).alias(name),
+    offsets = counts.select("_group", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    ranked = placed.withColumn("_rank", F.row_number().over(_window(["_group"], order_by)))
+    return ranked.join(offsets, "_group").select(
+        *map(ident, df.columns), _to_int(F.col("_before") + F.col("_rank") - 1).alias(name)
     )
 
 

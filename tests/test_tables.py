@@ -102,7 +102,9 @@ def test_pivot_back_gives_the_table(spark):
 def test_row_index_with_hot_datasets_and_nulls(spark):
     """One dataset has two thirds of the rows; keys have nulls and repeats."""
     df = spark.range(20000).select(
-        F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("d"), F.col("id") % 50)).alias("set"),
+        F.when(F.col("id") % 3 < 2, "hot")
+        .when(F.col("id") % 50 != 7, F.concat(F.lit("d"), F.col("id") % 50))
+        .alias("set"),
         F.when(F.col("id") % 17 != 0, F.concat(F.lit("k"), F.hash("id") % 10)).alias("k"),
         F.when(F.col("id") % 5 != 0, F.rand(3)).alias("r"),
         "id",
@@ -115,11 +117,17 @@ def test_row_index_with_hot_datasets_and_nulls(spark):
 
 
 def test_row_index_moves_rows_once(spark):
-    df = spark.range(10000).withColumn("v", F.rand(1))
-    plan = with_row_index(df, ["v", "id"], rows_per_bucket=100)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    # rows by bucket, bucket counts by bucket, and the counts once more for their running sum
-    assert plan.count("Exchange hashpartitioning") <= 2 and "Python" not in plan
+    """Also where the bucket counts are too many to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = spark.range(10000).select("id", F.rand(1).alias("v"), (F.col("id") % 3).alias("set"))
+        indexed = with_row_index(df, ["v", "id"], ["set"], rows_per_bucket=100)
+        plan = indexed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # the rows by group; the counts by group, by dataset, and by group again
+    assert plan.count("Exchange hashpartitioning") == 4 and "Python" not in plan
 
 
 def test_pruning_reaches_the_scan(spark):
