@@ -95,8 +95,8 @@ def test_large_files_are_read_by_ranges(spark, files, contents, tmp_path):
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
         listing.append((f"file:{tmp_path}/{name}", len(content)))
-    listed = spark.createDataFrame(listing, "logical_path string, length bigint").filter("logical_path not like '%cut%'")
-    pieces = sas7bdat.scan_large_sas7bdat(listed, range_bytes=10_000).selectExpr(
+    on_disk = spark.createDataFrame(listing, "logical_path string, length bigint").filter("logical_path not like '%cut%'")
+    pieces = sas7bdat.scan_large_sas7bdat(on_disk, range_bytes=10_000).selectExpr(
         "substring_index(logical_path, '/', -1) AS logical_path", "* EXCEPT (logical_path)"
     )
     whole = sas7bdat.scan_sas7bdat(files.filter("logical_path not like 'cut%'"))
