@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from cellframe.llm import mixing, quality_rules, url_filter
+from cellframe.llm import language_id, mixing, near_dedup, quality_rules, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op4_language_id": language_id.query,
+    "op6_near_dedup": near_dedup.query,
     "op8_quality_rules": quality_rules.query,
     "op10_url_filter": url_filter.query,
 }
