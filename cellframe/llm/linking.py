@@ -55,47 +55,46 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def link(members: DataFrame, verify: Verify, payload: DataFrame, near: Near, sided: bool = False) -> DataFrame:
+def link(members: DataFrame, describe: Callable[[DataFrame], DataFrame], near: Near, verify: Verify) -> DataFrame:
     """(id, label) of all ids that have a verified link.
 
-    ``members`` (key, id[, side]) are the buckets; with ``sided`` only pairs of different sides count as candidates.
-    ``payload`` has (id, …) what ``near(x, y)`` compares, given the aliases of two payload structs; ``near`` must hold
-    for every pair that ``verify`` accepts. ``verify`` takes and returns (a, b) with a < b.
+    ``members`` (key, id) are the buckets, without repeated rows. ``describe`` gets (id) and returns (id, …), what
+    ``near(x, y)`` and ``verify`` compare: ``near`` gets the names of two structs of these columns and must hold for
+    every pair that ``verify`` accepts. ``verify`` takes (a, b, of_a, of_b) with a < b and returns rows of (a, b).
     """
-    sizes = members.groupBy("key").agg(F.count("id").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-    multi = keep(members.join(sizes.where("lo < hi").select("key", "n"), "key"))
-    fame = multi.groupBy("id").agg(F.sum("n").alias("fame"))
+    shared = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    multi = keep(members.join(shared.select("key"), "key"))
+    sizes = multi.groupBy("key").agg(F.count("id").alias("n"))
+    fame = multi.join(sizes, "key").groupBy("id").agg(F.sum("n").alias("fame"))
     hubs = (
-        multi.join(fame, "id").groupBy("key")
-        .agg(F.max(F.struct("fame", (-F.col("id")).alias("id"))).alias("hub"))
-        .select("key", (-F.col("hub.id")).alias("hub"))
+        multi.join(fame, "id").groupBy("key").agg(F.max(F.struct("fame", "id")).alias("hub")).select("key", "hub.id")
+        .withColumnRenamed("id", "hub")
     )
-    pairs = multi.join(hubs, "key").where("id <> hub").select(
+    pairs = multi.join(hubs, "key").select(
         F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
     ).where("a < b").distinct()
-    described = payload.select("id", F.struct(*[c for c in payload.columns if c != "id"]).alias("of"))
+    described = keep(describe(multi.select("id").distinct()))
+    described = described.select("id", F.struct(*[c for c in described.columns if c != "id"]).alias("of"))
 
-    def with_payload(pairs: DataFrame) -> DataFrame:
+    def with_description(pairs: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             pairs = pairs.join(described.select(F.col("id").alias(end), F.col("of").alias(f"of_{end}")), end)
         return pairs
 
-    edges = keep(verify(with_payload(pairs).where(near("of_a", "of_b")).select("a", "b").distinct()))
+    def verified(pairs: DataFrame) -> DataFrame:
+        return keep(verify(with_description(pairs).where(near("of_a", "of_b"))).select("a", "b").distinct())
+
+    edges = verified(pairs)
     labels = components(edges)
     labelled = multi.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    rest = labelled.drop("n").join(mixed.select("key"), "key").join(described, "id")
-    side = ["side"] if sided else []
+    rest = labelled.join(mixed.select("key"), "key").join(described, "id")
     one, two = (
-        rest.select("key", F.col("id").alias(end), F.col("label").alias(f"l_{end}"), F.col("of").alias(f"of_{end}"),
-                    *[F.col(s).alias(f"s_{end}") for s in side])
+        rest.select(F.col("key").alias(f"k_{end}"), F.col("id").alias(end), F.col("label").alias(f"l_{end}"),
+                    F.col("of").alias(f"of_{end}"))
         for end in ("a", "b")
     )
-    open_pair = (F.col("l_a") != F.col("l_b")) & near("of_a", "of_b")
-    open_pair = open_pair & (F.expr("s_a < s_b") if sided else F.expr("a < b"))
-    late = one.withColumnRenamed("key", "k").join(two, (F.col("k") == F.col("key")) & open_pair)
-    late = late.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-    more = keep(verify(late.join(edges, ["a", "b"], "left_anti")))
-    if more.isEmpty():
-        return labels
-    return components(edges.unionByName(more))
+    open_pair = F.expr("k_a = k_b AND a < b AND l_a <> l_b") & near("of_a", "of_b")
+    late = one.join(two, open_pair).select("a", "b").distinct()
+    more = verified(late.join(pairs, ["a", "b"], "left_anti"))
+    return labels if more.isEmpty() else components(edges.unionByName(more))

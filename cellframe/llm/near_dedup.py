@@ -156,7 +156,7 @@ def verifier(docs: DataFrame, shingle: int, percent: int, broadcast_rows: int):
     """Compares whole sets; they are made again for the texts that have candidates only."""
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = keep(pairs)
+        pairs = keep(pairs.select("a", "b").distinct())
         ids = keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
         wanted = small(ids.withColumnRenamed("id", "doc_id"), broadcast_rows)
         found = keep(sets(docs.join(wanted, "doc_id", "left_semi"), shingle))
@@ -165,7 +165,7 @@ def verifier(docs: DataFrame, shingle: int, percent: int, broadcast_rows: int):
         both = "size(array_intersect(of_a, of_b))"
         return pairs.where(
             F.expr(f"100L * {both} >= {percent}L * (size(of_a) + size(of_b) - {both})")
-        ).select("a", "b").distinct()
+        )
 
     return verify
 
@@ -184,8 +184,11 @@ def near_duplicates(
         made.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*name)
         .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"))
     )
-    payload = classes.select("id", F.col("n_shingles").alias("n"), "sketch")
-    labels = link(buckets(classes), verifier(docs, shingle, percent, broadcast_rows), payload, near(percent))
+    sketched = classes.select("id", F.col("n_shingles").alias("n"), "sketch")
+    labels = link(
+        buckets(classes), lambda ids: sketched.join(ids, "id", "left_semi"), near(percent),
+        verifier(docs, shingle, percent, broadcast_rows),
+    )
     named = classes.join(labels, "id", "left").select(*name, F.coalesce("label", "id").alias("found"))
     of = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
     return made.drop("sketch").join(named, name, "left").select(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from cellframe.llm import language_id, mixing, near_dedup, quality_rules, url_filter
+from cellframe.llm import decontamination, language_id, line_dedup, mixing, near_dedup, quality_rules, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_language_id": language_id.query,
     "op6_near_dedup": near_dedup.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_decontamination": decontamination.query,
     "op10_url_filter": url_filter.query,
 }
 SQL = {
