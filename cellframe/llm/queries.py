@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from cellframe.llm import decontamination, language_id, line_dedup, mixing, near_dedup, quality_rules, url_filter
+from cellframe.llm import (
+    decontamination, html_text, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules,
+    token_counts, url_filter,
+)
 
 QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_quality_classifier": quality_classifier.query,
     "op3_line_dedup": line_dedup.query,
     "op4_language_id": language_id.query,
+    "op5_html_text": html_text.query,
     "op6_near_dedup": near_dedup.query,
+    "op7_token_counts": token_counts.query,
     "op8_quality_rules": quality_rules.query,
     "op9_decontamination": decontamination.query,
     "op10_url_filter": url_filter.query,
