@@ -32,6 +32,8 @@ ROWS = 4
 BASE = 1.001
 TOP = 65_535
 SIGMAS = 5
+#: Registers also go by their last four bits, sixteen to a word, which compares many pairs fast.
+LANES = 16
 WORD_CACHE = 200_000
 CHUNK = 512
 
@@ -82,8 +84,13 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(exponential) / np.log(BASE)) + TOP // 4, 0, TOP).astype(np.uint16)
 
 
+def low_bits(sketch: np.ndarray) -> np.ndarray:
+    lanes = (sketch & np.uint16(15)).astype(np.uint64).reshape(-1, LANES)
+    return (lanes << (np.arange(LANES, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, sketch): set size, a 128-bit name of the set, and its registers."""
+    """(doc_id, n_shingles, f1, f2, sketch, low): set size, a 128-bit name of the set, its registers and their ends."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Shingler(shingle)
@@ -92,14 +99,15 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
             for text in batch["text"]:
                 s = of(text)
                 a = xxhash.xxh3_128_intdigest(s.tobytes())
+                sketch = registers(s) if len(s) else np.zeros(0, np.uint16)
                 rows.append((len(s), (a >> 64) - 2**63, (a & (2**64 - 1)) - 2**63,
-                             registers(s).astype(">u2").tobytes() if len(s) else b""))
-            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sketch"])
+                             sketch.astype(">u2").tobytes(), low_bits(sketch)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sketch", "low"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"
+        run, "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, low array<long>"
     )
 
 
@@ -134,12 +142,27 @@ def likelihood_peak(x: str, y: str) -> str:
     )
 
 
+def differing(x: str, y: str) -> str:
+    """SQL: in how many registers the last four bits differ. Plain arithmetic on longs, so it is compiled."""
+    words = []
+    for i in range(REGISTERS // LANES):
+        apart = f"({x}.low[{i}] ^ {y}.low[{i}])"
+        pairs = f"({apart} | shiftrightunsigned({apart}, 1))"
+        words.append(f"bit_count(({pairs} | shiftrightunsigned({pairs}, 2)) & {0x1111111111111111}L)")
+    return "(" + " + ".join(words) + ")"
+
+
 def near(percent: int):
-    bound = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / REGISTERS) ** 0.5
+    """What every pair of that similarity fulfils, but for one in a million: like sizes, few differing registers, and a
+    likelihood that does not peak far below."""
+    goal = percent / 100
+    bound = goal - SIGMAS * (goal * (1 - goal) / REGISTERS) ** 0.5
+    miss = (1 - goal) * (1 - 2.0**-4)
+    most = REGISTERS * miss + SIGMAS * (REGISTERS * miss * (1 - miss)) ** 0.5
 
     def holds(x: str, y: str) -> Column:
         sizes = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
-        return F.expr(f"{sizes} AND {likelihood_peak(x, y)} >= {bound}D")
+        return F.expr(f"{sizes} AND {differing(x, y)} <= {int(most) + 1} AND {likelihood_peak(x, y)} >= {bound}D")
 
     return holds
 
@@ -182,16 +205,16 @@ def near_duplicates(
     name = ["f1", "f2", "n_shingles"]
     classes = keep(
         made.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*name)
-        .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"))
+        .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"), F.first("low").alias("low"))
     )
-    sketched = classes.select("id", F.col("n_shingles").alias("n"), "sketch")
+    sketched = classes.select("id", F.col("n_shingles").alias("n"), "sketch", "low")
     labels = link(
         buckets(classes), lambda ids: sketched.join(ids, "id", "left_semi"), near(percent),
         verifier(docs, shingle, percent, broadcast_rows),
     )
     named = classes.join(labels, "id", "left").select(*name, F.coalesce("label", "id").alias("found"))
     of = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return made.drop("sketch").join(named, name, "left").select(
+    return made.drop("sketch", "low").join(named, name, "left").select(
         "doc_id", "n_shingles", of.alias("component_id"), F.col("doc_id").eqNullSafe(of).alias("kept")
     )
 
