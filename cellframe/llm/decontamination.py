@@ -67,7 +67,7 @@ class Index:
     """The q-grams of items, one sorted list per q, with a bitmap in front."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.ids = [i for i, _ in items]
+        self.ids = [None if i is None else str(i) for i, _ in items]
         self.texts = [t for _, t in items]
         self.points = [code_points(t) for t in self.texts]
         self.k = np.array([edits_allowed(len(p), error_rate) for p in self.points])
@@ -153,7 +153,8 @@ def find(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE) -> D
     """
     if not 0 <= error_rate < 0.5:
         raise ValueError("error_rate must be at least 0 and below 0.5")
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # ids go as text: pandas would make floating point numbers of a column with nulls
+    docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     spark = docs.sparkSession
     found = None
     for part in item_parts(items):
@@ -190,7 +191,8 @@ def _find(docs: DataFrame, items, error_rate: float) -> DataFrame:
                     rows.append((doc, index.ids[i], edits, end))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "edits", "end"])
 
-    return docs.mapInPandas(run, "doc_id long, item_id long, edits int, end long")
+    found = docs.mapInPandas(run, "doc_id string, item_id string, edits int, end long")
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "item_id")})
 
 
 def occurrences(text: str, index: Index) -> dict[int, tuple[int, int]]:

@@ -242,14 +242,17 @@ def subtrees(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            hosts, names, found, insides = [], [], [], []
             for host, source in zip(batch["host"], batch["html"]):
                 page = Page(source or "")
-                name = _signed(page.fingerprint())
-                rows.append((host, name, None, None))
-                rows.extend((host, name, _signed(d), inside) for d, inside in zip(*page.candidates()))
-            out = pd.DataFrame(rows, columns=["host", "page", "subtree", "inside"])
-            yield out.astype({"subtree": "Int64", "inside": "boolean"})
+                digests, inside = page.candidates()
+                hosts += [host] * (len(digests) + 1)
+                names += [_signed(page.fingerprint())] * (len(digests) + 1)
+                found += [None, *map(_signed, digests)]
+                insides += [None, *inside]
+            yield pd.DataFrame({
+                "host": hosts, "page": names, "subtree": pd.array(found, "Int64"), "inside": pd.array(insides, "boolean")
+            })
 
     return pages.select("host", "html").mapInPandas(run, "host long, page long, subtree long, inside boolean")
 

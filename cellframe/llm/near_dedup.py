@@ -106,9 +106,11 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_shingles long, f1 long, f2 long, sketch binary, low array<long>"
+    # ids go as text: pandas would make floating point numbers of a column with nulls
+    made = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
+        run, "doc_id string, n_shingles long, f1 long, f2 long, sketch binary, low array<long>"
     )
+    return made.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def sets(docs: DataFrame, shingle: int) -> DataFrame:

@@ -126,14 +126,16 @@ def count_tokens(
             for i in range(0, len(batch), 256):
                 yield _rows(batch.iloc[i:i + 256], encoder, rule)
 
-    parts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # ids go as text: pandas would make floating point numbers of a column with nulls
+    parts = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     if sections is not None:
         parts = docs.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"), "text",
+            F.col("doc_id").cast("string").alias("doc_id"), "text",
             F.transform(sections, lambda s: s["start"].cast("bigint")).alias("starts"),
             F.transform(sections, lambda s: s["end"].cast("bigint")).alias("ends"),
         )
-    return parts.mapInPandas(run, "doc_id long, " + SCHEMA)
+    counted = parts.mapInPandas(run, "doc_id string, " + SCHEMA)
+    return counted.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
 def _rows(batch: pd.DataFrame, encoder: Encoder, rule: str) -> pd.DataFrame:
@@ -156,7 +158,7 @@ def _rows(batch: pd.DataFrame, encoder: Encoder, rule: str) -> pd.DataFrame:
         for column, values in zip(columns, rows):
             column.extend(values)
     out = pd.DataFrame(dict(zip(["section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"], columns)))
-    out.insert(0, "doc_id", pd.array(ids, dtype="Int64"))
+    out.insert(0, "doc_id", pd.Series(ids, dtype=object))
     return out.astype({"section": "Int32", "start": "Int64", "end": "Int64"})
 
 
