@@ -34,6 +34,8 @@ TOP = 65_535
 SIGMAS = 5
 #: Registers also go by their last four bits, sixteen to a word, which compares many pairs fast.
 LANES = 16
+#: Bits of the parity sketch of a set: where two differ, their sets differ in at least one shingle.
+PARITY_BITS = 2_048
 WORD_CACHE = 200_000
 CHUNK = 512
 
@@ -89,8 +91,17 @@ def low_bits(sketch: np.ndarray) -> np.ndarray:
     return (lanes << (np.arange(LANES, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each bit, as 64-bit words."""
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % PARITY_BITS, minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, sketch, low): set size, a 128-bit name of the set, its registers and their ends."""
+    """(doc_id, n_shingles, f1, f2, sketch, low, odd), a row per row.
+
+    Set size, a 128-bit name of the set, its registers, their last bits, and its parity sketch.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of = Shingler(shingle)
@@ -101,14 +112,14 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
                 a = xxhash.xxh3_128_intdigest(s.tobytes())
                 sketch = registers(s) if len(s) else np.zeros(0, np.uint16)
                 rows.append((len(s), (a >> 64) - 2**63, (a & (2**64 - 1)) - 2**63,
-                             sketch.astype(">u2").tobytes(), low_bits(sketch)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sketch", "low"])
+                             sketch.astype(">u2").tobytes(), low_bits(sketch), parities(s)))
+            out = pd.DataFrame(rows, columns=["n_shingles", "f1", "f2", "sketch", "low", "odd"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     # ids go as text: pandas would make floating point numbers of a column with nulls
     made = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id string, n_shingles long, f1 long, f2 long, sketch binary, low array<long>"
+        run, "doc_id string, n_shingles long, f1 long, f2 long, sketch binary, low array<long>, odd array<long>"
     )
     return made.withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
@@ -154,9 +165,17 @@ def differing(x: str, y: str) -> str:
     return "(" + " + ".join(words) + ")"
 
 
+def odd_bits(x: str, y: str) -> str:
+    """SQL: in how many bits the parity sketches differ, never more than the shingles that only one set has."""
+    return "(" + " + ".join(f"bit_count({x}.odd[{i}] ^ {y}.odd[{i}])" for i in range(PARITY_BITS // 64)) + ")"
+
+
 def near(percent: int):
-    """What every pair of that similarity fulfils, but for one in a million: like sizes, few differing registers, and a
-    likelihood that does not peak far below."""
+    """What every pair of that similarity fulfils, but for one in a million: like sizes, parity sketches that leave
+    room for it, few differing registers, and a likelihood that does not peak far below.
+
+    The first two hold for every such pair, and dispose of most others in a few instructions.
+    """
     goal = percent / 100
     bound = goal - SIGMAS * (goal * (1 - goal) / REGISTERS) ** 0.5
     miss = (1 - goal) * (1 - 2.0**-4)
@@ -164,7 +183,9 @@ def near(percent: int):
 
     def holds(x: str, y: str) -> Column:
         sizes = f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n)"
-        return F.expr(f"{sizes} AND {differing(x, y)} <= {int(most) + 1} AND {likelihood_peak(x, y)} >= {bound}D")
+        room = f"{100 + percent} * {odd_bits(x, y)} <= {100 - percent} * ({x}.n + {y}.n)"
+        few = f"{differing(x, y)} <= {int(most) + 1}"
+        return F.expr(f"{sizes} AND {room} AND {few} AND {likelihood_peak(x, y)} >= {bound}D")
 
     return holds
 
@@ -207,16 +228,17 @@ def near_duplicates(
     name = ["f1", "f2", "n_shingles"]
     classes = keep(
         made.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*name)
-        .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"), F.first("low").alias("low"))
+        .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"), F.first("low").alias("low"),
+             F.first("odd").alias("odd"))
     )
-    sketched = classes.select("id", F.col("n_shingles").alias("n"), "sketch", "low")
+    sketched = classes.select("id", F.col("n_shingles").alias("n"), "sketch", "low", "odd")
     labels = link(
         buckets(classes), lambda ids: sketched.join(ids, "id", "left_semi"), near(percent),
         verifier(docs, shingle, percent, broadcast_rows),
     )
     named = classes.join(labels, "id", "left").select(*name, F.coalesce("label", "id").alias("found"))
     of = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return made.drop("sketch", "low").join(named, name, "left").select(
+    return made.drop("sketch", "low", "odd").join(named, name, "left").select(
         "doc_id", "n_shingles", of.alias("component_id"), F.col("doc_id").eqNullSafe(of).alias("kept")
     )
 
