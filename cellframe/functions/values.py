@@ -78,7 +78,37 @@ def seconds_to_time_of_day(v: str) -> str:
     return f"CAST(pmod(floor({_in_calendar(v)}), {SECONDS_PER_DAY}) AS INT)"
 
 
-def timestamp_to_time_of_day(v: str) -> str:
-    """Second of the day of an instant, UTC."""
-    seconds = f"floor(unix_micros(CAST({v} AS TIMESTAMP)) / 1000000)"
-    return f"CAST(pmod({seconds}, {SECONDS_PER_DAY}) AS INT)"
+# Microseconds since 1970 (`m`) of instants, local times and dates: local times and dates are meant as UTC, and no
+# expression here depends on the session's time zone.
+
+MICROS_PER_DAY = SECONDS_PER_DAY * 1_000_000
+
+
+def micros_of_instant(v: str) -> str:
+    return f"unix_micros({v})"
+
+
+def micros_of_date(v: str) -> str:
+    return f"(CAST(unix_date({v}) AS BIGINT) * {MICROS_PER_DAY}L)"
+
+
+def micros_of_local(v: str) -> str:
+    """Of a timestamp without time zone, from its fields: a cast to an instant would go by the session's zone."""
+    seconds = f"(hour({v}) * 3600L + minute({v}) * 60L)"
+    return (
+        f"({micros_of_date(f'CAST({v} AS DATE)')} + {seconds} * 1000000L "
+        f"+ CAST(extract(SECOND FROM {v}) * 1000000 AS BIGINT))"
+    )
+
+
+def micros_to_date(m: str) -> str:
+    return f"date_from_unix_date(CAST(({m} - pmod({m}, {MICROS_PER_DAY}L)) div {MICROS_PER_DAY}L AS INT))"
+
+
+def micros_to_timestamp(m: str) -> str:
+    return f"timestamp_micros({m})"
+
+
+def micros_to_time_of_day(m: str) -> str:
+    """Second of the day, UTC."""
+    return f"CAST(pmod({m}, {MICROS_PER_DAY}L) div 1000000L AS INT)"

@@ -14,6 +14,13 @@ from cellframe.operators.row_index import with_row_index
 from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform, ident
 
 
+_MICROS = {
+    T.TimestampType: V.micros_of_instant,
+    T.TimestampNTZType: V.micros_of_local,
+    T.DateType: V.micros_of_date,
+}
+
+
 def to_cells(
     df: DataFrame,
     logical_path: str | Column,
@@ -114,18 +121,20 @@ def _unsupported(info: ColumnInfo) -> str | None:
 def _slots(info: ColumnInfo) -> dict[str, str]:
     """The value slots a column fills, by its logical and physical type."""
     v = ident(info.name)
-    timed = isinstance(info.physical, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    micros = next((to(v) for kind, to in _MICROS.items() if isinstance(info.physical, kind)), None)
     if info.data_type == STRING:
         return {"value_string": V.text(v)}
     if info.data_type == DOUBLE:
         return {"value_double": V.double(v)}
     if info.data_type == DATE:
-        return {"value_date": f"CAST({v} AS DATE)" if timed else V.days_to_date(v)}
+        if isinstance(info.physical, T.DateType):
+            return {"value_date": v}
+        return {"value_date": V.micros_to_date(micros) if micros else V.days_to_date(v)}
     if info.data_type == TIMESTAMP:
-        return {"value_timestamp": f"CAST({v} AS TIMESTAMP)" if timed else V.seconds_to_timestamp(v)}
+        return {"value_timestamp": V.micros_to_timestamp(micros) if micros else V.seconds_to_timestamp(v)}
     if info.data_type == TIME:
-        if timed:
-            seconds = V.timestamp_to_time_of_day(v)
+        if micros:
+            seconds = V.micros_to_time_of_day(micros)
         elif info.is_time_of_day:
             seconds = V.seconds_to_time_of_day(v)
         else:

@@ -348,29 +348,66 @@ def _decode_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for r in batch.to_pylist():
-            done = 0
+            done, step = 0, max(1, BLOCK_CELLS // max(1, len(r["columns"])))
             try:
                 if r["body_error"]:
                     raise OSError(r["body_error"])
-                reader = _open(io.BytesIO(r["prefix"] + (r["body"] or b"")))
-                if r["skip"]:
-                    reader.read(r["skip"])
-                rows = min(r["rows"], r["row_count"] - r["first_row"])
-                step = max(1, BLOCK_CELLS // len(r["columns"]))
+                body, short = _whole_pages(r["prefix"], r["body"] or b"")
+                rows = min(r["rows"], r["row_count"] - r["first_row"]) - short
+                reader = None
                 while done < rows:
-                    frame = reader.read(min(step, rows - done))
-                    if frame.empty:
-                        raise ValueError("fewer rows than the pages announce")
+                    try:
+                        reader = reader or _reader_at(r["prefix"] + body, r["skip"] + done)
+                        frame = reader.read(min(step, rows - done))
+                        if frame.empty:
+                            raise ValueError("fewer rows than the pages announce")
+                    except Exception:
+                        if step == 1:
+                            raise
+                        # the rows in front of the one that fails are found by halving
+                        reader, step = None, max(1, min(step, rows - done) // 2)
+                        continue
                     for i, column in enumerate(r["columns"]):
-                        yield emit(r["logical_path"], None, column, r["first_row"] + done, _values(frame, i, column))
+                        values = _values(frame, i, column, reader.encoding)
+                        yield emit(r["logical_path"], None, column, r["first_row"] + done, values)
                     done += len(frame)
+                if short or len(body) != len(r["body"] or b""):
+                    raise ValueError("the file ends inside a page")
             except Exception as e:
                 yield emit(r["logical_path"], f"{ROW_FAILED}{e}", None, None, None)
 
 
-def _values(frame: pd.DataFrame, i: int, column: dict) -> pa.Array | np.ndarray:
+def _whole_pages(prefix: bytes, body: bytes) -> tuple[bytes, int]:
+    """``body`` filled up to whole pages, and how many rows the page that was cut announces."""
+    shape = PageShape(prefix[:_HEAD_SIZE])
+    left = len(body) % shape.page_size
+    if not left:
+        return body, 0
+    whole = body + bytes(shape.page_size - left)
+    return whole, shape.rows(memoryview(whole)[len(whole) - shape.page_size:], 0)
+
+
+def _reader_at(content: bytes, row: int):
+    """A reader in front of a row, which leaves text as bytes: a bad byte then spoils its cell only."""
+    reader = _open(io.BytesIO(content))
+    reader.convert_text = False
+    if row:
+        reader.read(row)
+    return reader
+
+
+def _text(value, encoding: str) -> str | None:
+    # blank text is text, not a missing value
+    if not isinstance(value, bytes):
+        return ""
+    try:
+        return value.decode(encoding)
+    except UnicodeDecodeError:
+        return None
+
+
+def _values(frame: pd.DataFrame, i: int, column: dict, encoding: str) -> list[str | None] | np.ndarray:
     series = frame.iloc[:, i]
     if column["text"]:
-        # blank text is text, not a missing value
-        return series.fillna("").to_numpy(dtype=object)
+        return [_text(v, encoding) for v in series]
     return series.to_numpy(dtype="float64")

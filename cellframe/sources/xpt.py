@@ -7,7 +7,7 @@ multiple of 80. Positions below are 0-based byte offsets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cellframe.functions import values as V
 from cellframe.functions.bytes import (
@@ -44,7 +44,11 @@ from cellframe.sources.files import read_ranges
 CARD = 80
 MEMBER_AT, MEMBER_NAME_AT, LABEL_AT, COUNT_AT, COLUMNS_AT = 240, 408, 512, 614, 640
 DESCRIPTOR_SIZE_AT = MEMBER_AT + 74
-TEXT_KIND = 2
+NUMBER_KIND, TEXT_KIND = 1, 2
+#: Cards from the start of a member's header to the end of its name.
+MEMBER_CARDS = 3
+#: A message about more than one table names so many behind the first.
+NAMED_MEMBERS = 100
 
 CHUNK_BYTES = 1 << 20
 LARGE_CHUNK_BYTES = 32 << 20
@@ -80,8 +84,9 @@ def scan_xpt(
     more = f"CASE WHEN contains(later, {_card('MEMBER')}) THEN {_member_names('later')} END"
     heads = (
         heads.selectExpr("*", f"CASE WHEN file_error IS NULL THEN {later} END AS later")
-        .selectExpr("*", f"coalesce({more}, {_NO_NAMES}) AS extra")
-        .selectExpr("* EXCEPT (file_error, later)", f"coalesce(file_error, {_table_count_error()}) AS file_error")
+        .selectExpr("*", f"coalesce({more}, {_NO_NAMES}) AS found")
+        .selectExpr("*", f"slice(found, 1, {NAMED_MEMBERS}) AS extra", "CAST(size(found) AS BIGINT) AS more")
+        .selectExpr("* EXCEPT (file_error, later, found)", f"coalesce(file_error, {_table_count_error()}) AS file_error")
     )
     with_bytes = bound(
         "content",
@@ -128,21 +133,26 @@ def scan_large_xpt(
     )
     # Later members can only be found by looking: one pass over the record bytes,
     # reduced to the names found, almost always none, before anything is shuffled.
+    # The ranges are whole cards up to the end of the file, whatever the size of a record, and each reaches far enough
+    # behind its end to hold the name of a member whose header starts inside it.
     ranges = f"inline({_chunk_ranges(chunk_bytes)})"
-    looked = read_ranges(
-        heads.filter("file_error IS NULL").selectExpr("logical_path", ranges).repartition("logical_path", "first_row")
+    step = max(1, chunk_bytes // CARD) * CARD
+    searched = heads.filter("file_error IS NULL AND file_length > records_at").selectExpr(
+        "logical_path", f"explode(sequence(records_at, file_length - 1, {step}L)) AS offset",
+        f"least(file_length - offset, {step + CARD * MEMBER_CARDS}L) AS size",
     )
+    looked = read_ranges(searched.repartition("logical_path", "offset"))
     extra = (
         looked.filter(f"contains(bytes, {_card('MEMBER')})")
-        .selectExpr("logical_path", f"explode({_member_names('bytes')}) AS name")
+        .selectExpr("logical_path", "offset", f"posexplode({_member_names('bytes', step)}) AS (n, name)")
         .groupBy("logical_path")
-        .agg({"name": "collect_list"})
-        .toDF("logical_path", "names")
-        .selectExpr("logical_path", "sort_array(names) AS extra")
+        .agg(F.count("n").alias("more"),
+             F.slice(F.sort_array(F.collect_list(F.struct("offset", "n", "name"))), 1, NAMED_MEMBERS).alias("named"))
+        .selectExpr("logical_path", "transform(named, m -> m.name) AS extra", "more")
     )
     heads = (
         heads.join(extra, "logical_path", "left")
-        .selectExpr("* EXCEPT (extra)", f"coalesce(extra, {_NO_NAMES}) AS extra")
+        .selectExpr("* EXCEPT (extra, more)", f"coalesce(extra, {_NO_NAMES}) AS extra", "coalesce(more, 0L) AS more")
         .selectExpr("* EXCEPT (file_error)", f"coalesce(file_error, {_table_count_error()}) AS file_error")
     )
     spread = heads.selectExpr("logical_path", "dataset_label", "columns", "record_size", ranges).repartition(
@@ -240,7 +250,7 @@ def read_headers(files: DataFrame, encoding: str, prefixes: Prefixes) -> DataFra
     ).selectExpr("*", "aggregate(columns, 0L, (n, c) -> n + c.size) AS record_size")
     misplaced = (
         f"exists(columns, c -> c.size < 1 OR c.at + c.size > record_size OR "
-        f"(c.kind <> {TEXT_KIND} AND c.size NOT BETWEEN 2 AND 8))"
+        f"(c.kind = {NUMBER_KIND} AND c.size NOT BETWEEN 2 AND 8))"
     )
     laid_out = described.selectExpr(
         "* EXCEPT (head, file_error, failure, descriptor_size, column_count)",
@@ -279,7 +289,7 @@ def _columns(encoding: str, prefixes: Prefixes) -> str:
     number = type_from_format("p.format", quoted(DOUBLE), prefixes)
     return (
         f"transform({written}, p -> named_struct('index', p.index, 'name', p.name, 'label', p.label, "
-        f"'format', p.format, 'type', CASE WHEN p.kind = {TEXT_KIND} THEN {quoted(STRING)} ELSE {number} END, "
+        f"'format', p.format, 'type', CASE p.kind WHEN {TEXT_KIND} THEN {quoted(STRING)} WHEN {NUMBER_KIND} THEN {number} END, "
         f"'time_of_day', {is_time_of_day('p.format')}, 'kind', p.kind, 'size', p.size, 'at', p.at))"
     )
 
@@ -314,18 +324,23 @@ def _count_records(heads: DataFrame) -> DataFrame:
     )
 
 
-def _member_names(b: str) -> str:
-    """Names of the members whose header starts at a card boundary of ``b``."""
-    cards = f"sequence(0, CAST(greatest(length(b) div {CARD} - 1, 0L) AS INT))"
+def _member_names(b: str, within: int | None = None) -> str:
+    """Names of the members whose header starts at a card boundary of ``b``, in its first ``within`` bytes."""
+    last = f"length(b) div {CARD} - 1"
+    if within is not None:
+        last = f"least({last}, {within // CARD - 1})"
+    cards = f"sequence(0, CAST(greatest({last}, 0L) AS INT))"
     name = slice_bytes("b", f"i * {CARD} + {MEMBER_NAME_AT - MEMBER_AT}", 8)
     found = f"filter({cards}, i -> {_is_card(f'i * {CARD}', 'MEMBER', 'b')})"
     return bound(b, "b", f"transform({found}, i -> rtrim({latin1(name)}))")
 
 
 def _table_count_error() -> str:
+    """The number of tables, and the names of the first ones in file order."""
+    names = f"concat_ws(', ', array(first_name), extra), CASE WHEN more > {NAMED_MEMBERS} THEN ', ...' ELSE '' END"
     return (
-        f"CASE WHEN size(extra) > 0 THEN concat({quoted(XPT_FAILED + TABLE_COUNT)}, "
-        "CAST(size(extra) + 1 AS STRING), ': ', concat_ws(', ', array(first_name), extra)) END"
+        f"CASE WHEN more > 0 THEN concat({quoted(XPT_FAILED + TABLE_COUNT)}, "
+        f"CAST(more + 1 AS STRING), ': ', {names}) END"
     )
 
 
@@ -377,9 +392,11 @@ def decode_records(chunks: DataFrame, encoding: str) -> DataFrame:
     raw = fields.selectExpr(
         "*",
         f"CASE WHEN c.kind = {TEXT_KIND} THEN {fixed_text('field', encoding)} END AS text",
-        f"CASE WHEN c.kind <> {TEXT_KIND} THEN {hex_float_bits('field')} END AS bits",
+        f"CASE WHEN c.kind = {NUMBER_KIND} THEN {hex_float_bits('field')} END AS bits",
     )
-    return typed_cells(raw.selectExpr("*", f"{hex_float('bits')} AS number"), encoding)
+    unsupported = "CASE WHEN c IS NOT NULL AND c.type IS NULL THEN concat('Unsupported data type ', CAST(c.kind AS STRING)) END"
+    numbers = raw.selectExpr("* EXCEPT (error)", f"{hex_float('bits')} AS number", f"coalesce(error, {unsupported}) AS error")
+    return typed_cells(numbers, encoding)
 
 
 def typed_cells(raw: DataFrame, encoding: str = "UTF-8") -> DataFrame:

@@ -42,6 +42,8 @@ def contents():
     out["none.sas7bdat"] = write_sas7bdat(FIELDS, [])
     out["cut.sas7bdat"] = write_sas7bdat(FIELDS, rows(2000))[:-1000]
     out["bad.sas7bdat"] = b"invalid sas content"
+    for kind in ("mixed", "packed"):
+        out[f"spoiled-{kind}.sas7bdat"] = out[f"{kind}.sas7bdat"].replace("n700é".encode(), b"n700\xff\xff", 1)
     return out
 
 
@@ -50,7 +52,7 @@ def files(spark, contents):
     return spark.createDataFrame([(k, bytearray(v)) for k, v in contents.items()], cf.FILE_SCHEMA)
 
 
-def test_cells(spark, files):
+def test_cells(spark, files, contents):
     cells = cf.parse_files(files)
     assert cf.matches_contract(cells)
     found = {}
@@ -75,18 +77,33 @@ def test_cells(spark, files):
     assert [r.error_msg for r in found["bad.sas7bdat"]] == [
         "Failed to parse SAS file: magic number mismatch (not a SAS file?)"
     ]
-    # the last page is short: rows up to it, then one error row
+    # the last page is short: all rows up to it, then one error row
     cut = found["cut.sas7bdat"]
     errors = [r for r in cut if r.error_msg]
-    assert len(errors) == 1 and errors[0].error_msg.startswith("Failed to")
+    assert [r.error_msg for r in errors] == ["Failed to get next row: the file ends inside a page"]
+    last = sas7bdat.PageShape(contents["cut.sas7bdat"][:288]).page_size
+    layout = sas7bdat.read_layout(io.BytesIO(contents["cut.sas7bdat"]), contents["cut.sas7bdat"], last)
+    kept = 2000 - layout["range_rows"][-1]
+    assert 1000 < kept < 2000
+    assert [repr(r) for r in cut if not r.error_msg] == [
+        repr(r).replace("mixed.", "cut.") for r in found["mixed.sas7bdat"][: 4 * kept]
+    ]
+    # a byte that is no text spoils its cell only
+    for kind in ("mixed", "packed"):
+        spoiled = found[f"spoiled-{kind}.sas7bdat"]
+        bad = [r for r in spoiled if r.error_msg]
+        assert [(r.row_index, r.column_name, r.error_msg) for r in bad] == [
+            (700, "name", "Failed to get value: the bytes are not UTF-8 text")
+        ]
+        good = [repr(r).replace(f"{kind}.sas", f"spoiled-{kind}.sas") for r in found[f"{kind}.sas7bdat"]]
+        assert [repr(r) for r in spoiled if not r.error_msg] == good[:2801] + good[2802:]
 
 
 def test_ranges_give_the_same_cells(files):
-    ok = files.filter("logical_path not like 'cut%'")
-    whole = sas7bdat.scan_sas7bdat(ok)
-    pieces = sas7bdat.scan_sas7bdat(ok, range_bytes=10_000)
+    whole = sas7bdat.scan_sas7bdat(files)
+    pieces = sas7bdat.scan_sas7bdat(files, range_bytes=10_000)
     found = listed(whole)
-    assert len(found) == 4 * 8000 + 4 + 2
+    assert len(found) > 6 * 8000 + 4 + 2 + 4 * 1000
     assert listed(pieces) == found
 
 
@@ -95,12 +112,11 @@ def test_large_files_are_read_by_ranges(spark, files, contents, tmp_path):
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
         listing.append((f"file:{tmp_path}/{name}", len(content)))
-    on_disk = spark.createDataFrame(listing, "logical_path string, length bigint").filter("logical_path not like '%cut%'")
+    on_disk = spark.createDataFrame(listing, "logical_path string, length bigint")
     pieces = sas7bdat.scan_large_sas7bdat(on_disk, range_bytes=10_000).selectExpr(
         "substring_index(logical_path, '/', -1) AS logical_path", "* EXCEPT (logical_path)"
     )
-    whole = sas7bdat.scan_sas7bdat(files.filter("logical_path not like 'cut%'"))
-    assert listed(pieces) == listed(whole)
+    assert listed(pieces) == listed(sas7bdat.scan_sas7bdat(files))
 
 
 @pytest.mark.parametrize("options", KINDS.values(), ids=KINDS)

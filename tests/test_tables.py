@@ -47,6 +47,32 @@ def test_every_type(spark):
     assert [len(s) for s in slots] == [1, 1, 1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 2, 2]
 
 
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+def test_values_do_not_depend_on_the_session_zone(spark, zone):
+    """Local times and dates are meant as UTC; 2021-03-14 02:30 does not exist in New York."""
+    sql = (
+        "SELECT 1 AS id, TIMESTAMP_NTZ'2021-03-14 02:30:03.25' AS local, TIMESTAMP'2020-01-01 01:02:03Z' AS instant, "
+        "TIMESTAMP_NTZ'1890-05-06 23:59:59.999999' AS old, DATE'2020-01-01' AS day"
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql(sql)
+        for format, slot in (("DATE9.", "value_date"), ("TOD8.", "value_time"), ("DATETIME20.", "value_timestamp")):
+            names = ["local", "instant", "old", "day"]
+            cells = cf.to_cells(df, "t", columns=names, order_by=["id"], formats=dict.fromkeys(names, format))
+            as_text = f"unix_micros({slot})" if slot == "value_timestamp" else f"CAST({slot} AS STRING)"
+            got = {r.column_name: r.v for r in cells.selectExpr("column_name", f"{as_text} AS v").collect()}
+            assert got == {
+                "value_date": {"local": "2021-03-14", "instant": "2020-01-01", "old": "1890-05-06", "day": "2020-01-01"},
+                "value_time": {"local": "9003", "instant": "3723", "old": "86399", "day": "0"},
+                "value_timestamp": {"local": 1615689003250000, "instant": 1577840523000000,
+                                    "old": -2513635200000001, "day": 1577836800000000},
+            }[slot]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 V_SLOTS = ["value_string", "value_double", "value_date", "value_time", "value_timestamp"]
 
 

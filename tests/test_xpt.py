@@ -207,7 +207,12 @@ def test_large_files_are_read_by_ranges(spark, tmp_path):
     good, cut = write(fields, rows), write(fields, rows)[:-45]
     many = header([Field(f"V{i}") for i in range(300)]) + pad_card(number(7.0) * 300)
     two = good + write(fields, rows, member="SECOND", library=False)
-    contents = {"good": good, "cut": cut, "many": many, "two": two, "junk": b"dummy", "empty": write(fields, [])}
+    # a second member behind the last whole record, and members that are not in the order of their names
+    wide = write([Field("T", 2_000, True)], [("x",)])
+    behind = wide + write(fields, [], member="OTHER", library=False)
+    three = good + write(fields, rows, member="ZZZ", library=False) + write(fields, rows[:3], member="BBB", library=False)
+    contents = {"good": good, "cut": cut, "many": many, "two": two, "junk": b"dummy", "empty": write(fields, []),
+                "behind": behind, "three": three}
     for name, content in contents.items():
         (tmp_path / f"{name}.xpt").write_bytes(content)
     (tmp_path / "other.txt").write_bytes(b"x")
@@ -219,9 +224,14 @@ def test_large_files_are_read_by_ranges(spark, tmp_path):
         chunk_bytes=100,
     )
     found = listed(small)
-    assert len(found) == 2000 + 1998 + 1 + 300 + 1 + 1 + 1 + 1
+    assert len(found) == 2000 + 1998 + 1 + 300 + 1 + 1 + 1 + 1 + 2
+    messages = {r.logical_path.rpartition("/")[2]: r.error_msg for r in small.where("error_msg LIKE '%found%'").collect()}
+    table_count = "Failed to read XPT file: A single table in XPT-file is supported, found "
+    assert messages == {"two.xpt": table_count + "2: DATA, SECOND", "behind.xpt": table_count + "2: DATA, OTHER",
+                        "three.xpt": table_count + "3: DATA, ZZZ, BBB"}
     assert listed(large) == found
     assert listed(in_pieces) == [r for r in found if ".txt" not in r]
+    assert listed(cf.read_files(spark, str(tmp_path), whole_file_bytes=0)) == found
     missing = spark.createDataFrame([(f"file:{tmp_path}/gone.xpt", 900)], "logical_path string, length bigint")
     (row,) = xpt.scan_large_xpt(missing).collect()
     assert row.error_msg.startswith("Failed to read XPT file: FileNotFoundError")
@@ -232,5 +242,17 @@ def test_records_are_decoded_in_the_jvm(spark):
     assert "Python" not in plan and "InPandas" not in plan
 
 
+def test_unsupported_kinds_spoil_their_column_only(spark):
+    content = write([Field("N"), Field("X"), Field("T", 3, True)], [(1.0, 2.0, "abc"), (3.0, 4.0, "def")])
+    at = xpt.COLUMNS_AT + 140
+    content = content[:at] + b"\0\7" + content[at + 2:]
+    cells = parsed(spark, {"k.xpt": content})["k.xpt"]
+    assert [(c.column_name, c.data_type, c.value_double, c.value_string, c.error_msg) for c in cells] == [
+        ("N", "Double", 1.0, None, None), ("X", None, None, None, "Unsupported data type 7"),
+        ("T", "String", None, "abc", None), ("N", "Double", 3.0, None, None),
+        ("X", None, None, None, "Unsupported data type 7"), ("T", "String", None, "def", None),
+    ]
+
+
 def test_card_text():
     assert len(card("OBS")) == 80
