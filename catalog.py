@@ -13,7 +13,7 @@ from cellframe.operators import quality, routing
 from cellframe.operators.dictionary import describe, dictionary_of_datasets
 from cellframe.operators.errors import empty_datasets
 from cellframe.operators.row_index import with_row_index
-from cellframe.sources import xpt
+from cellframe.sources import files, xpt
 from fixtures import tables as X
 from fixtures.sas7bdat import sas7bdat_files
 from fixtures.tables import table
@@ -114,8 +114,10 @@ ORDER = {
 
 
 def table_cells(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
+    # no value of the first key is more than a handful of rows
     return cf.to_cells(
-        table(spark, sf_dir, name), name, order_by=ORDER[name], rows_per_bucket=ROWS_PER_BUCKET, **options
+        table(spark, sf_dir, name), name, order_by=ORDER[name], bucket_by=ORDER[name][:1],
+        rows_per_bucket=ROWS_PER_BUCKET, **options,
     )
 
 
@@ -138,12 +140,13 @@ def _register_tables() -> None:
 
 
 _register_tables()
-PRUNED = ["l_orderkey", "l_shipdate", "l_returnflag"]
+PRUNED = ["o_orderdate", "o_orderstatus"]
 
 
-@query(table_cells_sql("lineitem", PRUNED))
+@query(table_cells_sql("orders", PRUNED))
 def cells_pruned(spark, sf_dir):
-    return table_cells(spark, sf_dir, "lineitem", columns=PRUNED)
+    """Two columns of a table with a unique key: the scan reads these and the key."""
+    return table_cells(spark, sf_dir, "orders", columns=PRUNED)
 
 
 @query(
@@ -244,13 +247,14 @@ def err_unsupported_type(spark, sf_dir):
 
 @query(
     "SELECT " + sql_row("'customer_' || c_custkey", "'Empty SAS dataset'") + " FROM customer "
-    "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"
+    "WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_custkey % 3 <> 0)"
 )
 def err_empty(spark, sf_dir):
     def path(key):
         return F.concat(F.lit("customer_"), F.col(key).cast("string"))
 
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # customers whose number is a multiple of three have no orders in this collection
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").where("o_custkey % 3 <> 0")
     cells = cf.to_cells(
         orders, path("o_custkey"), columns=["o_orderkey"], order_by=["o_orderkey"], rows_per_bucket=ROWS_PER_BUCKET
     )
@@ -333,8 +337,8 @@ def dataset_label(spark, sf_dir):
 
 _NAMES = (
     "SELECT p_brand AS logical_path, CAST(p_partkey AS INTEGER) AS column_index, "
-    "CASE WHEN p_partkey % 2 = 0 THEN p_name ELSE p_type || '_' || p_brand || repeat('x', p_size // 2) END "
-    "AS column_name FROM part"
+    "CASE WHEN p_partkey % 3 = 0 THEN 'PART_' || p_partkey WHEN p_partkey % 2 = 0 THEN p_name "
+    "ELSE p_type || '_' || p_brand || repeat('x', p_size // 2) END AS column_name FROM part"
 )
 
 
@@ -345,7 +349,8 @@ def _named_columns(spark, sf_dir):
     return table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("logical_path"),
         F.col("p_partkey").cast("int").alias("column_index"),
-        F.when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(long_name).alias("column_name"),
+        F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("PART_"), F.col("p_partkey").cast("string")))
+        .when(F.col("p_partkey") % 2 == 0, F.col("p_name")).otherwise(long_name).alias("column_name"),
     )
 
 
@@ -579,10 +584,39 @@ _PAGE_ERROR = (
 
 
 @query(f"SELECT logical_path, CAST(octet_length(content) AS INTEGER) AS length FROM ({PAGES})")
-def scan_files(spark, sf_dir):
+def file_table(spark, sf_dir):
+    """A table of contents as a collection of files."""
     return X.page_files(spark, sf_dir).select("logical_path", F.length("content").alias("length"))
 
 
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+_TABLE_FILES = "SELECT unnest([" + ", ".join(f"'{t}.parquet'" for t in _TABLES) + "]) AS name"
+_BASE_NAME = "substring_index(logical_path, '/', -1)"
+
+
+@query(f"SELECT name, true AS whole, 'PAR1' AS magic FROM ({_TABLE_FILES})")
+def scan_files(spark, sf_dir):
+    """The files of the tables themselves, with their contents."""
+    return files.scan_files(spark, sf_dir, "*.parquet").selectExpr(
+        f"{_BASE_NAME} AS name", "length(content) = length AS whole", "CAST(substr(content, 1, 4) AS STRING) AS magic"
+    )
+
+
+@query(
+    "SELECT name, 'Unsupported SAS dataset (only .sas7bdat and .xpt supported): ' || name AS error "
+    f"FROM ({_TABLE_FILES})"
+)
+def read_folder(spark, sf_dir):
+    """A folder as a dataset collection: every file that is none becomes an error row with its path."""
+    cells = cf.read_files(spark, sf_dir)
+    return cells.selectExpr(f"{_BASE_NAME} AS name", f"replace(error_msg, logical_path, {_BASE_NAME}) AS error").where(
+        "name LIKE '%.parquet'"
+    )
+
+
 @query(f"SELECT logical_path, {_FORMAT} IS NOT NULL AS supported FROM ({PAGES})")
 def route_supported(spark, sf_dir):
     files = X.page_files(spark, sf_dir)
@@ -609,6 +643,36 @@ def err_bad_header(spark, sf_dir):
     return cf.parse_files(routing.of_format(X.page_files(spark, sf_dir), routing.XPT))
 
 
+# What each spoiled copy of a customer file says, and the bytes put into it at which place (from 1).
+_SPOILED = [
+    ("not a transport file", 1, "00"),
+    ("no member header", xpt.MEMBER_AT + 1, "00"),
+    ("no column descriptors", xpt.COLUMNS_AT - xpt.CARD + 1, "00"),
+    ("bad column count", xpt.COUNT_AT + 1, "78787878"),
+    ("bad column descriptors", xpt.COLUMNS_AT + 5, "0000"),
+    ("no observation header", X.CUSTOMER_HEADER - xpt.CARD + 1, "00"),
+    ("A single table in XPT-file is supported, found 0: ", None, f"substr(content, 1, {xpt.MEMBER_AT})"),
+    ("no content", None, "CAST(NULL AS BINARY)"),
+]
+_SPOILED_PATH = "replace(path, '.xpt', '_' || copy || '.xpt')"
+
+
+@query(
+    "SELECT " + sql_row(
+        _SPOILED_PATH, "'Failed to read XPT file: ' || [" + ", ".join(quoted(m) for m, *_ in _SPOILED) + "][copy + 1]"
+    ) + f" FROM (SELECT DISTINCT {CUSTOMER_PATH} AS path FROM customer), range({len(_SPOILED)}) r(copy)"
+)
+def err_every_header(spark, sf_dir):
+    """Customer files, each spoiled in every way a header can be."""
+    contents = [
+        put if at is None else f"overlay(content PLACING X'{put}' FROM {at})" for _, at, put in _SPOILED
+    ]
+    spoiled = X.customer_files(spark, sf_dir).selectExpr(
+        "logical_path AS path", f"posexplode(array({', '.join(contents)})) AS (copy, content)"
+    )
+    return cf.parse_files(spoiled.selectExpr(f"{_SPOILED_PATH} AS logical_path", "content"))
+
+
 CUSTOMER_VALUES = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
@@ -698,12 +762,33 @@ def split_errors(spark, sf_dir):
 @query(
     "SELECT " + sql_row(
         "path",
-        "'Failed to read XPT file: A single table in XPT-file is supported, found 2: CUST, CUST'",
+        "'Failed to read XPT file: A single table in XPT-file is supported, found 3: CUST, ZED, ABE'",
     ) + f" FROM (SELECT DISTINCT {CUSTOMER_PATH} AS path FROM customer)"
 )
 def err_multi_table(spark, sf_dir):
-    again = F.concat("content", F.col("content").substr(F.lit(xpt.MEMBER_AT + 1), F.length("content")))
-    return cf.parse_files(X.customer_files(spark, sf_dir).withColumn("content", again))
+    """Two more members, not in the order of their names."""
+
+    def member(name: str) -> str:
+        at = xpt.MEMBER_NAME_AT - xpt.MEMBER_AT + 1
+        return f"overlay(substr(content, {xpt.MEMBER_AT + 1}) PLACING X'{name.ljust(8).encode().hex()}' FROM {at})"
+
+    more = F.expr(f"concat(content, {member('ZED')}, {member('ABE')})")
+    return cf.parse_files(X.customer_files(spark, sf_dir).withColumn("content", more))
+
+
+@query(
+    cells_sql(
+        f"SELECT *, {CUSTOMER_PATH} AS path FROM customer", "path", "c_custkey",
+        [(n, lab, fmt, None if i == 1 else t, {} if i == 1 else {"value_string" if t == "String" else "value_double": v})
+         for i, ((n, lab, fmt, t), v) in enumerate(zip(CUSTOMER_DICTIONARY, CUSTOMER_VALUES))],
+        label=X.CUSTOMER_LABEL, datasets="path", errors={1: "'Unsupported data type 7'"},
+    )
+)
+def err_unsupported_kind(spark, sf_dir):
+    """A column that is neither number nor text: errors in its cells, the other columns intact."""
+    kind_at = xpt.COLUMNS_AT + 140 + 1
+    spoiled = F.expr(f"overlay(content PLACING X'0007' FROM {kind_at})")
+    return cf.parse_files(X.customer_files(spark, sf_dir).withColumn("content", spoiled))
 
 
 KEPT = X.ROWS_PER_FILE // 2

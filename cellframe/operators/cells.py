@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from cellframe.functions import values as V
 from cellframe.functions.formats import FORMAT_PREFIXES, quoted
 from cellframe.operators.dictionary import ColumnInfo, describe
+from cellframe.operators.errors import ROW_FAILED, TOO_MANY_ROWS
 from cellframe.operators.row_index import with_row_index
 from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform, ident
 
@@ -33,6 +34,7 @@ def to_cells(
     formats: Mapping[str, str] | None = None,
     prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
     rows_per_bucket: int = 1_000_000,
+    bucket_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per cell of ``df``: rows x columns, missing values included.
 
@@ -40,6 +42,8 @@ def to_cells(
     Rows are numbered by the existing column ``row_index``, or else in the order of
     ``order_by`` within each dataset. ``columns`` picks what is pivoted; filters
     cannot move below the pivot, so this is what lets Parquet skip the other columns.
+    ``bucket_by``, a leading part of ``order_by``, makes numbering cheaper, see ``with_row_index``.
+    Rows past 32 bits keep their cells, with a null index and an error.
     """
     if (row_index is None) == (order_by is None):
         raise ValueError("give either row_index or order_by")
@@ -54,7 +58,10 @@ def to_cells(
         row_index = "_row_index"
         needed = dict.fromkeys(["_path", *columns, *order_by])
         dataset_by = [] if one_dataset else ["_path"]
-        df = with_row_index(df.select(*map(ident, needed)), order_by, dataset_by, row_index, rows_per_bucket)
+        df = with_row_index(
+            df.select(*map(ident, needed)), order_by, dataset_by, row_index, rows_per_bucket, bucket_by=bucket_by
+        )
+        return pivot(df, infos, "_path", row_index, dataset_label, f"{ROW_FAILED}{TOO_MANY_ROWS}")
     return pivot(df, infos, "_path", row_index, dataset_label)
 
 
@@ -64,13 +71,15 @@ def pivot(
     path: str,
     row_index: str,
     dataset_label: str | None = None,
+    unnumbered: str | None = None,
 ) -> DataFrame:
     """Pivot rows that already carry their path and row index.
 
     The values of one slot (all doubles, all strings, ...) are put side by side in
     an array, once per row; the only exploded thing is the column number, which
     then looks up its metadata and its value. Built-in ``unpivot`` needs one common
-    value type, and an array of structs per row costs twice the time.
+    value type, and an array of structs per row costs twice the time. ``unnumbered`` is
+    the error of cells without a row index.
     """
     values = [_slots(i) for i in infos]
     arrays, places = {}, {}
@@ -107,7 +116,8 @@ def pivot(
         column_label=texts(i.label for i in infos),
         column_format=texts(i.format for i in infos),
         data_type=texts(i.data_type for i in infos),
-        error_msg=texts(_unsupported(i) for i in infos),
+        error_msg=texts(_unsupported(i) for i in infos) if unnumbered is None else
+        f"coalesce({texts(_unsupported(i) for i in infos)}, CASE WHEN _row IS NULL THEN {quoted(unnumbered)} END)",
         **{slot: value(slot) for slot in arrays},
     )
 

@@ -13,6 +13,7 @@ EMPTY_DATASET = "Empty SAS dataset"
 XPT_FAILED = "Failed to read XPT file: "
 SAS_FAILED = "Failed to parse SAS file: "
 ROW_FAILED = "Failed to get next row: "
+TOO_MANY_ROWS = "more rows than row_index can number"
 VALUE_FAILED = "Failed to get value: "
 TABLE_COUNT = "A single table in XPT-file is supported, found "
 

@@ -20,6 +20,7 @@ def with_row_index(
     name: str = "row_index",
     rows_per_bucket: int = 1_000_000,
     max_buckets: int = 16_384,
+    bucket_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the position of each row within its dataset, in the order of ``order_by``.
 
@@ -31,15 +32,26 @@ def with_row_index(
     the dataset's earlier buckets plus its rank inside its own. The rows are
     shuffled once, on the bucket; the bucket counts are aggregated before their
     shuffle and are as few as there are buckets and datasets.
+
+    ``bucket_by`` is a leading part of ``order_by``, by default all of it. Boundaries
+    and counts then read these columns alone, but rows equal in them are never split.
+    Up to ``rows_per_bucket`` rows are one bucket and one task per dataset; beyond
+    ``max_buckets`` buckets only their size grows, as the driver holds the boundaries.
+    Building runs jobs: a count of rows and, for more than one bucket, the sample.
+    An index past 32 bits is null.
     """
-    keys = [*dataset_by, *order_by]
+    bucket_by = list(order_by if bucket_by is None else bucket_by)
+    if bucket_by != list(order_by)[: len(bucket_by)] or not bucket_by:
+        raise ValueError("bucket_by has to be a leading part of order_by")
+    keys = [*dataset_by, *bucket_by]
     total = df.count()
     buckets = min(max_buckets, total // rows_per_bucket + 1)
     if buckets == 1:
         window = _window(dataset_by, order_by)
         return df.withColumn(name, _to_int(F.row_number().over(window) - 1))
 
-    key = F.struct(*[F.col(ident(k)) for k in keys])
+    parts = [F.col(ident(k)) for k in keys]
+    key = parts[0] if len(parts) == 1 else F.struct(*parts)
     bounds = _boundaries(df.select(key.alias("key")), total, buckets)
     # Dataset and bucket as one struct: never null, so grouping, ranking and joining
     # all need the same partitioning and the rows are not moved again for the join.
@@ -68,9 +80,8 @@ def _window(partition: Sequence[str], order_by: Sequence[str]):
 
 
 def _to_int(index: Column) -> Column:
-    """The contract's index has 32 bits: fail loudly past them, never wrap around."""
-    too_big = F.raise_error(F.lit("row_index does not fit 32 bits")).cast("int")
-    return F.when(index > INT_MAX, too_big).otherwise(index.cast("int"))
+    """The contract's index has 32 bits: null past them, never wrapped around."""
+    return F.when(index <= INT_MAX, index.cast("int"))
 
 
 def _boundaries(keys: DataFrame, total: int, buckets: int) -> Column:
@@ -86,11 +97,12 @@ def _boundaries(keys: DataFrame, total: int, buckets: int) -> Column:
     picked = (
         sample.select("key", rank.alias("n"), step.alias("step"))
         .filter(F.col("n") % F.col("step") == 0)
+        .select(F.struct("key").alias("key"))
         .agg(F.to_json(F.sort_array(F.collect_set("key")), {"ignoreNullFields": "false"}).alias("bounds"))
         .first()
     )
-    schema = f"array<{keys.schema['key'].dataType.simpleString()}>"
-    return F.sort_array(F.from_json(F.lit(picked["bounds"]), schema))
+    schema = f"array<struct<key: {keys.schema['key'].dataType.simpleString()}>>"
+    return F.sort_array(F.transform(F.from_json(F.lit(picked["bounds"]), schema), lambda b: b["key"]))
 
 
 def _bucket_of(key: Column, bounds: Column, buckets: int) -> Column:

@@ -34,7 +34,6 @@ from cellframe.sources.xpt import typed_cells
 
 RANGE_BYTES = 16 << 20
 BLOCK_CELLS = 1 << 18
-INT_MAX = 2**31 - 1
 
 # Positions in the first bytes of a file.
 _HEAD_SIZE, _WIDE_AT, _SHIFT_AT, _ORDER_AT, _SIZES_AT = 288, 32, 35, 37, 196
@@ -185,8 +184,6 @@ def read_layout(source, content: bytes | None = None, range_bytes: int = RANGE_B
             ]
         if reader.row_count == 0:
             out["file_error"] = EMPTY_DATASET
-        elif reader.row_count > INT_MAX:
-            out["file_error"] = ROW_FAILED + "more rows than row_index can number"
     except Exception as e:
         out["file_error"] = f"{SAS_FAILED}{e}"
     return out

@@ -34,6 +34,7 @@ from cellframe.operators.errors import (
     EMPTY_DATASET,
     ROW_FAILED,
     TABLE_COUNT,
+    TOO_MANY_ROWS,
     VALUE_FAILED,
     XPT_FAILED,
 )
@@ -318,8 +319,7 @@ def _count_records(heads: DataFrame) -> DataFrame:
         .selectExpr(
             "* EXCEPT (file_error)",
             f"CASE WHEN file_error IS NOT NULL THEN file_error "
-            f"WHEN rows = 0 AND NOT cut_short THEN {quoted(EMPTY_DATASET)} WHEN rows > {INT_MAX} "
-            f"THEN {quoted(ROW_FAILED + 'more rows than row_index can number')} END AS file_error",
+            f"WHEN rows = 0 AND NOT cut_short THEN {quoted(EMPTY_DATASET)} END AS file_error",
         )
     )
 
@@ -410,12 +410,13 @@ def typed_cells(raw: DataFrame, encoding: str = "UTF-8") -> DataFrame:
     def when(logical: str, value: str) -> str:
         return f"CASE WHEN c.type = {quoted(logical)} THEN {value} END"
 
+    unnumbered = f"CASE WHEN row > {INT_MAX} THEN {quoted(ROW_FAILED + TOO_MANY_ROWS)} END"
     spoiled = quoted(f"{VALUE_FAILED}the bytes are not {encoding} text")
     return conform(
         timed,
         logical_path="logical_path",
         dataset_label="dataset_label",
-        row_index="row",
+        row_index=f"CASE WHEN row <= {INT_MAX} THEN row END",
         column_index="c.index",
         column_name="c.name",
         column_label="c.label",
@@ -427,5 +428,5 @@ def typed_cells(raw: DataFrame, encoding: str = "UTF-8") -> DataFrame:
         value_date=when(DATE, V.days_to_date("number")),
         value_time="seconds",
         value_timestamp=when(TIMESTAMP, V.seconds_to_timestamp("number")),
-        error_msg=f"coalesce(error, CASE WHEN c.type = {quoted(STRING)} AND text IS NULL THEN {spoiled} END)",
+        error_msg=f"coalesce(error, CASE WHEN c.type = {quoted(STRING)} AND text IS NULL THEN {spoiled} END, {unnumbered})",
     )

@@ -1,15 +1,20 @@
 """Tables to cells: types, numbering, and the shape of the plans."""
 
+import re
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import Window, functions as F
 
+import __spark_entry__ as entry_point
 import cellframe as cf
 from cellframe.functions import values as V
 from cellframe.functions.formats import format_text, type_from_format, type_of_format
+from cellframe.operators import row_index
+from cellframe.operators.cells import pivot
 from cellframe.operators.dictionary import describe
 from cellframe.operators.row_index import with_row_index
+from cellframe.sources.xpt import typed_cells
 
 ALL_TYPES = """
     SELECT 1 AS id, 'text' AS s, true AS b, 7Y AS tiny, 2.50BD AS dec, FLOAT(0.5) AS f, DATE'2020-01-01' AS d,
@@ -142,6 +147,42 @@ def test_row_index_with_hot_datasets_and_nulls(spark):
     assert got.count() == 20000 and got.exceptAll(wanted).count() == 0
 
 
+@pytest.mark.parametrize("keys", [["k"], ["k", "r"]])
+def test_row_index_by_a_part_of_the_order(spark, keys):
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 17 != 0, F.col("id") % 900).alias("k"), F.rand(3).alias("r"), "id"
+    )
+    got = with_row_index(df, ["k", "r", "id"], rows_per_bucket=300, bucket_by=keys)
+    window = Window.orderBy(*[F.col(c).asc_nulls_first() for c in ("k", "r", "id")])
+    wanted = df.withColumn("row_index", (F.row_number().over(window) - 1).cast("int"))
+    assert got.count() == 6000 and got.exceptAll(wanted).count() == 0
+    with pytest.raises(ValueError, match="bucket_by"):
+        with_row_index(df, ["k", "id"], bucket_by=["id"])
+
+
+def test_rows_past_32_bits_keep_their_cells(spark):
+    index = F.col("id") + 2**31 - 2
+    rows = spark.range(4).select(row_index._to_int(index).alias("n"), F.lit("v").alias("t"))
+    cells = pivot(rows.withColumn("_path", F.lit("p")), describe(rows, ["t"]), "_path", "n", unnumbered="too many")
+    got = sorted(((r.row_index, r.value_string, r.error_msg) for r in cells.collect()), key=str)
+    assert got == [(2147483646, "v", None), (2147483647, "v", None), (None, "v", "too many"), (None, "v", "too many")]
+    raw = spark.sql(
+        "SELECT 'p' AS logical_path, CAST(NULL AS STRING) AS dataset_label, CAST(NULL AS STRING) AS error, id AS row, "
+        "named_struct('index', 0, 'name', 'n', 'label', '', 'format', '', 'type', 'Double', 'time_of_day', false) AS c, "
+        "CAST(NULL AS STRING) AS text, 1.5D AS number FROM range(2147483647, 2147483649)"
+    )
+    got = [(r.row_index, r.value_double, r.error_msg) for r in typed_cells(raw).orderBy("row_index").collect()]
+    assert got == [(None, 1.5, "Failed to get next row: more rows than row_index can number"), (2147483647, 1.5, None)]
+
+
+def test_the_registered_query_prunes(spark):
+    plan = entry_point.queries()["cells_pruned"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan.executedPlan().toString())
+    assert schemas and all(
+        {c.partition(":")[0] for c in s.split(",") if c} <= {"o_orderkey", "o_orderdate", "o_orderstatus"} for s in schemas
+    )
+
+
 def test_row_index_moves_rows_once(spark):
     """Also where the bucket counts are too many to broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
