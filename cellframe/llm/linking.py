@@ -24,7 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round hooks every vertex to its smallest neighbour, follows hooks once, and contracts the edges; a chain or a
     star takes a logarithmic number of rounds in practice. All tables are joined and grouped by key, nothing returns to
-    the driver but a count, and every round is written to the shared folder.
+    the driver but a count, and every round's hooks and edges are written to the shared folder.
     """
     edges = keep(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     labels = None
@@ -34,7 +34,6 @@ def components(edges: DataFrame) -> DataFrame:
         hooks = both.groupBy("a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("id"), F.least("a", "m").alias("to")
         )
-        hooks = keep(hooks)
         next_hook = hooks.select(F.col("id").alias("to"), F.col("to").alias("then"))
         hooks = keep(hooks.join(next_hook, "to", "left").select("id", F.coalesce("then", "to").alias("to")))
         if labels is None:
@@ -42,7 +41,6 @@ def components(edges: DataFrame) -> DataFrame:
         else:
             step = hooks.select(F.col("id").alias("label"), "to")
             labels = labels.join(step, "label", "left").select("id", F.coalesce("to", "label").alias("label"))
-        labels = keep(labels)
         for end in ("a", "b"):
             step = hooks.select(F.col("id").alias(end), F.col("to").alias(f"{end}_to"))
             edges = edges.join(step, end, "left").withColumn(end, F.coalesce(f"{end}_to", end)).drop(f"{end}_to")
@@ -52,7 +50,7 @@ def components(edges: DataFrame) -> DataFrame:
         left = edges.count()
     if labels is None:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("label"))
-    return labels
+    return keep(labels)
 
 
 def link(members: DataFrame, describe: Callable[[DataFrame], DataFrame], near: Near, verify: Verify) -> DataFrame:
