@@ -4,7 +4,8 @@ Two lines are alike if at most ``max_edits`` characters are inserted, deleted or
 given length is split into ``max_edits + 1`` segments of even length, one of which any alike line still holds nearly in
 place; which places a longer or equal line can hold it at follows from its length and the number of the segment. So
 each line indexes its segments and probes those few substrings for each length it may meet. What meets is compared by
-banded bit-parallel edit distance, in a window of ``2 * max_edits + 1`` diagonals that moves down the lines.
+banded bit-parallel edit distance, in a window of ``2 * max_edits + 1`` diagonals that moves down the lines, after
+their common starts and ends are cut off.
 
 Alike lines form groups; the first line of a group (smallest doc_id, then text hash, then place) stays and the others
 are removed from their documents, exact repeats included. Lines shorter than ``MIN_CHARS`` always stay.
@@ -62,26 +63,48 @@ def within(a: str, b: str, k: int = MAX_EDITS) -> str:
     from the row above. The sum of the diagonal that ends in the last cell is followed.
     """
     full = (1 << (2 * k + 1)) - 1
-    equal = " | ".join(f"if(get({a}, j - {k - r} - 1) = {b}[j - 1], {1 << r}L, 0L)" for r in range(2 * k + 1))
-    d0 = "(((x.eq & x.vp) + x.vp) ^ x.vp | x.eq | x.vn)"
-    hp = f"((x.vn | ~({d0} | x.vp)) & {full}L)"
-    hn = f"({d0} & x.vp)"
+    equal = " | ".join(f"if(get({a}, _j - {k - r} - 1) = {b}[_j - 1], {1 << r}L, 0L)" for r in range(2 * k + 1))
+    d0 = "(((_v.eq & _v.vp) + _v.vp) ^ _v.vp | _v.eq | _v.vn)"
+    hp = f"((_v.vn | ~({d0} | _v.vp)) & {full}L)"
+    hn = f"({d0} & _v.vp)"
     lower = f"shiftright({d0} & {full}L, 1)"
     vp = f"(({hn} | ~({lower} | {hp})) & {full}L)"
     vn = f"({lower} & {hp})"
     apart = f"(size({a}) - size({b}))"
     step = (
-        f"transform(array(named_struct('eq', {equal}, 'vp', s.vp, 'vn', s.vn)), x -> named_struct('vp', {vp}, 'vn', {vn}, "
-        f"'d', s.d + if(shiftright({d0}, {k} + {apart}) & 1L = 1L, 0, 1)))[0]"
+        f"transform(array(named_struct('eq', {equal}, 'vp', _s.vp, 'vn', _s.vn)), _v -> named_struct('vp', {vp}, 'vn', {vn}, "
+        f"'d', _s.d + if(shiftright({d0}, {k} + {apart}) & 1L = 1L, 0, 1)))[0]"
     )
     first = ((1 << k) - 1) << k  # rows 1 to k of column 0, seen from the window of column 1
     start = f"named_struct('vp', {first}L, 'vn', 0L, 'd', {apart})"
     return (
         f"({apart} <= {k} AND CASE WHEN size({b}) = 0 THEN true ELSE "
-        f"aggregate(sequence(1, size({b})), {start}, (s, j) -> {step}, s -> s.d <= {k}) END)"
+        f"aggregate(sequence(1, size({b})), {start}, (_s, _j) -> {step}, _s -> _s.d <= {k}) END)"
     )
 
 
+def common_start(a: str, b: str) -> str:
+    """SQL: how many characters two strings begin with alike, found by halving."""
+    return (
+        f"aggregate(sequence(CAST(ceil(log2(length({a}) + 1)) AS INT), 0, -1), 0, (p, e) -> p + if("
+        f"p + CAST(shiftleft(1L, e) AS INT) <= least(length({a}), length({b})) AND "
+        f"substring({a}, p + 1, CAST(shiftleft(1L, e) AS INT)) = substring({b}, p + 1, CAST(shiftleft(1L, e) AS INT)), "
+        "CAST(shiftleft(1L, e) AS INT), 0))"
+    )
+
+
+def without_common_ends(pairs: DataFrame, one: str, two: str) -> DataFrame:
+    """``pairs`` with both strings cut to where they begin and end to differ, which leaves their distance as it is."""
+    for _ in range(2):  # the start, and after turning both round the end
+        cut = pairs.withColumn("_same", F.expr(common_start(one, two)))
+        pairs = cut.withColumns({c: F.expr(f"reverse(substring({c}, _same + 1))") for c in (one, two)}).drop("_same")
+    return pairs
+
+
+def characters(text: str) -> Column:
+    return F.expr(f"if({text} = '', CAST(array() AS array<string>), split({text}, ''))")
+
+
 def parities() -> Column:
     """One bit per letter: whether it occurs an odd number of times."""
     bits = [f"shiftleft(CAST(length(line) - length(replace(line, '{c}', '')) AS BIGINT) & 1L, {i})" for i, c in enumerate(LETTERS)]
@@ -115,7 +138,10 @@ def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
     def verify(pairs: DataFrame) -> DataFrame:
         longer = F.expr("if(length(of_a.line) >= length(of_b.line), of_a.line, of_b.line)")
         shorter = F.expr("if(length(of_a.line) >= length(of_b.line), of_b.line, of_a.line)")
-        chars = pairs.select("a", "b", F.split(longer, "").alias("longer"), F.split(shorter, "").alias("shorter"))
+        texts = without_common_ends(
+            pairs.select("a", "b", longer.alias("longer"), shorter.alias("shorter")), "longer", "shorter"
+        )
+        chars = texts.select("a", "b", characters("longer").alias("longer"), characters("shorter").alias("shorter"))
         return chars.where(F.expr(within("longer", "shorter", max_edits)))
 
     labels = link(members, describe, near, verify)

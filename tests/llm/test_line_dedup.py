@@ -41,6 +41,13 @@ def test_banded_distance_equals_levenshtein(spark, k):
     assert df.where(F.expr(line_dedup.within("x", "y", k)) != F.col("near")).isEmpty()
 
 
+def test_common_ends_are_cut_off(spark):
+    rows = [("", ""), ("a", ""), ("abc", "abc"), ("aba", "a"), ("éx", "éy"), ("aaaa", "aa"), ("a" * 99 + "xb", "a" * 99 + "b")]
+    df = line_dedup.without_common_ends(spark.createDataFrame(rows, "x string, y string"), "x", "y")
+    got = [(r.x, r.y) for r in df.collect()]
+    assert got == [("", ""), ("a", ""), ("", ""), ("ba", ""), ("x", "y"), ("aa", ""), ("x", "")]
+
+
 @pytest.mark.parametrize("k", [1, 2])
 def test_equals_brute_force(spark, k):
     random.seed(10 + k)
