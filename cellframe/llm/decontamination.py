@@ -125,24 +125,27 @@ class Index:
 
 
 def align(item: np.ndarray, text: np.ndarray, low: int, high: int, k: int) -> tuple[int, int] | None:
-    """Least edits between ``item`` and a stretch of ``text`` on diagonals low to high, and where the stretch ends."""
-    width, far = high - low + 1, len(item) + len(text) + 1
-    steps = np.arange(width)
-    end = low + steps  # the place in the text before row 0
-    row = np.where((end >= 0) & (end <= len(text)), 0, far)
-    padded = np.concatenate([text, np.zeros(1, np.uint32)])
+    """Least edits between ``item`` and a stretch of ``text`` on diagonals low to high, and where the stretch ends.
+
+    Beyond its ends the text is filled with a character that equals none: to replace it costs what it costs to delete
+    the item's character instead, so no alignment gets cheaper. ``row`` holds, per diagonal, the edits less the
+    diagonal's number, so that text the item lacks is a running minimum.
+    """
+    width, m = high - low + 1, len(item)
+    steps = np.arange(width, dtype=np.int32)
+    first, last = max(0, low), max(0, min(len(text), high + m))
+    region = np.full(width + m - 1, 0xFFFFFFFF, np.uint32)
+    region[first - low:last - low] = text[first:last]
+    row = -steps
     for i, c in enumerate(item.tolist()):
-        at = low + i + steps  # the text's character that the diagonal step reads
-        inside = (at >= 0) & (at < len(text))
-        cost = np.where(inside & (padded[np.where(inside, at, len(text))] == c), 0, np.where(inside, 1, far))
-        down = np.concatenate([row[1:], [far]]) + 1  # a character of the item that the text lacks
-        new = np.minimum(row + cost, np.where((at + 1 >= 0) & (at + 1 <= len(text)), down, far))
-        row = np.minimum.accumulate(new - steps) + steps  # characters of the text that the item lacks
-        row = np.where((at + 1 >= 0) & (at + 1 <= len(text)), row, far)
-        if row.min() > k:
+        new = row + (region[i:i + width] != c)
+        np.minimum(new[:-1], row[1:] + 2, out=new[:-1])  # a character of the item that the text lacks
+        row = np.minimum.accumulate(new)  # characters of the text that the item lacks
+        if i % 16 == 15 and (row + steps).min() > k:
             return None
+    row = row + steps
     best = int(row.argmin())
-    return (int(row[best]), low + best + len(item)) if row[best] <= k else None
+    return (int(row[best]), min(max(low + best + m, 0), len(text))) if row[best] <= k else None
 
 
 def find(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE) -> DataFrame:
