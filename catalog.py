@@ -327,6 +327,22 @@ def column_dictionary(spark, sf_dir):
     return xpt.dictionary(X.customer_files(spark, sf_dir))
 
 
+@query(
+    "SELECT replace(path, '.xpt', '_' || copy || '.xpt') AS logical_path, 'Failed to read XPT file: ' || "
+    f"['not a transport file', 'bad column count'][copy] AS error_msg FROM (SELECT DISTINCT {CUSTOMER_PATH} AS path "
+    "FROM customer), range(1, 3) r(copy)"
+)
+def dictionary_errors(spark, sf_dir):
+    """Of each customer file a good copy and two bad ones: the good one is not among the errors."""
+    spoiled = X.customer_files(spark, sf_dir).selectExpr(
+        "logical_path AS path",
+        f"posexplode(array(content, X'00', overlay(content PLACING X'78787878' FROM {xpt.COUNT_AT + 1}))) AS (copy, content)",
+    )
+    return xpt.dictionary_errors(
+        spoiled.selectExpr("replace(path, '.xpt', '_' || copy || '.xpt') AS logical_path", "content")
+    )
+
+
 @query(
     f"SELECT DISTINCT {CUSTOMER_PATH} AS logical_path, {quoted(X.CUSTOMER_LABEL)} AS dataset_label FROM customer"
 )

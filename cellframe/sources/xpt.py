@@ -7,7 +7,7 @@ multiple of 80. Positions below are 0-based byte offsets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cellframe.functions import values as V
 from cellframe.functions.bytes import (
@@ -39,7 +39,7 @@ from cellframe.operators.errors import (
     XPT_FAILED,
 )
 from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, conform
-from cellframe.sources.files import read_ranges
+from cellframe.sources.files import list_files, read_ranges
 
 # The record layout of transport files.
 CARD = 80
@@ -115,23 +115,7 @@ def scan_large_xpt(
     Reads a file's header, then hands out byte ranges, so a file of any size is
     decoded by as many tasks as it has chunks and its content never sits in one row.
     """
-    files = listing.selectExpr("logical_path", "length AS file_length", "CAST(NULL AS STRING) AS failure")
-
-    def fetch(df: DataFrame, at: str, size: str, name: str) -> DataFrame:
-        placed = df.selectExpr("*", f"CAST({at} AS BIGINT) AS offset", f"CAST({size} AS BIGINT) AS size")
-        return read_ranges(placed, name).selectExpr(
-            "* EXCEPT (offset, size, failure, range_error)",
-            f"coalesce(failure, {quoted(XPT_FAILED)} || range_error) AS failure",
-        )
-
-    first = fetch(files, "0", str(COLUMNS_AT), "head")
-    sized = first.selectExpr(
-        "logical_path", "file_length", "failure", f"coalesce({_head_size()}, {COLUMNS_AT}) AS n"
-    )
-    whole = fetch(sized, "0", "n", "head").drop("n")
-    heads = read_headers(
-        fetch(whole, f"greatest(file_length - {CARD}, 0)", str(CARD), "tail"), encoding, prefixes
-    )
+    heads = read_headers(_fetched_heads(listing), encoding, prefixes)
     # Later members can only be found by looking: one pass over the record bytes,
     # reduced to the names found, almost always none, before anything is shuffled.
     # The ranges are whole cards up to the end of the file, whatever the size of a record, and each reaches far enough
@@ -172,9 +156,35 @@ def scan_large_xpt(
 def dictionary(files: DataFrame, encoding: str = "UTF-8", prefixes: Prefixes = FORMAT_PREFIXES) -> DataFrame:
     """The column dictionary of each readable file; record bytes are not decoded."""
     heads = read_headers(_whole_heads(files), encoding, prefixes)
-    return heads.selectExpr("logical_path", "dataset_label", "inline(columns)").selectExpr(
-        "logical_path", "dataset_label", "index AS column_index", "name AS column_name",
-        "label AS column_label", "format AS column_format", "type AS data_type",
+    return _dictionary_of(heads).where("column_index IS NOT NULL").drop("error_msg")
+
+
+def dictionary_errors(files: DataFrame, encoding: str = "UTF-8") -> DataFrame:
+    """(logical_path, error_msg) of the files that have no readable dictionary."""
+    heads = read_headers(_whole_heads(files), encoding, FORMAT_PREFIXES)
+    return _dictionary_of(heads).where("error_msg IS NOT NULL").select("logical_path", "error_msg")
+
+
+def read_dictionary(
+    spark: SparkSession, path: str | list[str], encoding: str = "UTF-8", prefixes: Prefixes = FORMAT_PREFIXES
+) -> DataFrame:
+    """The column dictionaries of all transport files below ``path``, with a row (path, error_msg) for each bad file.
+
+    Only the headers are fetched, so files of any size cost the same.
+    """
+    listing = list_files(spark, path, "*.[xX][pP][tT]")
+    return _dictionary_of(read_headers(_fetched_heads(listing), encoding, prefixes))
+
+
+def _dictionary_of(heads: DataFrame) -> DataFrame:
+    # a file without records has a dictionary all the same
+    bad = f"CASE WHEN file_error <> {quoted(EMPTY_DATASET)} THEN file_error END"
+    return heads.selectExpr("logical_path", "dataset_label", f"{bad} AS error_msg", "columns").selectExpr(
+        "logical_path", "dataset_label", "error_msg", "inline_outer(CASE WHEN error_msg IS NULL THEN columns END)"
+    ).selectExpr(
+        "logical_path", "CASE WHEN error_msg IS NULL THEN dataset_label END AS dataset_label",
+        "index AS column_index", "name AS column_name", "label AS column_label", "format AS column_format",
+        "type AS data_type", "error_msg",
     )
 
 
@@ -194,6 +204,25 @@ def _whole_heads(files: DataFrame, *kept: str) -> DataFrame:
     )
 
 
+def _fetched_heads(listing: DataFrame) -> DataFrame:
+    """The head and tail of files given as (``logical_path``, ``length``) in a shared store."""
+    files = listing.selectExpr("logical_path", "length AS file_length", "CAST(NULL AS STRING) AS failure")
+
+    def fetch(df: DataFrame, at: str, size: str, name: str) -> DataFrame:
+        placed = df.selectExpr("*", f"CAST({at} AS BIGINT) AS offset", f"CAST({size} AS BIGINT) AS size")
+        return read_ranges(placed, name).selectExpr(
+            "* EXCEPT (offset, size, failure, range_error)",
+            f"coalesce(failure, {quoted(XPT_FAILED)} || range_error) AS failure",
+        )
+
+    first = fetch(files, "0", str(COLUMNS_AT), "head")
+    sized = first.selectExpr(
+        "logical_path", "file_length", "failure", f"coalesce({_head_size()}, {COLUMNS_AT}) AS n"
+    )
+    whole = fetch(sized, "0", "n", "head").drop("n")
+    return fetch(whole, f"greatest(file_length - {CARD}, 0)", str(CARD), "tail")
+
+
 def _head_size() -> str:
     """Bytes in front of the first record; null unless both counts make sense."""
     size, count = _ascii_int(DESCRIPTOR_SIZE_AT), _ascii_int(COUNT_AT)

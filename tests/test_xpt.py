@@ -2,6 +2,7 @@
 
 import io
 import math
+import re
 import struct
 from datetime import date, datetime
 
@@ -232,6 +233,14 @@ def test_large_files_are_read_by_ranges(spark, tmp_path):
     assert listed(large) == found
     assert listed(in_pieces) == [r for r in found if ".txt" not in r]
     assert listed(cf.read_files(spark, str(tmp_path), whole_file_bytes=0)) == found
+    found = xpt.read_dictionary(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.findall("ReadSchema: ([^\n]*)", plan) == ["struct<path:string,length:bigint>"]
+    names = {}
+    for r in found.orderBy("column_index").collect():
+        names.setdefault(r.logical_path.rpartition("/")[2], []).append(r.error_msg or r.column_name)
+    assert names["good.xpt"] == names["empty.xpt"] == ["K", "T"] and len(names["many.xpt"]) == 300
+    assert names["junk.xpt"] == ["Failed to read XPT file: not a transport file"]
     missing = spark.createDataFrame([(f"file:{tmp_path}/gone.xpt", 900)], "logical_path string, length bigint")
     (row,) = xpt.scan_large_xpt(missing).collect()
     assert row.error_msg.startswith("Failed to read XPT file: FileNotFoundError")
