@@ -85,24 +85,35 @@ def within(a: str, b: str, k: int = MAX_EDITS) -> str:
 
 def common_start(a: str, b: str) -> str:
     """SQL: how many characters two strings begin with alike, found by halving."""
+    step = "CAST(shiftleft(1L, _e) AS INT)"
     return (
-        f"aggregate(sequence(CAST(ceil(log2(length({a}) + 1)) AS INT), 0, -1), 0, (p, e) -> p + if("
-        f"p + CAST(shiftleft(1L, e) AS INT) <= least(length({a}), length({b})) AND "
-        f"substring({a}, p + 1, CAST(shiftleft(1L, e) AS INT)) = substring({b}, p + 1, CAST(shiftleft(1L, e) AS INT)), "
-        "CAST(shiftleft(1L, e) AS INT), 0))"
+        f"aggregate(sequence(CAST(ceil(log2(length({a}) + 1)) AS INT), 0, -1), 0, (_c, _e) -> _c + if("
+        f"_c + {step} <= least(length({a}), length({b})) AND "
+        f"substring({a}, _c + 1, {step}) = substring({b}, _c + 1, {step}), {step}, 0))"
     )
 
 
-def without_common_ends(pairs: DataFrame, one: str, two: str) -> DataFrame:
-    """``pairs`` with both strings cut to where they begin and end to differ, which leaves their distance as it is."""
-    for _ in range(2):  # the start, and after turning both round the end
-        cut = pairs.withColumn("_same", F.expr(common_start(one, two)))
-        pairs = cut.withColumns({c: F.expr(f"reverse(substring({c}, _same + 1))") for c in (one, two)}).drop("_same")
-    return pairs
+def _let(name: str, value: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` for a value that is worked out once, wherever the optimizer moves it."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def characters(text: str) -> Column:
-    return F.expr(f"if({text} = '', CAST(array() AS array<string>), split({text}, ''))")
+def characters(text: str) -> str:
+    return f"if({text} = '', CAST(array() AS array<string>), split({text}, ''))"
+
+
+def alike(one: str, two: str, k: int = MAX_EDITS) -> str:
+    """SQL: whether two strings are within k edits. What they begin and end with alike is cut off first."""
+    longer = f"if(length({one}) >= length({two}), {one}, {two})"
+    shorter = f"if(length({one}) >= length({two}), {two}, {one})"
+
+    def rest(of: str, same: str, then: str) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', " + then.format(f"substring({of}.{c}, {same} + 1)") for c in "xy") + ")"
+
+    inner = _let("_r", rest("_q", "_m", "{}"), _let(
+        "_t", f"named_struct('x', {characters('_r.x')}, 'y', {characters('_r.y')})", within("_t.x", "_t.y", k)))
+    turned = _let("_q", rest("_p", "_n", "reverse({})"), _let("_m", common_start("_q.x", "_q.y"), inner))
+    return _let("_p", f"named_struct('x', {longer}, 'y', {shorter})", _let("_n", common_start("_p.x", "_p.y"), turned))
 
 
 def parities() -> Column:
@@ -136,13 +147,7 @@ def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
                       f"AND bit_count({x}.parity ^ {y}.parity) <= {2 * max_edits}")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        longer = F.expr("if(length(of_a.line) >= length(of_b.line), of_a.line, of_b.line)")
-        shorter = F.expr("if(length(of_a.line) >= length(of_b.line), of_b.line, of_a.line)")
-        texts = without_common_ends(
-            pairs.select("a", "b", longer.alias("longer"), shorter.alias("shorter")), "longer", "shorter"
-        )
-        chars = texts.select("a", "b", characters("longer").alias("longer"), characters("shorter").alias("shorter"))
-        return chars.where(F.expr(within("longer", "shorter", max_edits)))
+        return pairs.where(F.expr(alike("of_a.line", "of_b.line", max_edits)))
 
     labels = link(members, describe, near, verify)
     of = known.select("id", "second", "first", "n")

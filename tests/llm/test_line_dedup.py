@@ -41,11 +41,15 @@ def test_banded_distance_equals_levenshtein(spark, k):
     assert df.where(F.expr(line_dedup.within("x", "y", k)) != F.col("near")).isEmpty()
 
 
-def test_common_ends_are_cut_off(spark):
-    rows = [("", ""), ("a", ""), ("abc", "abc"), ("aba", "a"), ("éx", "éy"), ("aaaa", "aa"), ("a" * 99 + "xb", "a" * 99 + "b")]
-    df = line_dedup.without_common_ends(spark.createDataFrame(rows, "x string, y string"), "x", "y")
-    got = [(r.x, r.y) for r in df.collect()]
-    assert got == [("", ""), ("a", ""), ("", ""), ("ba", ""), ("x", "y"), ("aa", ""), ("x", "")]
+@pytest.mark.parametrize("k", [1, 2])
+def test_alike_equals_levenshtein(spark, k):
+    random.seed(20 + k)
+    rows = [("", ""), ("a", ""), ("", "ab"), ("abc", "abc"), ("aba", "a"), ("aaaa", "aa"), ("a" * 99 + "xb", "a" * 99 + "b")]
+    for _ in range(800):
+        a = "".join(random.choices("abç", k=random.randrange(24)))
+        rows.append((a, changed(a, random.randrange(5), "abç")))
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.where(f"{line_dedup.alike('a', 'b', k)} <> (levenshtein(a, b) <= {k})").isEmpty()
 
 
 @pytest.mark.parametrize("k", [1, 2])
