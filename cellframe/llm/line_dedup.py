@@ -1,11 +1,15 @@
-"""Near-duplicate lines over all documents, by a segment-partition edit join in built-in SQL alone.
+"""Near-duplicate lines over all documents, by a join on winnowed substrings in built-in SQL alone.
 
-Two lines are alike if at most ``max_edits`` characters are inserted, deleted or replaced between them. A line of a
-given length is split into ``max_edits + 1`` segments of even length, one of which any alike line still holds nearly in
-place; which places a longer or equal line can hold it at follows from its length and the number of the segment. So
-each line indexes its segments and probes those few substrings for each length it may meet. What meets is compared by
-banded bit-parallel edit distance, in a window of ``2 * max_edits + 1`` diagonals that moves down the lines, after
-their common starts and ends are cut off.
+Two lines are alike if the longer one, of n characters, is turned into the other by at most ``allowed(n)`` edits (one
+character inserted, deleted or replaced): one edit, and one for every ``SPAN`` characters from two spans on. So k edits
+leave at least n - k characters of it, in at most k + 1 unbroken runs, and the longest run has at least
+``(n - k) / (k + 1)`` characters. Lengths fall into classes, each with the shortest run that any of its lines keeps.
+Of every stretch of that many characters a line takes the q-gram with the smallest hash; alike lines hold one such
+stretch in common, wherever it lies, and so they share a key. No pair can be missed, and a line has a few keys per run,
+whatever its length. A shorter line also takes the keys of a class whose lines it may be alike to.
+
+What meets is compared by length and by counts of letters, which are necessary conditions, then by a banded edit
+distance, after the common starts and ends are cut off.
 
 Alike lines form groups; the first line of a group (smallest doc_id, then text hash, then place) stays and the others
 are removed from their documents, exact repeats included. Lines shorter than ``MIN_CHARS`` always stay.
@@ -25,9 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cellframe.llm.linking import link
 from cellframe.llm.shared import BROADCAST_ROWS, keep, small, table
 
-MAX_EDITS = 1
+#: One edit is allowed for so many characters.
+SPAN = 20
 MIN_CHARS = 30
-#: Their counts' parities are compared before lines are aligned; an edit changes at most two of them.
+CLASSES = 5
+#: Keys are taken from pieces of so many characters, since a place in a text is found by walking to it.
+PIECE = 256
+#: Their counts are compared before lines are aligned; an edit changes the sum of differences by at most two.
 LETTERS = "etaoinshrdlucmfwygpbvk.,"
 
 
@@ -38,25 +46,46 @@ def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     ).where(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
 
 
-def _segment(i: int, length: str, k: int) -> tuple[str, str]:
-    """SQL: start (from 0) and size of segment i of a line of that length."""
-    start, end = f"(({i} * {length}) div {k + 1})", f"(({i + 1} * {length}) div {k + 1})"
-    return start, f"({end} - {start})"
+def allowed(n: int, max_edits: int | None = None) -> int:
+    return max(1, n // SPAN) if max_edits is None else max_edits
+
+
+def allowed_sql(n: str, max_edits: int | None = None) -> str:
+    return f"CAST(greatest(1, {n} div {SPAN}) AS INT)" if max_edits is None else str(max_edits)
 
 
-def keys(k: int = MAX_EDITS) -> list[str]:
-    """SQL for each bucket of ``line``: its own segments, and the substrings that are segments of alike lines."""
+def length_classes(min_chars: int, max_edits: int | None = None) -> list[tuple[int, int | None, int]]:
+    """(shortest line that takes the keys, end of the lengths, run) of each class of lengths of a pair's longer line."""
+    starts = [min_chars << i for i in range(CLASSES)]
     found = []
-    for shorter in range(k + 1):
-        length = f"(length(line) - {shorter})"
-        for i in range(k + 1):
-            start, size = _segment(i, length, k)
-            for shift in range(max(-i, shorter - (k - i)), min(i, shorter + (k - i)) + 1):
-                found.append(f"xxhash64({length}, {i}, substring(line, CAST({start} + {shift} + 1 AS INT), CAST({size} AS INT)))")
+    for start, end in zip(starts, [*starts[1:], None]):
+        run = min(-(-(n - allowed(n, max_edits)) // (allowed(n, max_edits) + 1)) for n in range(start, 2 * start + SPAN))
+        if end is None and max_edits is None:  # k <= n / SPAN, by which the bound grows with n
+            n = 2 * start + SPAN
+            run = min(run, -(-n * (SPAN - 1) // (n + SPAN)))
+        found.append((max(min_chars, start - allowed(start, max_edits)), end, run))
     return found
 
 
-def within(a: str, b: str, k: int = MAX_EDITS) -> str:
+def keys(min_chars: int = MIN_CHARS, max_edits: int | None = None) -> str:
+    """SQL: the buckets of ``line``."""
+    found = []
+    for i, (start, end, run) in enumerate(length_classes(min_chars, max_edits)):
+        q = max(1, run * 2 // 3)
+        w = run - q + 1
+        hashes = f"transform(sequence(1, length(_p) - {q - 1}), _i -> xxhash64({i}, substring(_p, _i, {q})))"
+        least = f"transform(sequence(1, size(_h) - {w - 1}), _j -> array_min(slice(_h, _j, {w})))"
+        pieces = (
+            f"transform(sequence(1, length(line) - {run - 1}, {PIECE}), "
+            f"_s -> substring(line, _s, {PIECE + run - 1}))"
+        )
+        of_piece = _let("_h", hashes, f"array_distinct({least})")
+        fits = f"length(line) >= {start}" + (f" AND length(line) < {end}" if end else "")
+        found.append(f"if({fits}, flatten(transform({pieces}, _p -> {of_piece})), CAST(array() AS array<bigint>))")
+    return f"array_distinct(concat({', '.join(found)}))"
+
+
+def within(a: str, b: str, k: int) -> str:
     """SQL: whether two arrays of characters, the first not shorter, are within k edits.
 
     Bit r of the vectors stands for row j - k + r in column j; ``vp`` and ``vn`` say where the distance rises or falls
@@ -102,52 +131,56 @@ def characters(text: str) -> str:
     return f"if({text} = '', CAST(array() AS array<string>), split({text}, ''))"
 
 
-def alike(one: str, two: str, k: int = MAX_EDITS) -> str:
-    """SQL: whether two strings are within k edits. What they begin and end with alike is cut off first."""
+def alike(one: str, two: str, k: int | str) -> str:
+    """SQL: whether two strings are within k edits, a number or SQL. What they begin and end with alike is cut off first."""
     longer = f"if(length({one}) >= length({two}), {one}, {two})"
     shorter = f"if(length({one}) >= length({two}), {two}, {one})"
 
     def rest(of: str, same: str, then: str) -> str:
         return "named_struct(" + ", ".join(f"'{c}', " + then.format(f"substring({of}.{c}, {same} + 1)") for c in "xy") + ")"
 
-    inner = _let("_r", rest("_q", "_m", "{}"), _let(
-        "_t", f"named_struct('x', {characters('_r.x')}, 'y', {characters('_r.y')})", within("_t.x", "_t.y", k)))
+    if isinstance(k, int):
+        aligned = _let("_t", f"named_struct('x', {characters('_r.x')}, 'y', {characters('_r.y')})", within("_t.x", "_t.y", k))
+    else:
+        aligned = f"levenshtein(_r.x, _r.y, {k}) >= 0"
+    inner = _let("_r", rest("_q", "_m", "{}"), aligned)
     turned = _let("_q", rest("_p", "_n", "reverse({})"), _let("_m", common_start("_q.x", "_q.y"), inner))
     return _let("_p", f"named_struct('x', {longer}, 'y', {shorter})", _let("_n", common_start("_p.x", "_p.y"), turned))
 
 
-def parities() -> Column:
-    """One bit per letter: whether it occurs an odd number of times."""
-    bits = [f"shiftleft(CAST(length(line) - length(replace(line, '{c}', '')) AS BIGINT) & 1L, {i})" for i, c in enumerate(LETTERS)]
-    return F.expr(" | ".join(bits))
+def letter_counts() -> list[Column]:
+    return [F.expr(f"length(line) - length(replace(line, '{c}', ''))").alias(f"c{i}") for i, c in enumerate(LETTERS)]
 
 
-def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(doc_id, text_hash, place, line_hash, first_doc_id) of every line that is alike to an earlier one."""
-    if min_chars <= 2 * max_edits:
-        raise ValueError("lines must be longer than their segments can shift")
+    """(doc_id, text_hash, place, line_hash, first_doc_id) of every line that is alike to an earlier one.
+
+    ``max_edits`` sets one number of edits for lines of all lengths, instead of one that grows with them.
+    """
+    if min_chars <= 2 * allowed(min_chars, max_edits):
+        raise ValueError("lines must be longer than twice the edits they are allowed")
     found = lines(docs, min_chars)
-    names = [f"k{i}" for i in range(len(keys(max_edits)))]
     known = keep(
-        found.select("id", F.struct("doc_id", "text_hash", "place").alias("at"),
-                     F.xxhash64(F.lit("second"), "line").alias("second"),
-                     *[F.expr(e).alias(n) for n, e in zip(names, keys(max_edits))])
-        .groupBy("id").agg(F.min("at").alias("first"), F.count("at").alias("n"), F.min("second").alias("second"),
-                           *[F.min(n).alias(n) for n in names])
+        found.select("id", F.struct("doc_id", "text_hash", "place").alias("at"), "line")
+        .groupBy("id").agg(F.min("at").alias("first"), F.count("at").alias("n"), F.min("line").alias("line"))
+        .withColumn("second", F.xxhash64(F.lit("second"), "line"))
     )
-    members = known.select("id", F.explode(F.array_distinct(F.array(*names))).alias("key"))
+    members = keep(known.select("id", F.expr(keys(min_chars, max_edits)).alias("keys")))
+    members = members.select("id", F.explode("keys").alias("key"))
 
     def describe(ids: DataFrame) -> DataFrame:
-        texts = found.select("id", "line").join(small(keep(ids), broadcast_rows), "id", "left_semi")
-        return texts.groupBy("id").agg(F.min("line").alias("line")).withColumn("parity", parities())
+        texts = known.select("id", "line").join(small(keep(ids), broadcast_rows), "id", "left_semi")
+        return texts.select("id", "line", F.length("line").alias("size"), *letter_counts())
 
     def near(x: str, y: str) -> Column:
-        return F.expr(f"abs(length({x}.line) - length({y}.line)) <= {max_edits} "
-                      f"AND bit_count({x}.parity ^ {y}.parity) <= {2 * max_edits}")
+        k = allowed_sql(f"greatest({x}.size, {y}.size)", max_edits)
+        apart = " + ".join(f"abs({x}.c{i} - {y}.c{i})" for i in range(len(LETTERS)))
+        return F.expr(f"abs({x}.size - {y}.size) <= {k} AND {apart} <= 2 * {k}")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return pairs.where(F.expr(alike("of_a.line", "of_b.line", max_edits)))
+        k = allowed_sql("greatest(of_a.size, of_b.size)") if max_edits is None else max_edits
+        return pairs.where(F.expr(alike("of_a.line", "of_b.line", k)))
 
     labels = link(members, describe, near, verify)
     of = known.select("id", "second", "first", "n")
@@ -162,7 +195,7 @@ def removals(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_C
     ).select("doc_id", "text_hash", "place", "line_hash", F.col("head.doc_id").alias("first_doc_id"))
 
 
-def dedup(docs: DataFrame, max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS,
+def dedup(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with n_removed (long), without the lines that are alike to earlier ones."""
     gone = keep(

@@ -102,3 +102,31 @@ def test_odd_rows(odd_docs, no_docs):
     assert line_dedup.dedup(no_docs).isEmpty()
     with pytest.raises(ValueError):
         line_dedup.dedup(odd_docs, 3, 6)
+
+
+def test_allowed_edits_grow_with_the_line(spark):
+    """Lines of every class of lengths, evenly spread edits: as many as are allowed, and one more."""
+    random.seed(7)
+    docs, want = [], {}
+    for n in (30, 39, 40, 59, 60, 63, 119, 121, 240, 300, 479, 500, 1_100, 2_500):
+        for more in (0, 1):
+            for edit in ("#", ""):  # characters replaced, or left out
+                k = line_dedup.allowed(n) + more
+                line = "".join(random.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+                spots = {(2 * i + 1) * n // (2 * k) for i in range(k)}
+                other = "".join(edit if i in spots else c for i, c in enumerate(line))
+                if len(other) >= line_dedup.MIN_CHARS:
+                    want[len(docs) + 1] = int(not more)
+                    docs += [(len(docs), line), (len(docs) + 1, other)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: want.get(i, 0) for i in range(len(docs))}
+
+
+def test_banded_built_in_equals_levenshtein(spark):
+    random.seed(8)
+    rows = [("", "", 0), ("a", "", 1), ("", "ab", 1), ("aba", "a", 2)]
+    for _ in range(800):
+        a = "".join(random.choices("abç", k=random.randrange(24)))
+        rows.append((a, changed(a, random.randrange(7), "abç"), random.randrange(1, 6)))
+    df = spark.createDataFrame(rows, "a string, b string, k int")
+    assert df.where(f"{line_dedup.alike('a', 'b', 'k')} <> (levenshtein(a, b) <= k)").isEmpty()
