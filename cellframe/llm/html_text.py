@@ -2,15 +2,16 @@
 
 Every page is parsed into element subtrees, and each subtree gets a hash of its tags and texts. Spark counts per host
 on how many different pages a subtree occurs; copies of one page count once. A subtree that recurs on many pages of its
-host is the site's template and is deleted from all of them. What never is part of an article goes by its element,
+host is the site's template and is deleted from all of them. It must recur on a share of the
+host's pages besides. What never is part of an article goes by its element,
 role, class or id: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
-If a page has an article (or else a main element), its text is what lies in it.
 
-Text elements (paragraphs, headings, list items …) inside an article are never taken for a template, since short
-sentences recur; other subtrees there must recur on half of the host's pages.
+An article (or else a main element) is a hint: if it holds more than half of the text that is left by that, the page's
+text is what lies in it. Otherwise it is an element like others. Inside it the counts decide too, with higher bounds:
+text elements (paragraphs, headings, list items …) go only if they are long, since short sentences recur.
 
-The recurring subtrees of a host are few: each is on at least ``SHARE`` of its pages, so there are at most
-(subtrees of a page) / SHARE of them. Their table is broadcast if its counted size allows, else joined by host.
+Each page meets only its own subtrees' templates, joined by host and subtree, so a host with many of them costs its
+pages nothing. Templates are broadcast if their counted number allows, and so are the pages' lists.
 
 White space in a block becomes one space, blocks are joined by ``\\n``; ``<br>`` is white space. Defined cases: null and
 empty html give an empty text; markup that is cut off or badly nested is closed where it ends; a null url (or one
@@ -28,13 +29,16 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cellframe.llm.shared import BROADCAST_ROWS, keep, table
+from cellframe.llm.shared import BROADCAST_ROWS, keep, small, table
 from cellframe.llm.url_filter import host_of
 
 #: A subtree outside an article is a template from so many pages and this share of its host's pages on.
 PAGES, SHARE = 3, 0.1
 #: And so is one inside an article.
 INNER_PAGES, INNER_SHARE = 5, 0.5
+#: A text element there must be long.
+#: Text from so many characters on is long.
+LONG = 40
 
 # fixed values: names of HTML elements
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "object", "select", "title")
@@ -88,6 +92,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.never, self.digest = [""], [-1], [False], [0]
+        self.own, self.size = [0], [0]  # characters of an element itself, and with what lies in it
         self.blocks: list[tuple[list[tuple[int, str]], int]] = []  # (element, piece of text) of a block
         self._parts: list[list] = [[]]
         self._open = [0]
@@ -113,6 +118,7 @@ class Page:
             text = entities.unescape(raw) if "&" in raw else raw
             self._block.append((self._open[-1], text))
             self._parts[-1].append(text)
+            self.own[self._open[-1]] += len("".join(text.split()))
 
     def _flush(self) -> None:
         if self._block:
@@ -125,7 +131,9 @@ class Page:
             self._flush()
         text = " ".join("".join(p if isinstance(p, str) else f" \1{p} " for p in parts).split())
         self.digest[node] = xxhash.xxh3_64_intdigest(f"{self.tag[node]}\2{text}".encode("utf-8", "replace")) if text else 0
+        self.size[node] += self.own[node]
         if self._parts:
+            self.size[self._open[-1]] += self.size[node]
             if self.digest[node]:
                 self._parts[-1].append(self.digest[node])
 
@@ -162,6 +170,8 @@ class Page:
         self.parent.append(stack[-1])
         self.never.append(name in NEVER or ("=" in attributes and never_by(attributes)))
         self.digest.append(0)
+        self.own.append(0)
+        self.size.append(0)
         stack.append(len(self.tag) - 1)
         self._parts.append([])
         return None
@@ -181,13 +191,11 @@ class Page:
             out.append(marked[node] or (parent >= 0 and out[parent]))
         return out
 
-    def place(self) -> tuple[list[bool], list[bool]]:
-        """For each element: whether it is excluded by name, and whether it lies in the page's article."""
+    def _place(self, articles: list[int]) -> tuple[list[bool], list[bool]]:
+        """For each element: whether it is excluded by name, and whether it lies in one of the articles."""
         holds = [False] * len(self.tag)
         outside = self._above(self.never)
         # around an article, a class name says nothing
-        articles = [i for i, t in enumerate(self.tag) if t == "article" and not self.never[i]]
-        articles = articles or [i for i, t in enumerate(self.tag) if t == "main" and not self.never[i]]
         for i in articles:
             node = i
             while node >= 0 and not holds[node]:
@@ -201,25 +209,50 @@ class Page:
             own[i] = not excluded[i]
         return excluded, self._above(own)
 
-    def candidates(self) -> tuple[list[int], list[bool]]:
-        """Hashes of the subtrees that may be templates, and whether each lies inside the article."""
-        excluded, inside = self.place()
-        found = {}
-        for i in range(1, len(self.tag)):
-            if self.digest[i] and not excluded[i] and self.tag[i] not in ("html", "body", "article", "main"):
-                if not inside[i] or self.tag[i] not in TEXT:
-                    found[self.digest[i]] = found.get(self.digest[i], True) and inside[i]
-        return list(found), list(found.values())
+    def place(self, outer: frozenset[int] | set[int] = frozenset(),
+              inner: frozenset[int] | set[int] = frozenset()) -> tuple[list[bool], list[bool]]:
+        """For each element: whether it is left out, by name or as a template, and whether it lies in the page's article.
+
+        ``outer`` are the templates outside an article, ``inner`` those inside.
+        """
+        for name in ("article", "main"):
+            articles = [i for i, t in enumerate(self.tag) if t == name and not self.never[i]]
+            if articles:
+                excluded, inside = self._place(articles)
+                gone = self._gone(excluded, inside, outer, inner)
+                left = [0, 0]
+                for own, g, i in zip(self.own, gone, inside):
+                    left[i] += 0 if g else own
+                if left[1] > left[0]:
+                    return gone, inside
+        excluded, inside = self._place([])
+        return self._gone(excluded, inside, outer, inner), inside
+
+    def _gone(self, excluded: list[bool], inside: list[bool], outer: frozenset[int] | set[int],
+              inner: frozenset[int] | set[int]) -> list[bool]:
+        out = []
+        for e, d, i, parent in zip(excluded, self.digest, inside, self.parent):
+            # what lies around an article does not take it along
+            above = parent >= 0 and out[parent] and inside[parent] == i
+            out.append(e or above or d in (inner if i else outer))
+        return out
 
-    def text(self, templates: frozenset[int] | set[int]) -> str:
+    def candidates(self) -> list[tuple[int, bool, bool, bool]]:
+        """Subtrees that may be templates: hash, whether it lies inside the article, is a text element, is long."""
         excluded, inside = self.place()
+        found: dict[int, tuple[int, bool, bool, bool]] = {}
+        for i in range(1, len(self.tag)):
+            d = self.digest[i]
+            # the article itself is no template, however many pages carry it
+            whole = self.tag[i] in ("html", "body", "main") or (self.tag[i] == "article" and inside[i])
+            if d and not excluded[i] and not whole:
+                within = inside[i] and (d not in found or found[d][1])
+                found[d] = d, within, self.tag[i] in TEXT, self.size[i] >= LONG
+        return list(found.values())
+
+    def text(self, outer: frozenset[int] | set[int], inner: frozenset[int] | set[int] = frozenset()) -> str:
+        gone, inside = self.place(outer, inner)
         only_inside = any(inside)
-        gone = [
-            e or (d in templates and not (i and t in TEXT)) or (only_inside and not i)
-            for e, d, i, t in zip(excluded, self.digest, inside, self.tag)
-        ]
-        # an element outside the article does not take the article with it
-        gone = self._above([g and not (only_inside and not i) for g, i in zip(gone, inside)])
         out = []
         for block in self.blocks:
             pieces = [t for node, t in block if not gone[node] and (inside[node] or not only_inside)]
@@ -238,56 +271,74 @@ def _signed(x: int) -> int:
 
 
 def subtrees(pages: DataFrame) -> DataFrame:
-    """(host, page, subtree, inside) of each page's candidate subtrees, and a row with a null subtree per page."""
+    """Each page's candidate subtrees, and a row with a null subtree per page.
+
+    ``source`` is the hash of the html, ``page`` that of its text.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hosts, names, found, insides = [], [], [], []
-            for host, source in zip(batch["host"], batch["html"]):
+            rows = []
+            for host, key, source in zip(batch["host"], batch["source"], batch["html"]):
                 page = Page(source or "")
-                digests, inside = page.candidates()
-                hosts += [host] * (len(digests) + 1)
-                names += [_signed(page.fingerprint())] * (len(digests) + 1)
-                found += [None, *map(_signed, digests)]
-                insides += [None, *inside]
+                name = _signed(page.fingerprint())
+                rows.append((host, key, name, None, None, None, None))
+                rows += [(host, key, name, _signed(d), *kind) for d, *kind in page.candidates()]
+            columns = list(zip(*rows)) or [()] * 7
             yield pd.DataFrame({
-                "host": hosts, "page": names, "subtree": pd.array(found, "Int64"), "inside": pd.array(insides, "boolean")
+                "host": columns[0], "source": columns[1], "page": columns[2], "subtree": pd.array(columns[3], "Int64"),
+                **{n: pd.array(c, "boolean") for n, c in zip(("inside", "is_text", "is_long"), columns[4:])},
             })
 
-    return pages.select("host", "html").mapInPandas(run, "host long, page long, subtree long, inside boolean")
+    return pages.select("host", "source", "html").mapInPandas(
+        run, "host long, source long, page long, subtree long, inside boolean, is_text boolean, is_long boolean")
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, subtree): what recurs on many different pages of a host. ``pages`` has a hash of the host and html."""
-    counted = (
-        subtrees(pages).groupBy("host", "page", "subtree").agg(F.min("inside").alias("inside"))
-        .groupBy("host", "subtree").agg(F.count("page").alias("n"), F.min("inside").alias("inside"))
+def templates(found: DataFrame) -> DataFrame:
+    """(host, subtree, outer, inner): what recurs on many different pages of a host, outside an article or inside."""
+    counted = keep(
+        found.groupBy("host", "page", "subtree")
+        .agg(F.min("inside").alias("inside"), F.max("is_text").alias("is_text"), F.max("is_long").alias("is_long"))
+        .groupBy("host", "subtree").agg(
+            F.count("page").alias("n"), F.count_if(~F.col("inside")).alias("n_outside"),
+            F.max("is_text").alias("is_text"), F.max("is_long").alias("is_long"))
     )
-    counted = keep(counted)
     of_host = counted.where("subtree IS NULL").select("host", F.col("n").alias("pages"))
-    bound = F.expr(
-        f"n >= if(inside, {INNER_PAGES}, {PAGES}) AND n >= if(inside, {INNER_SHARE}, {SHARE}) * pages"
+    outer = f"n_outside >= {PAGES} AND n_outside >= {SHARE} * pages"
+    inner = (
+        f"n >= {INNER_PAGES} AND (is_long OR NOT is_text) "
+        f"AND n >= {INNER_SHARE} * pages"
+    )
+    return (
+        counted.where(f"subtree IS NOT NULL AND n >= {PAGES}").join(of_host, "host")
+        .select("host", "subtree", F.expr(outer).alias("outer"), F.expr(inner).alias("inner"))
+        .where("outer OR inner")
     )
-    return counted.where(f"subtree IS NOT NULL AND n >= {PAGES}").join(of_host, "host").where(bound).select("host", "subtree")
 
 
 def extract(pages: DataFrame, broadcast_rows: int = BROADCAST_ROWS // 4) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages`` (page_id, url, html)."""
-    hosted = pages.select("page_id", "url", "html", F.xxhash64(F.expr(host_of("url"))).alias("host"))
-    found = keep(templates(hosted))
-    per_host = found.groupBy("host").agg(F.collect_set("subtree").alias("subtrees"))
-    per_host = F.broadcast(per_host) if found.count() <= broadcast_rows else per_host
-
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for sources, known in batches:
-            texts = []
-            for source, subtrees_ in zip(sources, known):
-                gone = set() if subtrees_ is None else set(np.asarray(subtrees_).astype(np.uint64).tolist())
-                texts.append(Page(source or "").text(gone))
-            yield pd.Series(texts, dtype=object)
+    hosted = pages.select("page_id", "url", "html", F.xxhash64(F.expr(host_of("url"))).alias("host"),
+                          F.xxhash64("html").alias("source"))
+    found = keep(subtrees(hosted))
+    recurring = small(keep(templates(found)), broadcast_rows)
+    per_page = keep(
+        found.select("host", "source", "subtree").join(recurring, ["host", "subtree"]).groupBy("host", "source").agg(
+            F.collect_set(F.when(F.col("outer"), F.col("subtree"))).alias("outer"),
+            F.collect_set(F.when(F.col("inner"), F.col("subtree"))).alias("inner"))
+    )
+    total = per_page.agg(F.sum(F.size("outer") + F.size("inner"))).first()[0] or 0
+    per_page = F.broadcast(per_page) if total <= broadcast_rows else per_page
+
+    def known(subtrees_) -> set[int]:
+        return set() if subtrees_ is None else set(np.asarray(subtrees_).astype(np.uint64).tolist())
+
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([Page(source or "").text(known(o), known(i)) for source, o, i in zip(*batch)], dtype=object)
 
     text_of = F.pandas_udf(run, "string")
-    joined = hosted.join(per_host, "host", "left").withColumn("text", text_of("html", "subtrees"))
+    joined = hosted.join(per_page, ["host", "source"], "left").withColumn("text", text_of("html", "outer", "inner"))
     return joined.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 

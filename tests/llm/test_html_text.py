@@ -62,3 +62,17 @@ def test_odd_rows(spark):
     got = sorted((r.page_id or 0, len(r.text), r.n_chars) for r in html_text.extract(df).collect())
     assert got == [(0, 1, 1), (1, 0, 0), (2, 0, 0), (3, 4, 4), (3, 249_999, 249_999)]
     assert html_text.extract(df.limit(0)).isEmpty()
+
+
+def test_counts_decide_around_and_inside_articles(spark):
+    own = "A sentence of the page's own that is longer than what stands beside it, number {}."
+    teaser = "<article><h3>More</h3><p>Read the teaser {}.</p></article>"
+    house = "<p>All rights to this text remain with the publisher of the journal.</p>"
+    pages = [Row(page_id=i, url=f"http://a.org/{i}", html=f"<div><p>{own.format(i)}</p></div>{teaser.format(i)}") for i in range(6)]
+    pages += [Row(page_id=10 + i, url=f"http://b.org/{i}", html=f"<article><p>{own.format(i)}</p><p>Yes.</p>{house}</article>")
+              for i in range(6)]
+    df = spark.createDataFrame(pages)
+    for rows in (html_text.extract(df), html_text.extract(df, broadcast_rows=0)):
+        got = {r.page_id: r.text for r in rows.collect()}
+        assert got[2] == f"{own.format(2)}\nRead the teaser 2."  # the teaser is not the page
+        assert got[12] == f"{own.format(2)}\nYes."  # a long paragraph of all pages goes, a short one stays
