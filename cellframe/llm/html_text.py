@@ -2,8 +2,8 @@
 
 Every page is parsed into element subtrees, and each subtree gets a hash of its tags and texts. Spark counts per host
 on how many different pages a subtree occurs; copies of one page count once. A subtree that recurs on many pages of its
-host is the site's template and is deleted from all of them. It must recur on a share of the
-host's pages besides. What never is part of an article goes by its element,
+host is the site's template and is deleted from all of them. How many that are is a number of pages, however large the
+host; only short text must recur on a share of its pages besides. What never is part of an article goes by its element,
 role, class or id: menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
 
 An article (or else a main element) is a hint: if it holds more than half of the text that is left by that, the page's
@@ -32,11 +32,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cellframe.llm.shared import BROADCAST_ROWS, keep, small, table
 from cellframe.llm.url_filter import host_of
 
-#: A subtree outside an article is a template from so many pages and this share of its host's pages on.
+#: A subtree outside an article is a template from so many pages on, and short text from this share of the host's pages on.
 PAGES, SHARE = 3, 0.1
 #: And so is one inside an article.
 INNER_PAGES, INNER_SHARE = 5, 0.5
-#: A text element there must be long.
+#: Long text inside an article is one from so many pages on, too; a text element there must be long.
+INNER_MANY = 100
 #: Text from so many characters on is long.
 LONG = 40
 
@@ -304,10 +305,10 @@ def templates(found: DataFrame) -> DataFrame:
             F.max("is_text").alias("is_text"), F.max("is_long").alias("is_long"))
     )
     of_host = counted.where("subtree IS NULL").select("host", F.col("n").alias("pages"))
-    outer = f"n_outside >= {PAGES} AND n_outside >= {SHARE} * pages"
+    outer = f"n_outside >= {PAGES} AND (is_long OR n_outside >= {SHARE} * pages)"
     inner = (
         f"n >= {INNER_PAGES} AND (is_long OR NOT is_text) "
-        f"AND n >= {INNER_SHARE} * pages"
+        f"AND (n >= {INNER_SHARE} * pages OR is_long AND n >= {INNER_MANY})"
     )
     return (
         counted.where(f"subtree IS NOT NULL AND n >= {PAGES}").join(of_host, "host")

@@ -76,3 +76,11 @@ def test_counts_decide_around_and_inside_articles(spark):
         got = {r.page_id: r.text for r in rows.collect()}
         assert got[2] == f"{own.format(2)}\nRead the teaser 2."  # the teaser is not the page
         assert got[12] == f"{own.format(2)}\nYes."  # a long paragraph of all pages goes, a short one stays
+
+
+def test_a_section_of_a_large_host_loses_its_box(spark):
+    box = "<div><span>This box stands on every page of one section of the site.</span></div>"
+    pages = [Row(page_id=i, url=f"http://a.org/{i}", html=f"{box if i < 4 else ''}<div><p>Page {i}.</p>{'<p>Yes.</p>' if i < 4 else ''}</div>")
+             for i in range(60)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages)).collect()}
+    assert got[1] == "Page 1.\nYes." and got[50] == "Page 50."
