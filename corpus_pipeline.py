@@ -20,6 +20,8 @@ from cellframe.llm.shared import crc_remainder, keep, kept_dir, small, table
 
 MIN_LANGUAGE_SCORE = 0.5
 SHINGLE, PERCENT = 5, 80
+#: Not as many as the operator allows by itself: documents of one line that are merely alike are near dedup's to judge.
+LINE_EDITS = 1
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines that are alike to an earlier one, and documents of which only blank lines are left by that."""
-    done = line_dedup.dedup(docs)
+    done = line_dedup.dedup(docs, LINE_EDITS)
     return done.where("n_removed = 0 OR trim(BOTH ' \t\n\r' FROM text) <> ''").select(*docs.columns)
 
 
