@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cellframe.llm import (
-    decontamination, html_text, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules,
+    decontamination, html_text, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, simhash,
     token_counts, url_filter,
 )
 
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_decontamination": decontamination.query,
     "op10_url_filter": url_filter.query,
+    "op11_simhash": simhash.query,
 }
 SQL = {
     "op1_mixing": mixing.SQL,

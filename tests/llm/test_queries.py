@@ -16,7 +16,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, len(QUERIES) + 1))
     assert set(QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(SQL) <= set(entry_point.oracle_sql())
 
@@ -28,6 +28,7 @@ def test_one_query_for_each_operator():
     ("op6_near_dedup", ["doc_id", "n_shingles", "component_id", "kept"]),
     ("op8_quality_rules", ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]),
     ("op10_url_filter", ["page_id", "host", "path", "rule", "verdict"]),
+    ("op11_simhash", ["doc_id", "fingerprint", "component_id"]),
 ])
 def test_contract_columns(spark, name, columns):
     assert QUERIES[name](spark, SF_DIR).columns[: len(columns)] == columns
