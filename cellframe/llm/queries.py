@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from cellframe.llm import (
-    decontamination, html_text, language_id, line_dedup, mixing, near_dedup, quality_classifier, quality_rules, simhash,
-    token_counts, url_filter,
+    decontamination, html_text, language_id, lexical_search, line_dedup, mixing, near_dedup, quality_classifier,
+    quality_rules, simhash, token_alignment, token_counts, url_filter,
 )
 
 QUERIES = {
@@ -19,9 +19,13 @@ QUERIES = {
     "op9_decontamination": decontamination.query,
     "op10_url_filter": url_filter.query,
     "op11_simhash": simhash.query,
+    "op12_token_alignment": token_alignment.query,
+    "op13_lexical_search": lexical_search.query,
 }
 SQL = {
     "op1_mixing": mixing.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op10_url_filter": url_filter.SQL,
+    "op12_token_alignment": token_alignment.query,
+    "op13_lexical_search": lexical_search.SQL,
 }

@@ -29,6 +29,8 @@ def test_one_query_for_each_operator():
     ("op8_quality_rules", ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]),
     ("op10_url_filter", ["page_id", "host", "path", "rule", "verdict"]),
     ("op11_simhash", ["doc_id", "fingerprint", "component_id"]),
+    ("op12_token_alignment", ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]),
+    ("op13_lexical_search", ["item_id", "rank", "doc_id", "score"]),
 ])
 def test_contract_columns(spark, name, columns):
     assert QUERIES[name](spark, SF_DIR).columns[: len(columns)] == columns
