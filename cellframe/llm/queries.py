@@ -26,6 +26,5 @@ SQL = {
     "op1_mixing": mixing.SQL,
     "op8_quality_rules": quality_rules.SQL,
     "op10_url_filter": url_filter.SQL,
-    "op12_token_alignment": token_alignment.query,
     "op13_lexical_search": lexical_search.SQL,
 }

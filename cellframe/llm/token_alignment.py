@@ -44,6 +44,7 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: Letters, digits and white space are the same in all releases of Unicode as far as this; other texts take the slower encoder.
 PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ‐-…€]")
 ID_BITS = 20
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "a", "b"]
 SHARD_PAIRS = 1 << 16
 PASS_PAIRS = 1 << 22
 #: Places in a bit array for each pair that is left.
@@ -62,25 +63,26 @@ def letter_bytes() -> dict[str, int]:
 
 
 class Encoders:
-    """Texts to the ids of both tokenizers, and ids to bytes."""
+    """Texts to the ids of both tokenizers and their groups, and ids to bytes."""
 
     def __init__(self, a_file: bytes, b_file: bytes):
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.full = Tokenizer.from_str(a_file.decode())
-        self.full.encode_special_tokens = True
-        model = json.loads(a_file)["model"]
-        byte_of = letter_bytes()
-        spelled = {i: bytes(byte_of[c] for c in entry) for entry, i in self.full.get_vocab(True).items()}
+        self.a_file, self.full = a_file, None
+        read = json.loads(a_file)
+        vocabulary, byte_of = read["model"]["vocab"], letter_bytes()
+        spelled = {i: bytes(byte_of[c] for c in entry) for entry, i in vocabulary.items()}
+        spelled |= {t["id"]: t["content"].encode() for t in read["added_tokens"]}
         self.a_bytes = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
         # merges in the order of the ids they make are ranks, by which an equal and faster encoder merges
-        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        ids = [model["vocab"][x + y] for x, y in merges]
-        made = {*ids, *(i for c, i in model["vocab"].items() if len(c) == 1)}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in read["model"]["merges"]]
+        ids = [vocabulary[x + y] for x, y in merges]
+        made = {*ids, *(i for c, i in vocabulary.items() if len(c) == 1)}
+        usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        in_words = read["normalizer"] is None and usual.items() <= (read["pre_tokenizer"] or {}).items()
         self.fast = None
-        if ids == sorted(ids) and made >= set(model["vocab"].values()):
+        if in_words and ids == sorted(ids) and made >= set(vocabulary.values()):
             self.fast = tiktoken.Encoding(
                 "a", pat_str=PATTERN, mergeable_ranks={self.a_bytes[i]: i for i in made}, special_tokens={}
             )
@@ -89,20 +91,36 @@ class Encoders:
             bytes([int(p[3:5], 16)]) if self.b.IsByte(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(self.b.IdToPiece(i) for i in range(self.b.GetPieceSize()))
         ]
+        self.types = id_types(len(self.a_bytes), len(self.b_bytes))
+        self.sizes = tuple(np.array([len(t) for t in spelled], np.int64) for spelled in (self.a_bytes, self.b_bytes))
 
-    def ids_a(self, text: str) -> list[int]:
-        if self.fast is None or PLAIN.search(text):
-            return self.full.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+    def ids_a(self, text: str) -> np.ndarray:
+        if self.fast is not None and not PLAIN.search(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        if self.full is None:
+            from tokenizers import Tokenizer
 
-    def encode(self, text: str | None) -> tuple[list[int], list[int]]:
+            self.full = Tokenizer.from_str(self.a_file.decode())
+            self.full.encode_special_tokens = True
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Both sequences, empty if either does not spell a blank and the text."""
-        if not text:
-            return [], []
-        a, b = self.ids_a(" " + text), self.b.encode(text, num_threads=1)
-        data = (" " + text).encode("utf-8", "replace")
-        spelled = b"".join([self.a_bytes[i] for i in a]) == data == b"".join([self.b_bytes[i] for i in b])
-        return (a, b) if spelled else ([], [])
+        if text:
+            a, b = self.ids_a(" " + text), self.b.encode(text, num_threads=1)
+            data = (" " + text).encode("utf-8", "replace")
+            if spells(self.a_bytes, a.tolist(), data) and spells(self.b_bytes, b, data):
+                return a.astype(self.types[0]), np.array(b, self.types[1])
+        return np.zeros(0, self.types[0]), np.zeros(0, self.types[1])
+
+
+def spells(token_bytes: list[bytes], ids: list[int], data: bytes) -> bool:
+    return b"".join(map(token_bytes.__getitem__, ids)) == data
+
+
+def id_types(n_a: int, n_b: int) -> list[str]:
+    """How the ids of both vocabularies are written."""
+    return ["<u2" if n <= 1 << 16 else "<u4" for n in (n_a, n_b)]
 
 
 def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,22 +133,26 @@ def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 class GroupText:
-    """The groups of a document as ``a1,a2|b1;a3|b2,b3``."""
+    """The groups of a document as ``a1,a2|b1;a3|b2,b3``, out of a table of all ids with what may follow them."""
 
     def __init__(self, n_a: int, n_b: int):
-        self.offset = 2 * n_a
-        self.text = [f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for i in range(n) for end in ends]
-
-    def __call__(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[int, str]:
-        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        codes, sides = [], []
-        for side, (ids, ends) in enumerate(((a, ends_a), (b, ends_b))):
-            group = np.searchsorted(common, ends, "left")
-            codes.append(2 * ids + (common[group] == ends) + side * self.offset)
-            sides.append(2 * group + side)
-        order = np.argsort(np.concatenate(sides), kind="stable")
-        text = self.text
-        return len(common), "".join([text[c] for c in np.concatenate(codes)[order].tolist()])[:-1]
+        self.first_b = 2 * n_a
+        written = np.array([f"{i}{end}" for n, ends in ((n_a, ",|"), (n_b, ",;")) for i in range(n) for end in ends], "S")
+        self.bytes = written.view(np.uint8).reshape(len(written), -1)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[int, bytes]:
+        last_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a
+        last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+        group_a, group_b = (np.cumsum(last) - last for last in (last_a, last_b))
+        # in the order of groups, all tokens of A before those of B
+        before_b = np.searchsorted(group_a, group_b, "right")
+        place_b = before_b + np.arange(len(b))
+        place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[place_a] = 2 * a.astype(np.int64) + last_a
+        codes[place_b] = 2 * b.astype(np.int64) + last_b + self.first_b
+        written = self.bytes[codes]
+        return int(last_a.sum()), written[written > 0].tobytes()[:-1]
 
 
 def encoded(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> DataFrame:
@@ -143,49 +165,48 @@ def encoded(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoders = Encoders(*shipped.value)
-        sizes_a, sizes_b = (np.array([len(t) for t in s], np.int64) for s in (encoders.a_bytes, encoders.b_bytes))
-        if max(len(sizes_a), len(sizes_b)) > 1 << ID_BITS:
+        if max(len(encoders.a_bytes), len(encoders.b_bytes)) > 1 << ID_BITS:
             raise ValueError(f"ids must stay below 2^{ID_BITS}")
-        group_text = GroupText(len(sizes_a), len(sizes_b))
+        group_text = GroupText(len(encoders.a_bytes), len(encoders.b_bytes))
         for batch in batches:
             for first in range(0, batch.num_rows, ROWS_AT_ONCE):
                 part = batch.slice(first, ROWS_AT_ONCE)
-                rows, lists_a, lists_b = [], [], []
+                rows = []
                 for text in part.column("text").to_pylist():
-                    a, b = (np.array(ids, np.int32) for ids in encoders.encode(text))
-                    lists_a.append(a)
-                    lists_b.append(b)
+                    a, b = encoders.encode(text)
                     if not len(a):
-                        rows.append((0, 0, 0, 0, 0, 0, ""))
+                        rows.append((0, 0, 0, 0, 0, 0, "", b"", b""))
                         continue
-                    ends_a, ends_b = np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b])
-                    n_groups, written = group_text(a, b, ends_a, ends_b)
-                    # every end but a common one makes one more overlap
+                    n_groups, written = group_text(a, b, np.cumsum(encoders.sizes[0][a]), np.cumsum(encoders.sizes[1][b]))
+                    # each end in only one of the sequences makes one more overlap
                     n_links = len(a) + len(b) - n_groups
-                    rows.append((len(a), len(b), n_groups, n_links, 0, 0, hashlib.sha256(written.encode()).hexdigest()))
-                numbers = [pa.array(c, pa.int64() if i < 6 else pa.string()) for i, c in enumerate(zip(*rows))]
-                lists = [
-                    pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), np.concatenate(ids))
-                    for ids in (lists_a, lists_b)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *numbers, *lists],
-                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "a", "b"],
-                )
+                    name = hashlib.sha256(written).hexdigest()
+                    rows.append((len(a), len(b), n_groups, n_links, 0, 0, name, a.tobytes(), b.tobytes()))
+                types = [pa.int64()] * 6 + [pa.string(), pa.binary(), pa.binary()]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=COLUMNS)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return rows.mapInArrow(
         run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-        "groups_sha256 string, a array<int>, b array<int>"
+        "groups_sha256 string, a binary, b binary"
     )
 
 
+def ids_of(part: pa.RecordBatch, column: str, kind: str) -> np.ndarray:
+    """The ids of all rows, one after another."""
+    values = part.column(column)
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset: values.offset + len(values) + 1]
+    data = values.buffers()[2]
+    return np.frombuffer(data if data is not None else b"", np.uint8)[offsets[0]: offsets[-1]].view(kind)
+
+
 def linked(part: pa.RecordBatch, sizes_a: np.ndarray, sizes_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, pair) of all links of a few documents; a pair is ``a << ID_BITS | b``.
 
     The documents are laid end to end: all sequences end together, so no link crosses from one to the next.
     """
-    a, b = (part.column(c).flatten().to_numpy() for c in "ab")
+    a, b = (ids_of(part, c, t) for c, t in zip("ab", id_types(len(sizes_a), len(sizes_b))))
     i, j = overlaps(np.cumsum(sizes_a[a]), np.cumsum(sizes_b[b]))
     row = np.repeat(np.arange(part.num_rows), part.column("n_a").to_numpy())
     return row[i], a[i].astype(np.int64) << ID_BITS | b[j]
@@ -389,7 +410,7 @@ def align(
     rows = keep(encoded(docs, a_file, b_file))
     with open(a_file, "rb") as a, open(b_file, "rb") as b:
         encoders = Encoders(a.read(), b.read())
-    sizes = sc.broadcast(tuple(np.array([len(t) for t in s], np.int64) for s in (encoders.a_bytes, encoders.b_bytes)))
+    sizes = sc.broadcast(encoders.sizes)
     pairs = keep(distinct_pairs(rows, sizes))
     n_shards = max(1, -(-pairs.count() // shard_pairs))
     functions = keep(functions_of(pairs, n_shards))

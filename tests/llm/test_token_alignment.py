@@ -77,8 +77,10 @@ def test_fast_encoder_equals_the_file(encoders):
     r = random.Random(4)
     alphabet = "abcXYZ  \n\t\r.,'\"#0123456789éÀñßÿ×ŒſɏÁ’—…€'s't'll" + "".join(map(chr, range(0xA1, 0x250)))
     texts = ["".join(r.choices(alphabet, k=r.randrange(1, 60))) for _ in range(5_000)] + TEXTS
+    full = Tokenizer.from_file(A.A_FILE)
+    full.encode_special_tokens = True
     for t in texts:
-        assert encoders.ids_a(t) == encoders.full.encode(t, add_special_tokens=False).ids
+        assert encoders.ids_a(t).tolist() == full.encode(t, add_special_tokens=False).ids
     assert encoders.fast is not None and sum(A.PLAIN.search(t) is None for t in texts) > 4_000
 
 
@@ -135,4 +137,4 @@ def test_texts_that_the_tokens_do_not_spell(encoders, monkeypatch):
     spelled = list(encoders.b_bytes)
     spelled[encoders.b.piece_to_id("▁dog")] = b"?"
     monkeypatch.setattr(encoders, "b_bytes", spelled)
-    assert encoders.encode("a dog") == ([], []) and encoders.encode("a cat")[0]
+    assert [len(ids) for ids in encoders.encode("a dog")] == [0, 0] and len(encoders.encode("a cat")[0])
