@@ -616,7 +616,7 @@ _BASE_NAME = "substring_index(logical_path, '/', -1)"
 @query(f"SELECT name, true AS whole, 'PAR1' AS magic FROM ({_TABLE_FILES})")
 def scan_files(spark, sf_dir):
     """The files of the tables themselves, with their contents."""
-    return files.scan_files(spark, sf_dir, "*.parquet").selectExpr(
+    return files.scan_files(spark, sf_dir, ".parquet").selectExpr(
         f"{_BASE_NAME} AS name", "length(content) = length AS whole", "CAST(substr(content, 1, 4) AS STRING) AS magic"
     )
 
@@ -713,35 +713,120 @@ _OTIME = _KEYED.format(7, "CASE WHEN o_orderkey % 5 = 0 THEN -1 ELSE 1 END * (o_
 _OTOD = _KEYED.format(13, "o_orderkey % 86400")
 
 
-def order_cells_sql(extension: str = ".xpt", dictionary: list | None = None, label: str | None = "Orders") -> str:
+def order_cells_sql(extension: str = ".xpt", label: str | None = "Orders", fields: list[Field] | None = None) -> str:
     rows = (
         f"SELECT *, 'orders_' || (o_orderkey // {X.ROWS_PER_FILE}) || '{extension}' AS path, "
         f"{_OTIME} AS otime, {_OTOD} AS otod FROM orders"
     )
-    return cells_sql(
-        rows,
+    columns = [
+        ("ORDERKEY", None, None, "Double", {"value_double": "o_orderkey"}),
+        ("ODATE", None, "DATE9.", "Date", {"value_date": _KEYED.format(11, "o_orderdate::DATE")}),
+        ("OYMD", None, "YYMMDD10.", "Date", {"value_date": "o_orderdate::DATE"}),
+        ("ODT", None, "DATETIME.", "Timestamp", {
+            "value_timestamp": "o_orderdate + to_seconds(o_orderkey % 86400) + INTERVAL 250 MILLISECOND"}),
+        ("OTIME", None, "TIME8.", "Time", {"value_time": "otime", "value_string": TIME_TEXT.format(s="otime")}),
+        ("OTOD", None, "TOD8.", "Time", {"value_time": "otod", "value_string": TIME_TEXT.format(s="otod")}),
+        ("PRICE", None, "best.", "Double", {
+            "value_double": "CASE WHEN o_orderkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END"}),
+        ("STATUS", None, None, "String", {"value_string": "o_orderstatus"}),
+    ]
+    for i, f in enumerate(fields or []):
+        fmt = f"{f.format}{f.width or ''}." if f.format else None
+        columns[i] = (f.name, f.label or None, fmt, *columns[i][3:])
+    return cells_sql(rows, "path", "o_orderkey", columns, label, datasets="path")
+
+
+@query(order_cells_sql())
+def xpt_scan_typed(spark, sf_dir):
+    return cf.parse_files(X.order_files(spark, sf_dir))
+
+
+@query(order_cells_sql(fields=X.long_order_fields()))
+def xpt_scan_v8(spark, sf_dir):
+    """The extended layout, with names, labels and formats that the older one cannot hold."""
+    return cf.parse_files(X.long_order_files(spark, sf_dir))
+
+
+_NAME = f"translate(c_name, {quoted(X.STRANGE_LETTERS[0])}, {quoted(X.STRANGE_LETTERS[1])})"
+
+
+@query(
+    cells_sql(
+        f"SELECT *, {CUSTOMER_PATH} AS path FROM customer",
         "path",
-        "o_orderkey",
+        "c_custkey",
         [
-            ("ORDERKEY", None, None, "Double", {"value_double": "o_orderkey"}),
-            ("ODATE", None, "DATE9.", "Date", {"value_date": _KEYED.format(11, "o_orderdate::DATE")}),
-            ("OYMD", None, "YYMMDD10.", "Date", {"value_date": "o_orderdate::DATE"}),
-            ("ODT", None, "DATETIME.", "Timestamp", {
-                "value_timestamp": "o_orderdate + to_seconds(o_orderkey % 86400) + INTERVAL 250 MILLISECOND"}),
-            ("OTIME", None, "TIME8.", "Time", {"value_time": "otime", "value_string": TIME_TEXT.format(s="otime")}),
-            ("OTOD", None, "TOD8.", "Time", {"value_time": "otod", "value_string": TIME_TEXT.format(s="otod")}),
-            ("PRICE", None, "best.", "Double", {
-                "value_double": "CASE WHEN o_orderkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END"}),
-            ("STATUS", None, None, "String", {"value_string": "o_orderstatus"}),
+            ("CUSTKEY", None, None, "Double", {"value_double": "c_custkey"}),
+            ("NAME", None, None, "String", {"value_string": f"CASE WHEN c_custkey % 7 <> 0 THEN {_NAME} END"}),
         ],
-        label,
+        label="Größe in €",
         datasets="path",
+        errors={1: "CASE WHEN c_custkey % 7 = 0 THEN 'Failed to get value: the bytes are not windows-1252 text' END"},
     )
+)
+def xpt_scan_windows1252(spark, sf_dir):
+    return cf.parse_files(X.windows_files(spark, sf_dir), encoding="windows-1252")
 
 
-@query(order_cells_sql())
-def xpt_scan_typed(spark, sf_dir):
-    return cf.parse_files(X.order_files(spark, sf_dir))
+_COPIES = f"SELECT copy, path, n FROM (SELECT {CUSTOMER_PATH} AS path, count(*) AS n FROM customer GROUP BY 1), range(4) r(copy)"
+_NO_FILE = "'Failed to read XPT file: not a transport file'"
+_CUT = "'Failed to get next row: the file ends inside a record'"
+_ENDS_CUT = f"copy = 1 AND n > {X.ROWS_PER_FILE // 2}"
+
+
+def _without_folder(df: DataFrame) -> DataFrame:
+    """Paths from the last folder on, as that above is new in every run."""
+    return df.withColumn("logical_path", F.substring_index("logical_path", "/", -2))
+
+
+@query(
+    f"SELECT copy || '/' || path AS logical_path, {quoted(X.CUSTOMER_LABEL)} AS dataset_label, column_index, column_name, "
+    f"column_label, column_format, data_type, CAST(NULL AS VARCHAR) AS error_msg FROM ({_COPIES}) CROSS JOIN "
+    f"(VALUES {_ENTRIES}) AS t(column_index, column_name, column_label, column_format, data_type) WHERE copy < 3 "
+    f"UNION ALL SELECT '3/' || path, NULL, NULL, NULL, NULL, NULL, NULL, {_NO_FILE} FROM ({_COPIES}) WHERE copy = 3"
+)
+def read_dictionary(spark, sf_dir):
+    """Dictionaries of a folder of files, by their headers alone."""
+    folder = X.written_folder(X.spoiled_customer_files(spark, sf_dir, X.ROWS_PER_FILE // 2))
+    return _without_folder(xpt.read_dictionary(spark, folder))
+
+
+@query(
+    f"SELECT copy || '/' || path AS logical_path, CAST(rows AS BIGINT) AS n_rows, columns AS n_columns, "
+    f"CAST(rows * columns AS BIGINT) AS cells, CASE WHEN copy = 3 THEN {_NO_FILE} WHEN copy = 2 THEN 'Empty SAS dataset' "
+    f"WHEN {_ENDS_CUT} THEN {_CUT} END AS error_msg FROM (SELECT *, CAST(CASE copy WHEN 3 THEN 0 ELSE 5 END AS INTEGER) "
+    f"AS columns, CASE copy WHEN 0 THEN n WHEN 1 THEN least(n, {X.ROWS_PER_FILE // 2}) ELSE 0 END AS rows FROM ({_COPIES}))"
+)
+def cell_count_of_files(spark, sf_dir):
+    """Rows and cells of a folder of files, by headers and lengths alone."""
+    folder = X.written_folder(X.spoiled_customer_files(spark, sf_dir, X.ROWS_PER_FILE // 2))
+    return _without_folder(xpt.read_counts(spark, folder))
+
+
+def _copy_cells(copy: int, where: str) -> str:
+    cells = customer_cells_sql(where).replace(f"{CUSTOMER_PATH} AS path", f"'{copy}/' || {CUSTOMER_PATH} AS path")
+    return f"SELECT * FROM ({cells})"
+
+
+_FOLDER_CELLS = (
+    _copy_cells(0, "true") + " UNION ALL " + _copy_cells(1, f"rn <= {X.ROWS_PER_FILE // 2}") + " UNION ALL SELECT " + sql_row(
+        "copy || '/' || path", f"CASE WHEN copy = 3 THEN {_NO_FILE} WHEN copy = 2 THEN 'Empty SAS dataset' ELSE {_CUT} END"
+    ) + f" FROM ({_COPIES}) WHERE copy > 1 OR {_ENDS_CUT}"
+)
+
+
+@query(_FOLDER_CELLS)
+def read_files_whole(spark, sf_dir):
+    """Cells of a folder of files, each read whole."""
+    return _without_folder(cf.read_files(
+        spark, X.written_folder(X.spoiled_customer_files(spark, sf_dir, X.ROWS_PER_FILE // 2))))
+
+
+@query(_FOLDER_CELLS)
+def read_files_by_ranges(spark, sf_dir):
+    """The same files, each read by ranges of bytes."""
+    return _without_folder(cf.read_files(
+        spark, X.written_folder(X.spoiled_customer_files(spark, sf_dir, X.ROWS_PER_FILE // 2)), whole_file_bytes=-1))
 
 
 @query(order_cells_sql(".sas7bdat", label=None))

@@ -6,15 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cellframe.functions.formats import FORMAT_PREFIXES
+from cellframe.functions.formats import FORMAT_PREFIXES, quoted
 from cellframe.operators.cells import to_cells
-from cellframe.operators.errors import empty_datasets
+from cellframe.operators.errors import SAS_FAILED, XPT_FAILED, empty_datasets, file_errors
 from cellframe.operators.routing import SAS7BDAT, XPT, of_format, unsupported_files
-from cellframe.sources.files import list_files, scan_files
+from cellframe.sources.files import list_files, read_whole
 from cellframe.sources.sas7bdat import scan_large_sas7bdat, scan_sas7bdat
 from cellframe.sources.xpt import scan_large_xpt, scan_xpt
 
-# Larger files are not read into one row but by byte ranges.
+#: Larger files are not read into one row but by byte ranges. Both give the same rows, from the same file system.
 WHOLE_FILE_BYTES = 64 << 20
 
 
@@ -45,23 +45,22 @@ def read_files(
     prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
-    """Cells of all files below ``path``.
+    """Cells of all files below ``path``: files, folders, patterns. A file without a byte is an error row as well.
 
-    Up to ``whole_file_bytes`` a file is one row of the scan and one task's work, so
-    nothing is shuffled; beyond that its byte ranges are spread over the cluster.
+    Up to ``whole_file_bytes`` a file is one row and one task's work; beyond that its byte ranges are spread over the
+    cluster.
     """
     options = {"prefixes": prefixes}
     parts = [unsupported_files(list_files(spark, path))]
-    for fmt, whole, large, extra in (
-        (XPT, scan_xpt, scan_large_xpt, {"encoding": encoding}),
-        (SAS7BDAT, scan_sas7bdat, scan_large_sas7bdat, {}),
+    for fmt, failed, whole, large, extra in (
+        (XPT, XPT_FAILED, scan_xpt, scan_large_xpt, {"encoding": encoding}),
+        (SAS7BDAT, SAS_FAILED, scan_sas7bdat, scan_large_sas7bdat, {}),
     ):
-        # any case: *.[xX][pP][tT]
-        glob = "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in fmt)
-        small = scan_files(spark, path, glob, whole_file_bytes)
-        big = list_files(spark, path, glob).filter(F.col("length") > whole_file_bytes)
-        parts.append(whole(small, spread=False, **options, **extra))
-        parts.append(large(big, **options, **extra))
+        files = of_format(list_files(spark, path), fmt)
+        small = read_whole(files.filter(F.col("length") <= whole_file_bytes))
+        parts.append(whole(small.where("read_error IS NULL"), spread=False, **options, **extra))
+        parts.append(file_errors(small.where("read_error IS NOT NULL"), f"concat({quoted(failed)}, read_error)"))
+        parts.append(large(files.filter(F.col("length") > whole_file_bytes), **options, **extra))
     cells = parts[0]
     for part in parts[1:]:
         cells = cells.unionByName(part)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fixtures.transport import Field, header, transport_files
+from cellframe.functions.bytes import code_page
+from cellframe.sources.files import write_files
+from fixtures.transport import Field, extended_header, header, transport_files
 
 ROWS_PER_FILE = 500
 
@@ -99,3 +104,63 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport_files(
         order_rows(spark, sf_dir), part_path("orders", "ORDERKEY"), ["ORDERKEY"], ORDER_FIELDS, "Orders"
     )
+
+
+#: Names, labels and formats of ``ORDER_FIELDS`` that only the extended layout can hold.
+LONG_ORDER_NAMES = {
+    "ORDERKEY": ("Key_of_the_order_within_its_table", "The key by which an order is known to customers and to suppliers alike", ""),
+    "ODATE": ("Order_date", "The day on which the order was placed, if it is known", "DATEAMPMLONG"),
+    "OTIME": ("Order_time", "Time", "TIMEAMPMLONG"),
+    "STATUS": ("Status", "", ""),
+}
+
+
+def long_order_fields() -> list[Field]:
+    fields = []
+    for f in ORDER_FIELDS:
+        name, label, fmt = LONG_ORDER_NAMES.get(f.name, (f.name, f.label, ""))
+        fields.append(replace(f, name=name[:32], label=label, format=fmt or f.format))
+    return fields
+
+
+def long_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in the extended layout, under a member name of more than eight characters."""
+    fields = long_order_fields()
+    rows = order_rows(spark, sf_dir).toDF(*[f.name for f in fields])
+    path = part_path("orders", fields[0].name)
+    return transport_files(rows, path, [fields[0].name], fields, "Orders", "ORDERS_OF_ALL_YEARS", extended_header)
+
+
+#: Letters of customer names and what they become, which windows-1252 writes with other bytes than ISO-8859-1.
+STRANGE_LETTERS = ("Custmer#", "\u20acü\u0161\u2122\u0153\u201e\u017e\u2026")
+
+
+def windows_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with strange names in windows-1252; each seventh name has a byte that means nothing there."""
+    found, meant, nothing = code_page("cp1252")
+    written = F.encode(F.translate(F.translate("c_name", *STRANGE_LETTERS), meant, found), "ISO-8859-1")
+    name = F.when(F.col("c_custkey") % 7 == 0, F.concat(written, F.lit(nothing[0].encode("latin-1")))).otherwise(written)
+    rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CUSTKEY"), name.alias("NAME"))
+    label = "Größe in €".encode("cp1252").decode("latin-1")
+    fields = [Field("CUSTKEY"), Field("NAME", 20, True)]
+    return transport_files(
+        rows, part_path("customer", "CUSTKEY"), ["CUSTKEY"], fields, head=lambda f, member, _: header(f, member, label, text="latin-1")
+    )
+
+
+def written_folder(files: DataFrame) -> str:
+    """The files in a new folder of the shared store, each written once."""
+    spark = files.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared.rstrip('/')}/files-{uuid.uuid4().hex}"
+    write_files(files, folder).agg(F.sum("length")).collect()
+    return folder
+
+
+def spoiled_customer_files(spark: SparkSession, sf_dir: str, kept: int) -> DataFrame:
+    """Of each customer file four: whole, cut inside the record behind ``kept`` rows, without records, without a byte."""
+    cut = CUSTOMER_HEADER + kept * CUSTOMER_RECORD + 5
+    contents = ["content", f"substr(content, 1, {cut})", f"substr(content, 1, {CUSTOMER_HEADER})", "X''"]
+    return customer_files(spark, sf_dir).selectExpr(
+        "logical_path AS path", f"posexplode(array({', '.join(contents)})) AS (copy, content)"
+    ).selectExpr("concat(copy, '/', path) AS logical_path", "content")

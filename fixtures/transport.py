@@ -7,7 +7,7 @@ arithmetic: Spark derives the files from a table, a bounded number of rows per f
 from __future__ import annotations
 
 import struct
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -33,8 +33,42 @@ def pad_card(b: bytes) -> bytes:
     return b + b" " * (-len(b) % 80)
 
 
+def extended_header(fields: Sequence[Field], member: str = "DATA", label: str = "", library: bool = True) -> bytes:
+    """The same in the extended layout (version 8): long names, labels and formats."""
+    stamp = b"01JAN24:00:00:00"
+    out = b""
+    if library:
+        out += card("LIBV8") + pad_card(b"SAS     SAS     SASLIB  9.4     X64     " + b" " * 24 + stamp) + pad_card(stamp)
+    out += card("MEMBV8", f"{'0' * 17}1600000000140") + card("DSCPTV8")
+    out += b"SAS     " + member.ljust(32).encode() + b"SASDATA 9.4     X64     " + stamp
+    out += stamp + b" " * 16 + label.encode().ljust(40)[:40] + b" " * 8
+    out += card("NAMSTV8", f"000000{len(fields):04d}{'0' * 20}")
+    body, at, labels = b"", 0, []
+    for n, f in enumerate(fields, 1):
+        name, text = f.name.encode(), f.label.encode()
+        fits = len(f.format) <= 8
+        d = struct.pack(">hhhh", 2 if f.text else 1, 0, f.size, n) + name.ljust(8)[:8] + text.ljust(40)[:40]
+        d += f.format.encode().ljust(8)[:8] + struct.pack(">hhhh", f.width, f.decimals, 0, 0)
+        d += b" " * 8 + struct.pack(">hhl", 0, 0, at) + name.ljust(32) + struct.pack(">h", len(text))
+        body += d.ljust(140, b"\0")
+        at += f.size
+        if len(name) > 8 or len(text) > 40 or not fits:
+            written = f"{f.format}{f.width or ''}.{f.decimals or ''}".encode() if not fits else b""
+            labels.append((n, name, text, written))
+    out += pad_card(body)
+    if labels:
+        long_formats = any(r[3] for r in labels)
+        records = b""
+        for n, *texts in labels:
+            sizes = [len(t) for t in texts] + [0] if long_formats else [len(t) for t in texts[:2]]
+            records += struct.pack(f">{len(sizes) + 1}H", n, *sizes) + b"".join(texts)
+        out += card(f"LABELV{9 if long_formats else 8}", str(len(labels))) + pad_card(records)
+    return out + card("OBSV8")
+
+
 def header(
-    fields: Sequence[Field], member: str = "DATA", label: str = "", library: bool = True, descriptor: int = 140
+    fields: Sequence[Field], member: str = "DATA", label: str = "", library: bool = True, descriptor: int = 140,
+    text: str = "utf-8",
 ) -> bytes:
     """All bytes in front of the first record."""
     stamp = b"01JAN24:00:00:00"
@@ -44,12 +78,12 @@ def header(
         out += pad_card(stamp)
     out += card("MEMBER", f"{'0' * 17}160000000{descriptor:04d}") + card("DSCRPTR")
     out += b"SAS     " + member.ljust(8).encode() + b"SASDATA 9.4     X64     " + b" " * 24 + stamp
-    out += stamp + b" " * 16 + label.encode().ljust(40)[:40] + b" " * 8
+    out += stamp + b" " * 16 + label.encode(text).ljust(40)[:40] + b" " * 8
     out += card("NAMESTR", f"000000{len(fields):04d}{'0' * 20}")
     body, at = b"", 0
     for n, f in enumerate(fields, 1):
         d = struct.pack(">hhhh", 2 if f.text else 1, 0, f.size, n)
-        d += f.name.encode().ljust(8)[:8] + f.label.encode().ljust(40)[:40]
+        d += f.name.encode(text).ljust(8)[:8] + f.label.encode(text).ljust(40)[:40]
         d += f.format.encode().ljust(8)[:8] + struct.pack(">hhhh", f.width, f.decimals, 0, 0)
         d += b" " * 8 + struct.pack(">hhl", 0, 0, at)
         body += d.ljust(descriptor, b"\0")
@@ -94,8 +128,9 @@ def bits_bytes(bits: Column, size: int = 8) -> Column:
 
 
 def text_bytes(v: Column, size: int, encoded: bool = False) -> Column:
-    b = (v if encoded else F.encode(F.coalesce(v, F.lit("")), "UTF-8")).substr(1, size)
-    return F.call_function("rpad", b, F.lit(size), F.lit(b" "))
+    b = v if encoded else F.encode(F.coalesce(v, F.lit("")), "UTF-8")
+    too_long = F.raise_error(F.concat(F.lit(f"text of more than {size} bytes: "), F.hex(b))).cast("binary")
+    return F.call_function("rpad", F.when(F.octet_length(b) > size, too_long).otherwise(b), F.lit(size), F.lit(b" "))
 
 
 def transport_files(
@@ -105,8 +140,9 @@ def transport_files(
     fields: Sequence[Field],
     label: str = "",
     member: str = "DATA",
+    head: Callable[..., bytes] = header,
 ) -> DataFrame:
-    """(``logical_path``, ``content``): one file per path, its rows in order."""
+    """(``logical_path``, ``content``): one file per path, its rows in order. ``head`` decides on the layout."""
     texts = [f.name for f in fields if f.text]
     encoded = {n: df.schema[n].dataType == T.BinaryType() for n in texts}
     # The grouping needs this shuffle in any case; ahead of the encoding it also spreads that work.
@@ -123,4 +159,4 @@ def transport_files(
         F.expr("listagg(record, X'') WITHIN GROUP (ORDER BY k)").alias("data")
     )
     padded = F.call_function("rpad", F.col("data"), (F.ceil(F.length("data") / 80) * 80).cast("int"), F.lit(b" "))
-    return data.select("logical_path", F.concat(F.lit(header(fields, member, label)), padded).alias("content"))
+    return data.select("logical_path", F.concat(F.lit(head(fields, member, label)), padded).alias("content"))

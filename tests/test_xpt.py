@@ -11,8 +11,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 import cellframe as cf
-from cellframe.sources import xpt
-from fixtures.transport import Field, bits_bytes, card, header, hex_float_steps, pad_card
+from cellframe.sources import files, xpt
+from fixtures.transport import Field, bits_bytes, card, extended_header, header, hex_float_steps, pad_card
 from pyspark.sql import functions as F
 
 
@@ -235,7 +235,7 @@ def test_large_files_are_read_by_ranges(spark, tmp_path):
     assert listed(cf.read_files(spark, str(tmp_path), whole_file_bytes=0)) == found
     found = xpt.read_dictionary(spark, str(tmp_path))
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert re.findall("ReadSchema: ([^\n]*)", plan) == ["struct<path:string,length:bigint>"]
+    assert "content#" not in plan and plan.count("BatchScan dataset_files") == 1 and plan.count("MapInArrow") == 1
     names = {}
     for r in found.orderBy("column_index").collect():
         names.setdefault(r.logical_path.rpartition("/")[2], []).append(r.error_msg or r.column_name)
@@ -265,3 +265,146 @@ def test_unsupported_kinds_spoil_their_column_only(spark):
 
 def test_card_text():
     assert len(card("OBS")) == 80
+
+
+# --- the extended layout --------------------------------------------------------------------------
+
+
+def golden_extended(with_formats: bool) -> bytes:
+    """A file of the extended layout, written down card by card."""
+    def line(text: bytes) -> bytes:
+        assert len(text) <= 80
+        return text.ljust(80)
+
+    zeros = b"0" * 30
+    out = line(b"HEADER RECORD*******LIBV8   HEADER RECORD!!!!!!!" + zeros)
+    out += line(b"SAS     SAS     SASLIB  9.4     X64_10HO" + b" " * 24 + b"02DEC26:10:11:12") + line(b"02DEC26:10:11:12")
+    out += line(b"HEADER RECORD*******MEMBV8  HEADER RECORD!!!!!!!000000000000000001600000000140")
+    out += line(b"HEADER RECORD*******DSCPTV8 HEADER RECORD!!!!!!!" + zeros)
+    out += line(b"SAS     " + b"patients_of_the_second_study".ljust(32) + b"SASDATA 9.4     X64_10HO02DEC26:10:11:12")
+    out += line(b"02DEC26:10:11:12" + b" " * 16 + b"All patients".ljust(40))
+    out += line(b"HEADER RECORD*******NAMSTV8 HEADER RECORD!!!!!!!000000000200000000000000000000")
+    first = b"\0\1\0\0\0\x08\0\1" + b"date_of_" + b"The day on which a patient was first see" + b"DATE    "
+    first += b"\0\x09\0\0\0\0\0\0" + b" " * 8 + b"\0\0\0\0" + b"\0\0\0\0" + b"date_of_first_visit_of_a_patient"
+    first += b"\0\x37" + b"\0" * 18
+    second = b"\0\2\0\0\1\x2c\0\2" + b"note    " + b"Note".ljust(40) + b" " * 8 + b"\0" * 8 + b" " * 8 + b"\0\0\0\0"
+    second += b"\0\0\0\x08" + b"note".ljust(32) + b"\0\4" + b"\0" * 18
+    assert len(first) == len(second) == 140
+    out += (first + second).ljust(320)
+    label, name = b"The day on which a patient was first seen by a physician", b"date_of_first_visit_of_a_patient"
+    if with_formats:
+        out += line(b"HEADER RECORD*******LABELV9 HEADER RECORD!!!!!!!1")
+        record = b"\0\1\0\x20\0\x38\0\x0e\0\0" + name + label + b"DATEAMPMLONG9."
+    else:
+        out += line(b"HEADER RECORD*******LABELV8 HEADER RECORD!!!!!!!1")
+        record = b"\0\1\0\x20\0\x38" + name + label
+    out += record.ljust(-(-len(record) // 80) * 80)
+    out += line(b"HEADER RECORD*******OBSV8   HEADER RECORD!!!!!!!" + zeros)
+    rows = b"\x44\x55\x9b\0\0\0\0\0" + b"x" * 290 + b" " * 10 + b".\0\0\0\0\0\0\0" + b"second".ljust(300)
+    return out + rows.ljust(-(-len(rows) // 80) * 80)
+
+
+@pytest.mark.parametrize("with_formats", [False, True])
+def test_extended_golden_file(spark, with_formats):
+    cells = parsed(spark, {"g.xpt": golden_extended(with_formats)})["g.xpt"]
+    assert [(c.row_index, c.column_name, c.data_type, c.value_date, c.value_string) for c in cells] == [
+        (0, "date_of_first_visit_of_a_patient", "Date", date(2020, 1, 1), None), (0, "note", "String", None, "x" * 290),
+        (1, "date_of_first_visit_of_a_patient", "Date", None, None), (1, "note", "String", None, "second"),
+    ]
+    assert cells[0].column_label == "The day on which a patient was first seen by a physician"
+    assert cells[0].column_format == ("DATEAMPMLONG9." if with_formats else "DATE9.") and cells[1].column_format is None
+    assert {c.dataset_label for c in cells} == {"All patients"} and not any(c.error_msg for c in cells)
+
+
+def test_extended_layout_by_content_and_by_ranges(spark, tmp_path):
+    fields = [Field(f"a_long_name_of_column_{i:04d}", 4 if i % 3 else 200, not i % 3, "label " * (i % 40), "DATETIMEAMPM" if i % 7 == 1 else "")
+              for i in range(400)]
+    row = [("t" if f.text else 1.5) for f in fields]
+
+    def extended(rows, head=None, **options):
+        data = b"".join((v.encode().ljust(f.size) if f.text else number(v)[: f.size]) for r in rows for f, v in zip(fields, r))
+        return (head or extended_header(fields, **options)) + pad_card(data)
+
+    plain = extended_header([Field("K"), Field("T", 5, True)])
+    whole = extended([row] * 3)
+    at = whole.index(card("OBSV8")[:48])
+    labels_at = whole.index(b"HEADER RECORD*******LABELV9") + 48
+    contents = {
+        "many": whole, "short": plain + pad_card(number(2.0) + b"abc  "), "none": extended([]),
+        "two": whole + extended([row], member="SECOND_MEMBER_WITH_A_LONG_NAME", library=False),
+        "cut": whole[:-300], "in_labels": whole[: at - 2_000], "in_descriptors": whole[:9_000],
+        "no_number": whole[:labels_at] + b"x" * 5 + whole[labels_at + 5:],
+        "too_many": whole[:labels_at] + b"32767" + whole[labels_at + 5:],
+        "empty": b"",
+    }
+    for name, content in contents.items():
+        (tmp_path / f"{name}.xpt").write_bytes(content)
+    (tmp_path / "empty.sas7bdat").write_bytes(b"")
+    small = cf.read_files(spark, str(tmp_path))
+    found = listed(small)
+    assert listed(cf.read_files(spark, str(tmp_path), whole_file_bytes=-1)) == found
+    assert listed(cf.read_files(spark, str(tmp_path), whole_file_bytes=20_000)) == found
+    errors = {r.logical_path.rpartition("/")[2]: r.error_msg for r in small.where("error_msg IS NOT NULL").collect()}
+    refused = "Failed to read XPT file: "
+    assert errors.pop("two.xpt") == refused + "A single table in XPT-file is supported, found 2: DATA, SECOND_MEMBER_WITH_A_LONG_NAME"
+    assert errors.pop("none.xpt") == "Empty SAS dataset" and errors.pop("empty.xpt") == refused + "not a transport file"
+    assert errors.pop("empty.sas7bdat").startswith("Failed to parse SAS file: ")
+    assert errors.pop("cut.xpt") == "Failed to get next row: the file ends inside a record"
+    assert errors == {f"{n}.xpt": refused + "no observation header" for n in ("in_labels", "in_descriptors", "no_number", "too_many")}
+    assert len(found) == 400 * 3 + 2 + 1 + 1 + 400 * 2 + 1 + 4 + 2
+    cells = small.where("logical_path LIKE '%many.xpt' AND row_index = 2").orderBy("column_index").collect()
+    assert [(c.column_name, c.column_label, c.column_format) for c in cells] == [
+        (f.name, f.label.strip() or None, "DATETIMEAMPM." if f.format else None) for f in fields]
+    dictionary = xpt.read_dictionary(spark, str(tmp_path))
+    counted = {r.logical_path.rpartition("/")[2]: r.n for r in dictionary.groupBy("logical_path").agg(F.count("column_name").alias("n")).collect()}
+    assert counted["many.xpt"] == counted["none.xpt"] == 400 and counted["short.xpt"] == 2 and counted["empty.xpt"] == 0
+    counts = {r.logical_path.rpartition("/")[2]: (r.n_rows, r.cells) for r in xpt.read_counts(spark, str(tmp_path)).collect()}
+    assert counts["many.xpt"] == (3, 1200) and counts["cut.xpt"] == (2, 800) and counts["none.xpt"] == (0, 0)
+    plan = xpt.read_counts(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content#" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_code_pages(spark):
+    text = "Ž€—“naïve”"
+    fields = [Field("T", 12, True, "Größe …")]
+    for encoding in ("windows-1252", "CP1252"):
+        content = header(fields, label="für 5 €", text="cp1252") + pad_card(text.encode("cp1252").ljust(12) + b"a\x81b".ljust(12))
+        good, bad = parsed(spark, {"w.xpt": content}, encoding=encoding)["w.xpt"]
+        assert (good.value_string, good.dataset_label, good.column_label) == (text, "für 5 €", "Größe …")
+        assert bad.value_string is None and bad.error_msg == f"Failed to get value: the bytes are not {encoding} text"
+    for encoding in ("iso8859-15", "cp1251", "koi8-r", "cp437", "cp1250", "cp874"):
+        every = bytes(range(128, 256))
+        known = b"".join(bytes([b]) for b in every if bytes([b]).decode(encoding, "ignore"))
+        content = header([Field("T", 200, True)]) + pad_card((b"'\\%_" + known).ljust(200))
+        (cell,) = parsed(spark, {"w.xpt": content}, encoding=encoding)["w.xpt"]
+        assert cell.value_string == "'\\%_" + known.decode(encoding).rstrip(" ")
+    for encoding in ("utf-16", "cp037", "shift_jis", "no such", "hex"):
+        with pytest.raises(ValueError):
+            xpt.scan_xpt(frame(spark, {}), encoding=encoding)
+
+
+# --- files ----------------------------------------------------------------------------------------
+
+
+def test_listing_and_writing(spark, tmp_path):
+    inside = {"a/x y%20.xpt": b"", "a/b/c.sas7bdat": None, "z.XPT": b"abc", "t.txt": b"q", "a/_hidden.xpt": b"s", "_d/k.xpt": b"s"}
+    written = files.write_files(frame(spark, inside), str(tmp_path / "new"))
+    assert {(r.logical_path.removeprefix(f"{tmp_path}/new/"), r.length) for r in written.collect()} == {
+        (k, len(v or b"")) for k, v in inside.items()}
+    for path in (str(tmp_path / "new"), f"file:{tmp_path}/new", f"file://{tmp_path}/new/"):
+        rows = {r.logical_path.rpartition("/new/")[2]: r.length for r in files.list_files(spark, path).collect()}
+        assert rows == {k: len(v or b"") for k, v in inside.items() if "_" not in k}
+    def names(*args):
+        return sorted(r.logical_path.rpartition("/")[2] for r in files.list_files(spark, *args).collect())
+    assert names(f"{tmp_path}/new/a/*.xpt") == ["x y%20.xpt"] and names(str(tmp_path), ".xpt") == ["x y%20.xpt", "z.XPT"]
+    assert names([f"{tmp_path}/new/t.txt", f"{tmp_path}/new/a/b"]) == ["c.sas7bdat", "t.txt"]
+    whole = {r.logical_path.rpartition("/")[2]: r.content for r in files.scan_files(spark, str(tmp_path), None, 2).collect()}
+    assert whole == {"x y%20.xpt": b"", "c.sas7bdat": b"", "t.txt": b"q"}
+    for bad in ("/abs", "../up", "a/../../up"):
+        with pytest.raises(Exception, match="does not lie below"):
+            files.write_files(frame(spark, {bad: b""}), str(tmp_path / "new")).collect()
+    with pytest.raises(Exception, match="FileNotFoundError"):
+        files.list_files(spark, str(tmp_path / "gone")).collect()
+    lost = spark.createDataFrame([(f"file:{tmp_path}/gone.xpt", 9), ("nostore://x/y", 1)], "logical_path string, length long")
+    errors = {r.logical_path: r.read_error for r in files.read_whole(lost).collect()}
+    assert errors[f"file:{tmp_path}/gone.xpt"].startswith("FileNotFoundError") and "nostore" in errors["nostore://x/y"]
