@@ -1,15 +1,19 @@
-"""Near-duplicate lines over all documents, by a join on winnowed substrings in built-in SQL alone.
+"""Near-duplicate lines over all documents, by a segment-partition edit join in built-in SQL alone.
 
 Two lines are alike if the longer one, of n characters, is turned into the other by at most ``allowed(n)`` edits (one
-character inserted, deleted or replaced): one edit, and one for every ``SPAN`` characters from two spans on. So k edits
-leave at least n - k characters of it, in at most k + 1 unbroken runs, and the longest run has at least
-``(n - k) / (k + 1)`` characters. Lengths fall into classes, each with the shortest run that any of its lines keeps.
-Of every stretch of that many characters a line takes the q-gram with the smallest hash; alike lines hold one such
-stretch in common, wherever it lies, and so they share a key. No pair can be missed, and a line has a few keys per run,
-whatever its length. A shorter line also takes the keys of a class whose lines it may be alike to.
+character inserted, deleted or replaced), a number that grows with the length in the steps of ``CLASSES``. A line is
+cut into one even segment more than the edits that are allowed; whatever is within so many edits of it holds at least
+one segment unchanged. Its segments, with their number and the line's length, are its index keys. A line probes the
+indexes of all lengths that it may be the longer one for: for a length and a segment only the substrings that lie so that
+the edits to their left and to their right can make up for both, the multi-match-aware bounds of such joins. No pair
+can be missed, and a line has 6 keys with one edit and some 60 with four, whatever its length. A line that is
+just short of a class is also indexed for that class, as the shorter one of a pair.
 
-What meets is compared by length and by counts of letters, which are necessary conditions, then by a banded edit
-distance, after the common starts and ends are cut off.
+Most probes meet nothing. A Bloom filter of the index keys, one 64-bit block and two bits a key, is a table of blocks;
+below a counted size it is broadcast, and only probes that it lets pass are kept and shuffled. It only ever spares work.
+
+What meets is compared by length and by counts of letters, which are necessary conditions, then by a banded bit-parallel
+edit distance, after the common starts and ends are cut off.
 
 Alike lines form groups; the first line of a group (smallest doc_id, then text hash, then place) stays and the others
 are removed from their documents, exact repeats included. Lines shorter than ``MIN_CHARS`` always stay.
@@ -29,12 +33,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cellframe.llm.linking import link
 from cellframe.llm.shared import BROADCAST_ROWS, keep, small, table
 
-#: One edit is allowed for so many characters.
-SPAN = 20
 MIN_CHARS = 30
-CLASSES = 5
-#: Keys are taken from pieces of so many characters, since a place in a text is found by walking to it.
-PIECE = 256
+#: (length of the longer line from which, edits that are allowed).
+CLASSES = ((MIN_CHARS, 1), (80, 2), (160, 3), (320, 4))
+#: Blocks of the Bloom filter, at most; each is 64 bits, meant for 8 keys. With more keys it lets more probes pass.
+BLOOM_BLOCKS = 1 << 20
 #: Their counts are compared before lines are aligned; an edit changes the sum of differences by at most two.
 LETTERS = "etaoinshrdlucmfwygpbvk.,"
 
@@ -46,47 +49,79 @@ def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     ).where(F.length("line") >= min_chars).withColumn("id", F.xxhash64("line"))
 
 
-def allowed(n: int, max_edits: int | None = None) -> int:
-    return max(1, n // SPAN) if max_edits is None else max_edits
+Classes = tuple[tuple[int, int], ...]
+
+
+def classes(max_edits: int | None, min_chars: int) -> Classes:
+    """The steps of allowed edits; ``max_edits`` allows one number for lines of any length."""
+    steps = CLASSES if max_edits is None else ((min_chars, max_edits),)
+    if any(max(start, min_chars) <= 2 * k for start, k in steps):
+        raise ValueError("lines must be longer than twice the edits they are allowed")
+    return steps
+
 
+def allowed(n: int, steps: Classes = CLASSES) -> int:
+    return max(k for start, k in steps if n >= start or start == steps[0][0])
 
-def allowed_sql(n: str, max_edits: int | None = None) -> str:
-    return f"CAST(greatest(1, {n} div {SPAN}) AS INT)" if max_edits is None else str(max_edits)
 
+def allowed_sql(n: str, steps: Classes) -> str:
+    whens = " ".join(f"WHEN {n} >= {start} THEN {k}" for start, k in reversed(steps[1:]))
+    return f"(CASE {whens} ELSE {steps[0][1]} END)" if whens else str(steps[0][1])
 
-def length_classes(min_chars: int, max_edits: int | None = None) -> list[tuple[int, int | None, int]]:
-    """(shortest line that takes the keys, end of the lengths, run) of each class of lengths of a pair's longer line."""
-    starts = [min_chars << i for i in range(CLASSES)]
+
+def windows(k: int) -> list[tuple[int, int, int]]:
+    """(segment, how much shorter the indexed line is, how far right of the segment's place) of all probes."""
     found = []
-    for start, end in zip(starts, [*starts[1:], None]):
-        run = min(-(-(n - allowed(n, max_edits)) // (allowed(n, max_edits) + 1)) for n in range(start, 2 * start + SPAN))
-        if end is None and max_edits is None:  # k <= n / SPAN, by which the bound grows with n
-            n = 2 * start + SPAN
-            run = min(run, -(-n * (SPAN - 1) // (n + SPAN)))
-        found.append((max(min_chars, start - allowed(start, max_edits)), end, run))
+    for segment in range(k + 1):
+        for shorter in range(k + 1):
+            low = max(-segment, shorter - (k - segment))
+            high = min(segment, shorter + (k - segment))
+            found += [(segment, shorter, shift) for shift in range(low, high + 1)]
     return found
 
 
-def keys(min_chars: int = MIN_CHARS, max_edits: int | None = None) -> str:
-    """SQL: the buckets of ``line``."""
+def _key(k: int, segment: int, length: str, shift: int) -> str:
+    """SQL: the key of the substring of ``line`` that lies like a segment of a line of that length, moved by ``shift``."""
+    start, end = (f"CAST({i} * ({length}) div {k + 1} AS INT)" for i in (segment, segment + 1))
+    return f"xxhash64({k}, {segment}, {length}, substring(line, {start} + {shift + 1}, {end} - {start}))"
+
+
+def _by_class(steps: Classes, keys_of, earlier: bool) -> str:
+    """SQL: the keys of all classes that a line's length falls into; with ``earlier`` from up to k before a class starts."""
     found = []
-    for i, (start, end, run) in enumerate(length_classes(min_chars, max_edits)):
-        q = max(1, run * 2 // 3)
-        w = run - q + 1
-        hashes = f"transform(sequence(1, length(_p) - {q - 1}), _i -> xxhash64({i}, substring(_p, _i, {q})))"
-        least = f"transform(sequence(1, size(_h) - {w - 1}), _j -> array_min(slice(_h, _j, {w})))"
-        pieces = (
-            f"transform(sequence(1, length(line) - {run - 1}, {PIECE}), "
-            f"_s -> substring(line, _s, {PIECE + run - 1}))"
-        )
-        of_piece = _let("_h", hashes, f"array_distinct({least})")
-        fits = f"length(line) >= {start}" + (f" AND length(line) < {end}" if end else "")
-        found.append(f"if({fits}, flatten(transform({pieces}, _p -> {of_piece})), CAST(array() AS array<bigint>))")
-    return f"array_distinct(concat({', '.join(found)}))"
+    for (start, k), end in zip(steps, [*(start for start, _ in steps[1:]), None]):
+        fits = f"length(line) >= {start - k if earlier else start}" + (f" AND length(line) < {end}" if end else "")
+        found.append(f"CASE WHEN {fits} THEN array({', '.join(keys_of(k))}) ELSE CAST(array() AS array<bigint>) END")
+    return f"concat({', '.join(found)})"
+
+
+def index_keys(steps: Classes) -> str:
+    """SQL: the keys of the segments of ``line``."""
+    return _by_class(steps, lambda k: [_key(k, i, "length(line)", 0) for i in range(k + 1)], True)
+
+
+def probe_keys(steps: Classes) -> str:
+    """SQL: the keys under which ``line`` looks for lines that are not longer."""
+    return _by_class(steps, lambda k: [_key(k, i, f"length(line) - {d}", s) for i, d, s in windows(k)], False)
+
+
+_BITS = "(shiftleft(1L, CAST(pmod(shiftright(key, 32), 64) AS INT)) | shiftleft(1L, CAST(pmod(shiftright(key, 40), 64) AS INT)))"
+
+
+def buckets(known: DataFrame, steps: Classes, broadcast_rows: int) -> DataFrame:
+    """(key, id) of all index keys of the lines of ``known`` (id, line), and of the probes that may meet one."""
+    n = known.count() * (steps[-1][1] + 1)
+    blocks = min(BLOOM_BLOCKS, 1 << max(6, (n // 8).bit_length()))
+    index = known.select(F.explode(F.expr(index_keys(steps))).alias("key"))
+    bloom = keep(index.selectExpr(f"pmod(key, {blocks}) AS block", f"{_BITS} AS bits").groupBy("block").agg(
+        F.expr("bit_or(bits)").alias("word")))
+    probes = known.select("id", F.explode(F.expr(f"array_distinct(concat({index_keys(steps)}, {probe_keys(steps)}))")).alias("key"))
+    met = F.expr(f"block = pmod(key, {blocks}) AND (word & {_BITS}) = {_BITS}")
+    return keep(probes.join(small(bloom, broadcast_rows), met, "left_semi").select("key", "id"))
 
 
 def within(a: str, b: str, k: int) -> str:
-    """SQL: whether two arrays of characters, the first not shorter, are within k edits.
+    """SQL: whether two arrays of characters, the first not shorter, are within k (at most 30) edits.
 
     Bit r of the vectors stands for row j - k + r in column j; ``vp`` and ``vn`` say where the distance rises or falls
     from the row above. The sum of the diagonal that ends in the last cell is followed.
@@ -131,18 +166,15 @@ def characters(text: str) -> str:
     return f"if({text} = '', CAST(array() AS array<string>), split({text}, ''))"
 
 
-def alike(one: str, two: str, k: int | str) -> str:
-    """SQL: whether two strings are within k edits, a number or SQL. What they begin and end with alike is cut off first."""
+def alike(one: str, two: str, k: int) -> str:
+    """SQL: whether two strings are within k edits. What they begin and end with alike is cut off first."""
     longer = f"if(length({one}) >= length({two}), {one}, {two})"
     shorter = f"if(length({one}) >= length({two}), {two}, {one})"
 
     def rest(of: str, same: str, then: str) -> str:
         return "named_struct(" + ", ".join(f"'{c}', " + then.format(f"substring({of}.{c}, {same} + 1)") for c in "xy") + ")"
 
-    if isinstance(k, int):
-        aligned = _let("_t", f"named_struct('x', {characters('_r.x')}, 'y', {characters('_r.y')})", within("_t.x", "_t.y", k))
-    else:
-        aligned = f"levenshtein(_r.x, _r.y, {k}) >= 0"
+    aligned = _let("_t", f"named_struct('x', {characters('_r.x')}, 'y', {characters('_r.y')})", within("_t.x", "_t.y", k))
     inner = _let("_r", rest("_q", "_m", "{}"), aligned)
     turned = _let("_q", rest("_p", "_n", "reverse({})"), _let("_m", common_start("_q.x", "_q.y"), inner))
     return _let("_p", f"named_struct('x', {longer}, 'y', {shorter})", _let("_n", common_start("_p.x", "_p.y"), turned))
@@ -158,29 +190,28 @@ def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN
 
     ``max_edits`` sets one number of edits for lines of all lengths, instead of one that grows with them.
     """
-    if min_chars <= 2 * allowed(min_chars, max_edits):
-        raise ValueError("lines must be longer than twice the edits they are allowed")
+    steps = classes(max_edits, min_chars)
     found = lines(docs, min_chars)
     known = keep(
         found.select("id", F.struct("doc_id", "text_hash", "place").alias("at"), "line")
         .groupBy("id").agg(F.min("at").alias("first"), F.count("at").alias("n"), F.min("line").alias("line"))
         .withColumn("second", F.xxhash64(F.lit("second"), "line"))
     )
-    members = keep(known.select("id", F.expr(keys(min_chars, max_edits)).alias("keys")))
-    members = members.select("id", F.explode("keys").alias("key"))
+    members = buckets(known, steps, broadcast_rows)
 
     def describe(ids: DataFrame) -> DataFrame:
         texts = known.select("id", "line").join(small(keep(ids), broadcast_rows), "id", "left_semi")
         return texts.select("id", "line", F.length("line").alias("size"), *letter_counts())
 
     def near(x: str, y: str) -> Column:
-        k = allowed_sql(f"greatest({x}.size, {y}.size)", max_edits)
+        k = allowed_sql(f"greatest({x}.size, {y}.size)", steps)
         apart = " + ".join(f"abs({x}.c{i} - {y}.c{i})" for i in range(len(LETTERS)))
         return F.expr(f"abs({x}.size - {y}.size) <= {k} AND {apart} <= 2 * {k}")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        k = allowed_sql("greatest(of_a.size, of_b.size)") if max_edits is None else max_edits
-        return pairs.where(F.expr(alike("of_a.line", "of_b.line", k)))
+        k = allowed_sql("greatest(of_a.size, of_b.size)", steps)
+        aligned = " ".join(f"WHEN {n} THEN {alike('of_a.line', 'of_b.line', n)}" for _, n in steps)
+        return pairs.where(F.expr(f"CASE {k} {aligned} END"))
 
     labels = link(members, describe, near, verify)
     of = known.select("id", "second", "first", "n")
@@ -189,6 +220,7 @@ def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN
     stays = linked.join(heads, "label").select("id", "second", "head").unionByName(
         of.where("n > 1").join(labels.select("id"), "id", "left_anti").select("id", "second", F.col("first").alias("head"))
     )
+    stays = small(keep(stays), broadcast_rows // 4)
     at = found.select("doc_id", "text_hash", "place", "id", F.xxhash64(F.lit("second"), "line").alias("line_hash"))
     return at.join(stays, (at.id == stays.id) & (at.line_hash == stays.second)).where(
         ~F.struct("doc_id", "text_hash", "place").eqNullSafe(F.col("head"))

@@ -108,7 +108,7 @@ def test_allowed_edits_grow_with_the_line(spark):
     """Lines of every class of lengths, evenly spread edits: as many as are allowed, and one more."""
     random.seed(7)
     docs, want = [], {}
-    for n in (30, 39, 40, 59, 60, 63, 119, 121, 240, 300, 479, 500, 1_100, 2_500):
+    for n in (30, 39, 60, 79, 80, 81, 83, 119, 159, 160, 162, 240, 319, 320, 323, 324, 500, 1_100, 2_500):
         for more in (0, 1):
             for edit in ("#", ""):  # characters replaced, or left out
                 k = line_dedup.allowed(n) + more
@@ -122,11 +122,52 @@ def test_allowed_edits_grow_with_the_line(spark):
     assert got == {i: want.get(i, 0) for i in range(len(docs))}
 
 
-def test_banded_built_in_equals_levenshtein(spark):
-    random.seed(8)
-    rows = [("", "", 0), ("a", "", 1), ("", "ab", 1), ("aba", "a", 2)]
-    for _ in range(800):
-        a = "".join(random.choices("abç", k=random.randrange(24)))
-        rows.append((a, changed(a, random.randrange(7), "abç"), random.randrange(1, 6)))
-    df = spark.createDataFrame(rows, "a string, b string, k int")
-    assert df.where(f"{line_dedup.alike('a', 'b', 'k')} <> (levenshtein(a, b) <= k)").isEmpty()
+def registered(docs):
+    """The registered operator by comparing all pairs of lines, as {doc_id: text}."""
+    lines = sorted({x for _, t in docs for x in t.split("\n") if len(x) >= line_dedup.MIN_CHARS})
+    label = list(range(len(lines)))
+
+    def root(x):
+        while label[x] != x:
+            x = label[x]
+        return x
+
+    for x, one in enumerate(lines):
+        for y in range(x):
+            k = line_dedup.allowed(max(len(one), len(lines[y])))
+            if abs(len(one) - len(lines[y])) <= k and edits(one, lines[y]) <= k:
+                a, b = sorted((root(x), root(y)))
+                label[b] = a
+    group = {line: root(i) for i, line in enumerate(lines)}
+    seen, want = set(), {}
+    for i, t in docs:
+        left = []
+        for x in t.split("\n"):
+            if x not in group or group[x] not in seen:
+                left.append(x)
+            if x in group:
+                seen.add(group[x])
+        want[i] = "\n".join(left)
+    return want
+
+
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+def test_registered_operator_equals_brute_force(spark, broadcast_rows):
+    """Lines around every bound of lengths, with about as many edits as are allowed, also where lengths straddle a bound."""
+    random.seed(31)
+    docs = []
+    for n in (29, 30, 31, 78, 80, 82, 157, 160, 163, 316, 320, 324):
+        for _ in range(3):
+            base = "".join(random.choices("abcdefgh ", k=n))
+            docs += [(len(docs) + i, changed(base, random.randrange(6), "abcxyz")) for i in range(4)]
+    docs = [(i, t + "\n" + random.choice(docs)[1]) for i, t in docs]
+    got = line_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string"), broadcast_rows=broadcast_rows)
+    want = registered(docs)
+    assert {r.doc_id: r.text for r in got.collect()} == want
+    assert 40 < sum(want[i] != t for i, t in docs) < len(docs)
+
+
+def test_windows_are_as_small_as_they_can_be():
+    for k in range(1, 6):
+        for shorter in range(k + 1):
+            assert sum(d == shorter for _, d, _ in line_dedup.windows(k)) == (k * k - shorter * shorter) // 2 + k + 1
