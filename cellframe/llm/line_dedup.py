@@ -28,6 +28,8 @@ if there is one, is set anew where lines went. An empty table gives an empty res
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cellframe.llm.linking import link
@@ -80,29 +82,40 @@ def windows(k: int) -> list[tuple[int, int, int]]:
     return found
 
 
-def _key(k: int, segment: int, length: str, shift: int) -> str:
-    """SQL: the key of the substring of ``line`` that lies like a segment of a line of that length, moved by ``shift``."""
-    start, end = (f"CAST({i} * ({length}) div {k + 1} AS INT)" for i in (segment, segment + 1))
-    return f"xxhash64({k}, {segment}, {length}, substring(line, {start} + {shift + 1}, {end} - {start}))"
+Window = tuple[int, int, int, int]
+
+
+def index_windows(k: int) -> list[Window]:
+    return [(k, segment, 0, 0) for segment in range(k + 1)]
+
 
+def probe_windows(k: int) -> list[Window]:
+    """Without those that are index windows too."""
+    return [(k, *window) for window in windows(k) if window[1:] != (0, 0)]
 
-def _by_class(steps: Classes, keys_of, earlier: bool) -> str:
-    """SQL: the keys of all classes that a line's length falls into; with ``earlier`` from up to k before a class starts."""
+
+def _by_class(steps: Classes, windows_of: Callable[[int], list[Window]], earlier: bool) -> str:
+    """SQL: the windows of the classes that ``size`` falls into; with ``earlier`` from k before a class starts."""
     found = []
     for (start, k), end in zip(steps, [*(start for start, _ in steps[1:]), None]):
-        fits = f"length(line) >= {start - k if earlier else start}" + (f" AND length(line) < {end}" if end else "")
-        found.append(f"CASE WHEN {fits} THEN array({', '.join(keys_of(k))}) ELSE CAST(array() AS array<bigint>) END")
+        rows = ", ".join(
+            f"named_struct('k', {w[0]}, 'segment', {w[1]}, 'shorter', {w[2]}, 'shift', {w[3]})" for w in windows_of(k)
+        )
+        fits = [f"size >= {start - k if earlier else start}"] + ([f"size < {end}"] if end else [])
+        found.append(f"CASE WHEN {' AND '.join(fits)} THEN array({rows}) ELSE filter(array({rows}), w -> false) END")
     return f"concat({', '.join(found)})"
 
 
-def index_keys(steps: Classes) -> str:
-    """SQL: the keys of the segments of ``line``."""
-    return _by_class(steps, lambda k: [_key(k, i, "length(line)", 0) for i in range(k + 1)], True)
-
+def keys(lines: DataFrame, *windows: str) -> DataFrame:
+    """(id, key): the key of each window of each line, the substring that lies like a segment of a line ``shorter``.
 
-def probe_keys(steps: Classes) -> str:
-    """SQL: the keys under which ``line`` looks for lines that are not longer."""
-    return _by_class(steps, lambda k: [_key(k, i, f"length(line) - {d}", s) for i, d, s in windows(k)], False)
+    Characters of one width are found without walking to them; behind a generator they are made once for a line.
+    """
+    sized = lines.selectExpr("id", "inline(array(named_struct('size', length(line), 'units', encode(line, 'UTF-32'))))")
+    placed = sized.selectExpr("id", "size", "units", f"inline(concat({', '.join(windows)}))")
+    start, end = (f"CAST((segment + {i}) * (size - shorter) div (k + 1) AS INT)" for i in (0, 1))
+    units = f"substring(units, 4 * ({start} + shift) + 1, 4 * ({end} - {start}))"
+    return placed.selectExpr("id", f"xxhash64(k, segment, size - shorter, {units}) AS key")
 
 
 _BITS = "(shiftleft(1L, CAST(pmod(shiftright(key, 32), 64) AS INT)) | shiftleft(1L, CAST(pmod(shiftright(key, 40), 64) AS INT)))"
@@ -110,12 +123,14 @@ _BITS = "(shiftleft(1L, CAST(pmod(shiftright(key, 32), 64) AS INT)) | shiftleft(
 
 def buckets(known: DataFrame, steps: Classes, broadcast_rows: int) -> DataFrame:
     """(key, id) of all index keys of the lines of ``known`` (id, line), and of the probes that may meet one."""
-    n = known.count() * (steps[-1][1] + 1)
+    n = known.count() * (steps[-1][1] + 1)  # index keys, at most but for those around the bounds of classes
     blocks = min(BLOOM_BLOCKS, 1 << max(6, (n // 8).bit_length()))
-    index = known.select(F.explode(F.expr(index_keys(steps))).alias("key"))
-    bloom = keep(index.selectExpr(f"pmod(key, {blocks}) AS block", f"{_BITS} AS bits").groupBy("block").agg(
-        F.expr("bit_or(bits)").alias("word")))
-    probes = known.select("id", F.explode(F.expr(f"array_distinct(concat({index_keys(steps)}, {probe_keys(steps)}))")).alias("key"))
+    as_index, as_probe = _by_class(steps, index_windows, True), _by_class(steps, probe_windows, False)
+    bloom = keep(
+        keys(known, as_index).selectExpr(f"pmod(key, {blocks}) AS block", f"{_BITS} AS bits").groupBy("block")
+        .agg(F.expr("bit_or(bits)").alias("word"))
+    )
+    probes = keys(known, as_index, as_probe)
     met = F.expr(f"block = pmod(key, {blocks}) AND (word & {_BITS}) = {_BITS}")
     return keep(probes.join(small(bloom, broadcast_rows), met, "left_semi").select("key", "id"))
 
