@@ -5,7 +5,8 @@ length under a language is the exact sum, over its bytes, of the PPM code of eac
 been seen, a known successor costs ``-log2(n(c, s) / (n(c) + d(c)))`` and anything else the escape code
 ``-log2(d(c) / (n(c) + d(c)))`` and then its code in the context one byte shorter (method C, without exclusion); below
 order 0 all symbols are equally likely. The 63 most frequent bytes are symbols; the other bytes share one symbol, plus
-the code of the byte among them. Codes are integers of 1/2048 bit, so sums do not depend on the order of work.
+the code of the byte among them. Codes are integers of 1/512 bit, so sums do not depend on the order of work; 16 bits of them
+hold 128 bits, more than any code: four escapes from counts below 2^30 and a symbol of six bits.
 
 The language with the shortest code wins (the first name on ties); the score is its posterior under equal priors.
 
@@ -31,7 +32,7 @@ ORDER = 3
 BITS = 6
 SYMBOLS = 1 << BITS
 OTHER = SYMBOLS - 1
-UNIT = 2048
+UNIT = 512
 LANES = 4
 EVEN = np.uint64(0x0000FFFF0000FFFF)
 #: About so many labelled rows per language are counted, chosen by a hash of their ids, whole texts each.
@@ -94,7 +95,8 @@ class Model:
         for first in range(0, len(self.langs), LANES):
             packed = np.zeros((1 << 4 * BITS, LANES), np.uint16)
             for lane, (at, n) in enumerate(self.windows[first:first + LANES]):
-                packed[:, lane] = np.minimum(np.rint(_code_lengths(at, n) * UNIT), 65535)
+                for start, codes in _code_lengths(at, n):
+                    packed[start:start + len(codes), lane] = np.rint(codes * UNIT)
             tables.append(packed.view("<u8")[:, 0])
         return tables
 
@@ -116,8 +118,12 @@ def symbols(bytes_seen: np.ndarray) -> np.ndarray:
     return symbol_of
 
 
-def _code_lengths(at: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Bits of the last symbol of every window, from one language's counts of windows."""
+def _code_lengths(at: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Bits of the last symbol of every window, from one language's counts of windows, block after block.
+
+    A context's parent is the context without its first symbol, so codes of the lower order repeat as a block. The last
+    order, by far the largest table, is never held as a whole.
+    """
     below = np.full(SYMBOLS, float(BITS), np.float32)  # all symbols equally likely
     for order in range(ORDER + 1):
         keys, where = np.unique(at & ((1 << BITS * (order + 1)) - 1), return_inverse=True)
@@ -127,12 +133,19 @@ def _code_lengths(at: np.ndarray, n: np.ndarray) -> np.ndarray:
         kinds = np.bincount(context, minlength=size)
         with np.errstate(divide="ignore", invalid="ignore"):
             escape = np.where(kinds > 0, -np.log2(kinds / (seen + kinds)), 0).astype(np.float32)
-        # a context's parent is the context without its first symbol, so codes of the lower order repeat as a block
-        lower = np.broadcast_to(below, (SYMBOLS if order else 1, below.size)).reshape(-1)
-        codes = (lower.reshape(size, SYMBOLS) + escape[:, None]).reshape(-1)
-        codes[keys] = -np.log2(counts / (seen + kinds)[context])
-        below = codes
-    return below
+        known = -np.log2(counts / (seen + kinds)[context])
+        blocks, width = (SYMBOLS if order else 1), len(below)
+        made = []
+        for block in range(blocks):
+            contexts = slice(block * size // blocks, (block + 1) * size // blocks)
+            codes = (below.reshape(-1, SYMBOLS) + escape[contexts, None]).reshape(-1)
+            here = slice(*np.searchsorted(keys, [block * width, (block + 1) * width]))
+            codes[keys[here] - block * width] = known[here]
+            if order == ORDER:
+                yield block * width, codes
+            else:
+                made.append(codes)
+        below = np.concatenate(made) if made else below
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
@@ -167,7 +180,7 @@ def _lane_sums(packed: np.ndarray) -> np.ndarray:
 
 
 def code_lengths(text: str, codes: list[np.ndarray], rare: np.ndarray, symbol_of: np.ndarray) -> np.ndarray:
-    """Code length of the whole text under each language, in 1/2048 bit."""
+    """Code length of the whole text under each language, in 1/512 bit."""
     data = text.encode("utf-8", "replace")
     total = np.zeros(rare.shape[1], np.int64)
     for start in range(0, len(data), PIECE):

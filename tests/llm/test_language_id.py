@@ -64,7 +64,20 @@ def test_code_lengths_equal_a_context_tree_in_dictionaries():
     codes, rare = model.codes(), model.rare_codes()
     for text in ["", "abc", "éé cab dü", "QZ!中", "".join(random.choices("abcdxyz qrs", k=200))]:
         got = lid.code_lengths(text, codes, rare, model.symbol_of) / lid.UNIT
-        assert np.allclose(got, list(brute_force_bits(train, text).values()), atol=0.001 * (len(text) + 1))
+        # each byte is rounded to a unit, and one without a symbol of its own twice
+        assert np.allclose(got, list(brute_force_bits(train, text).values()), rtol=0, atol=len(text.encode()) / lid.UNIT + 1e-4)
+
+
+def test_codes_beyond_32_bits_are_whole():
+    """Contexts so frequent that each escape costs 18 bits."""
+    train = {"a": ["ab" * 250_000], "b": ["abc" * 100]}
+    model = model_of(train)
+    codes, rare = model.codes(), model.rare_codes()
+    for text in ("abab" + "c", "ababQ", "babaabbb"):
+        want = list(brute_force_bits(train, text).values())
+        got = lid.code_lengths(text, codes, rare, model.symbol_of) / lid.UNIT
+        assert np.allclose(got, want, rtol=0, atol=len(text) / lid.UNIT + 1e-3)
+    assert (codes[0] & np.uint64(0xFFFF)).max() > 70 * lid.UNIT
 
 
 def test_a_long_text_in_pieces_costs_the_same(monkeypatch):
