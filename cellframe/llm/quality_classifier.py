@@ -247,10 +247,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with the probability that its ``text`` has quality 1."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.vectors, model.network))
+    # plain arrays: workers need not be able to import the class to unpickle them
+    weights = vars(model.network) if model.network is not None else None
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.vectors, weights))
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words, vectors, network = shared.value
+        words, vectors, weights = shared.value
+        network = Network(**weights) if weights is not None else None
         pool = Pool(words, vectors)
         for texts in batches:
             if network is None or not len(texts):
