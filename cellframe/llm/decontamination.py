@@ -8,8 +8,8 @@ diagonal bands 4k wide that overlap by half, which hold any 2k neighbouring diag
 kept, and each kept region is aligned in full, within its band, to find the least number of edits.
 
 The items become an index of their q-grams that every task holds: it is broadcast in parts of at most
-``ITEM_CHARS`` characters, one pass over the documents per part, so a benchmark of any size works in bounded memory.
-A document's q-grams are looked up in pieces that overlap by more than the longest item, whole texts included.
+``ITEM_CHARS`` characters, one pass over the documents per part. The pairs of all parts but the last are written to the
+shared folder at once and their broadcasts released, so a benchmark of any size works in bounded memory. A document's q-grams are looked up in pieces that overlap by more than the longest item, whole texts included.
 
 q is chosen per item as the largest of 1 to 8 for which the bound is at least one, so that no occurrence can be missed.
 
@@ -33,6 +33,11 @@ Q = 8
 PIECE = 1 << 18
 ITEM_CHARS = 4_000_000
 FILTER_BITS = 22
+#: Shared places counted at once, of some 150 bytes each.
+SLICE = 1 << 18
+#: A pair of an item and a band is one number: the band, from this one on, in its lower 40 bits.
+_ZERO_BAND = 1 << 38
+_BAND_BITS = (1 << 40) - 1
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -89,30 +94,48 @@ class Index:
             keys, first, count = np.unique(gram, return_index=True, return_counts=True)
             self.by_q[q] = keys, first, count, item, place, bitmap
 
-    def regions(self, points: np.ndarray) -> set[tuple[int, int]]:
-        """(item, band) that reach their bound; band d holds diagonals 2kd to 2kd + 4k (of width 2 where k is 0)."""
-        out: set[tuple[int, int]] = set()
+    def regions(self, points: np.ndarray) -> Iterator[np.ndarray]:
+        """Rows (item, band) that reach their bound, each once; band d holds diagonals 2kd to 2kd + 4k (2 where k is 0).
+
+        Places that share q-grams are gone through in the order of the text, ``SLICE`` of them at a time. Between slices
+        only the counts of bands that the text has not yet passed are kept, so memory does not grow with the repeats of a
+        q-gram in the text or in the items.
+        """
         for q, (keys, first, count, item, place, bitmap) in self.by_q.items():
             found = grams(points, q)
             at = np.flatnonzero(bitmap[(found * _SPREAD) >> np.uint64(64 - FILTER_BITS)])
-            if not len(at):
-                continue
             slot = np.searchsorted(keys, found[at])
             same = keys[np.minimum(slot, len(keys) - 1)] == found[at]
             at, slot = at[same], slot[same]
-            if not len(at):
-                continue
-            n = count[slot]
-            hit = np.repeat(first[slot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            items, diagonal = item[hit], np.repeat(at, n) - place[hit]
-            step = np.maximum(2 * self.k[items], 1)
-            band = diagonal // step
-            pair = np.concatenate([items << 40 | (band + (1 << 38)), items << 40 | (band - 1 + (1 << 38))])
-            pair, size = np.unique(pair, return_counts=True)
-            which = pair >> 40
-            for x in pair[size >= self.bound[which]].tolist():
-                out.add((x >> 40, (x & ((1 << 40) - 1)) - (1 << 38)))
-        return out
+            ends = np.cumsum(count[slot])
+            starts = ends - count[slot]
+            open_pair, open_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            total = int(ends[-1]) if len(ends) else 0
+            for low in range(0, total, SLICE):
+                high = min(low + SLICE, total)
+                one, last = np.searchsorted(ends, [low, high - 1], "right")
+                n = np.minimum(ends[one:last + 1], high) - np.maximum(starts[one:last + 1], low)
+                which = np.repeat(np.arange(one, last + 1), n)
+                hit = first[slot[which]] + np.arange(low, high) - starts[which]
+                items = item[hit]
+                band = (at[which] - place[hit]) // np.maximum(2 * self.k[items], 1) + _ZERO_BAND
+                pair, size = np.unique(
+                    np.concatenate([items << 40 | band, items << 40 | (band - 1)]), return_counts=True
+                )
+                before = np.zeros(len(pair), np.int64)
+                known = np.searchsorted(pair, open_pair)
+                again = pair[np.minimum(known, len(pair) - 1)] == open_pair
+                before[known[again]] = open_size[again]
+                size = size + before
+                bound = self.bound[pair >> 40]
+                reached = pair[(size >= bound) & (before < bound)]
+                if len(reached):
+                    yield np.stack([reached >> 40, (reached & _BAND_BITS) - _ZERO_BAND], 1)
+                pair, size = np.concatenate([pair, open_pair[~again]]), np.concatenate([size, open_size[~again]])
+                # a band's last place is its last diagonal at the item's end
+                items, band = pair >> 40, (pair & _BAND_BITS) - _ZERO_BAND
+                going = (band + 2) * np.maximum(2 * self.k[items], 1) + self.m[items] > at[last]
+                open_pair, open_size = pair[going], size[going]
 
     def best(self, text: str, points: np.ndarray, i: int, band: int) -> tuple[int, int] | None:
         """(edits, end) of the best alignment of the item within the band's diagonals, if it is near enough."""
@@ -159,12 +182,18 @@ def find(docs: DataFrame, items: DataFrame, error_rate: float = ERROR_RATE) -> D
     # ids go as text: pandas would make floating point numbers of a column with nulls
     docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     spark = docs.sparkSession
-    found = None
-    for part in item_parts(items):
-        passed = _find(docs, spark.sparkContext.broadcast(part), error_rate)
-        found = passed if found is None else found.unionByName(passed)
-    if found is None:
+    parts = item_parts(items)
+    part, written = next(parts, None), []
+    if part is None:
         return spark.createDataFrame([], "doc_id long, item_id long, edits int, end long")
+    for following in parts:
+        held = spark.sparkContext.broadcast(part)
+        written.append(keep(_find(docs, held, error_rate)))
+        held.destroy()
+        part = following
+    found = _find(docs, spark.sparkContext.broadcast(part), error_rate)
+    for passed in written:
+        found = found.unionByName(passed)
     return found
 
 
@@ -205,11 +234,12 @@ def occurrences(text: str, index: Index) -> dict[int, tuple[int, int]]:
     for start in range(0, max(1, len(text) - overlap), PIECE):
         piece = text[start:start + PIECE + overlap]
         points = code_points(piece)
-        for i, band in index.regions(points):
-            got = index.best(piece, points, i, band)
-            if got is not None:
-                got = (got[0], got[1] + start)
-                best[i] = min(best.get(i, got), got)
+        for reached in index.regions(points):
+            for i, band in reached.tolist():
+                got = index.best(piece, points, i, band)
+                if got is not None:
+                    got = (got[0], got[1] + start)
+                    best[i] = min(best.get(i, got), got)
     return best
 
 

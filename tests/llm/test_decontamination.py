@@ -1,4 +1,6 @@
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -71,6 +73,54 @@ def test_pieces_and_parts_change_nothing(spark, monkeypatch):
     assert {tuple(r) for r in dc.find(docs, items).collect()} == whole
 
 
+def shared_line_case():
+    """1,000 items with one instruction line, and a long text that repeats it, with four items in it."""
+    random.seed(3)
+    line = "Choose the one answer that best completes the statement:"
+    make = lambda n: " ".join("".join(random.choices("abcdefgh", k=6)) for _ in range(n))
+    items = [(i, dc.normal(line + " " + make(50))) for i in range(1_000)]
+    text = "".join(f"{line} {make(28)} " for _ in range(500))
+    for i in (5, 77, 500, 999):
+        at = random.randrange(len(text))
+        text = text[:at] + " " + changed(items[i][1], 20) + " " + text[at:]
+    return items, dc.normal(text)
+
+
+def test_frequent_grams_in_bounded_memory():
+    items, text = shared_line_case()
+    index = dc.Index(items, dc.ERROR_RATE)
+    tracemalloc.start()
+    found = dc.occurrences(text, index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {i: e for i, (e, _) in found.items()} == {
+        i: least_edits(items[i][1], text) for i in (5, 77, 500, 999)
+    }
+    assert peak < 100e6  # a count of all places at once takes 2 GB
+
+
+@pytest.mark.parametrize("size", [1, 7, 1 << 18])
+def test_slices_change_nothing(monkeypatch, size):
+    random.seed(4)
+    items = [(i, "".join(random.choices("ab", k=random.randrange(1, 40)))) for i in range(30)]
+    index = dc.Index(items, 0.2)
+    text = "".join(random.choices("ab", k=300))
+    points = dc.code_points(text)
+    want = set()  # counted with one number for each place of each item and band
+    for i, (_, item) in enumerate(items):
+        q, k = dc.gram_size(len(item), int(index.k[i])), int(index.k[i])
+        counts = Counter()
+        for x in range(len(text) - q + 1):
+            for y in range(len(item) - q + 1):
+                if text[x:x + q] == item[y:y + q]:
+                    band = (x - y) // max(2 * k, 1)
+                    counts.update([band, band - 1])
+        want |= {(i, band) for band, n in counts.items() if n >= len(item) + 1 - q * (k + 1)}
+    monkeypatch.setattr(dc, "SLICE", size)
+    got = [tuple(r) for reached in index.regions(points) for r in reached.tolist()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, None, 0), (2, " ", 0), (3, "a second LINE that is  long enough", 0), (3, "row without an id", 0)],
                                   "item_id long, text string, doc_id long")
