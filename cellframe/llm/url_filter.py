@@ -46,8 +46,12 @@ RULES = (
     Rule("block", "net", "/es/"),
     Rule("block", "net", "/fr/"),
 )
-#: Sites whose pages make the list of the registered query.
-LISTED_SITES = ("casino-win", "cheap-pills", "spam-farm")
+#: The exact list is broadcast up to so many bytes of URLs and so many of them.
+BROADCAST_BYTES, BROADCAST_URLS = 32 << 20, 500_000
+# Kinds of sites as block lists sort them. The registered query lists the pages of every site that has such
+# a word in its name, set off by dots or hyphens.
+LISTED_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+LISTED_HOST = f"(^|[.-])({'|'.join(LISTED_WORDS)})[.-]"
 
 
 def host_of(url: str) -> str:
@@ -103,25 +107,30 @@ def bloom_filter(listed: DataFrame, blocks: int) -> DataFrame:
 
 def in_list(rows: DataFrame, listed: DataFrame) -> DataFrame:
     """``rows`` (with ``canonical``) and a boolean ``listed``; ``listed`` has one row per canonical URL."""
-    n = listed.count()
+    n, size = listed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("canonical")), F.lit(0))).first()
     blocks = 2 ** max(0, math.ceil(math.log2(max(1, n * BITS_PER_URL / (32 * WORDS_PER_BLOCK)))))
     bloom = small(bloom_filter(listed, blocks), BROADCAST_BLOCKS)
     hit = F.lit(True)
     for i, bit in enumerate(_bits("canonical")):
         hit = hit & (F.expr(f"w{i}").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)) != 0)
     words = [f"w{i}" for i in range(WORDS_PER_BLOCK)]
+    # What the filter stops has no URL to join by, so it meets nothing; its hash alone spreads it over the tasks.
     probed = (
         rows.withColumn("block", _block("canonical", blocks))
         .join(bloom, "block", "left")
         .withColumn("possible", F.coalesce(hit, F.lit(False)))
-        .drop("block", *words)
+        .withColumn("wanted", F.when(F.col("possible"), F.col("canonical")))
+        .withColumn("spread", F.when(F.col("possible"), F.lit(0).cast("bigint")).otherwise(F.xxhash64("canonical")))
+        .drop("block", "possible", *words)
     )
-    exact = listed.select("canonical", F.lit(True).alias("listed"))
-    hits = probed.where("possible").join(exact, "canonical", "left").withColumn(
+    exact = listed.select(
+        F.col("canonical").alias("wanted"), F.lit(0).cast("bigint").alias("spread"), F.lit(True).alias("listed")
+    )
+    if n <= BROADCAST_URLS and size <= BROADCAST_BYTES:
+        exact = F.broadcast(exact)
+    return probed.join(exact, ["wanted", "spread"], "left").drop("wanted", "spread").withColumn(
         "listed", F.coalesce("listed", F.lit(False))
     )
-    misses = probed.where("NOT possible").withColumn("listed", F.lit(False))
-    return hits.drop("possible").unionByName(misses.drop("possible"))
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -142,10 +151,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES) ->
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page, against the canonical URLs of all pages on the listed sites."""
+    """Every page, against the canonical URLs of all pages on sites of the listed kinds."""
     pages = table(spark, sf_dir, "pages")
-    site = "(^|[.])(" + "|".join(LISTED_SITES) + ")[.]"
-    return judge(pages, pages.where(F.expr(host_of("url")).rlike(site)).select("url"))
+    return judge(pages, pages.where(F.expr(host_of("url")).rlike(LISTED_HOST)).select("url"))
 
 
 _fits = "(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')"
@@ -157,7 +165,7 @@ WITH u AS (
   SELECT page_id, {host_of('url')} AS host, {path_of('url')} AS path, {canonical_of('url', 'duckdb')} AS canonical
   FROM pages
 ), listed AS (
-  SELECT DISTINCT canonical FROM u WHERE regexp_matches(host, '(^|[.])({"|".join(LISTED_SITES)})[.]')
+  SELECT DISTINCT canonical FROM u WHERE regexp_matches(host, '{LISTED_HOST}')
 ), ruled AS (
   SELECT u.*, CASE {" ".join(f"WHEN {c} THEN '{r.name}'" for c, r in _cases)} END AS rule,
     CASE {" ".join(f"WHEN {c} THEN '{r.verdict}'" for c, r in _cases)} END AS by_rule,

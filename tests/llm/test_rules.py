@@ -65,3 +65,20 @@ def test_listed_urls_are_found_in_any_form(spark):
     assert out.count() == len(pages)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_list_decides_pages_without_a_rule_in_one_scan(spark):
+    out = url_filter.query(spark, "/root/testdata/sf0.1")
+    decided = out.where("rule IS NULL AND host <> ''").groupBy("verdict").count().collect()
+    assert {r.verdict for r in decided} == {"allow", "block"}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [page_id") == 1
+
+
+def test_exact_join_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_URLS", 0)
+    listed = spark.createDataFrame([(f"http://s{i}.org/{i}",) for i in range(300)], "url string")
+    pages = spark.range(900).selectExpr("id AS page_id", "concat('http://s', id, '.org/', id) AS url")
+    out = url_filter.judge(pages, listed, rules=())
+    assert {r.page_id for r in out.where("listed").collect()} == set(range(300))
+    assert out.count() == 900
