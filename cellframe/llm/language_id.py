@@ -11,8 +11,8 @@ hold 128 bits, more than any code: four escapes from counts below 2^30 and a sym
 The language with the shortest code wins (the first name on ties); the score is its posterior under equal priors.
 
 Counting is a Spark job over a bounded sample of the labelled rows; what returns to the driver is at most
-``languages * 64^4`` counts, in practice some ten thousand. Each task unfolds the frozen counts into one table of codes
-(32 MB per language, in groups of four) and looks every byte of its texts up in it; texts are worked through in pieces of ``PIECE`` bytes.
+``languages * 64^4`` counts, in practice some ten thousand. Each task unfolds the frozen counts into tables of codes
+(for four languages, 512 bytes per context seen) and looks every byte of its texts up in them; texts are worked through in pieces of ``PIECE`` bytes.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0; an empty table, or no labelled row, makes
 every text ``und``; a null language is not learned from; repeated ids and extra columns change nothing.
@@ -32,6 +32,8 @@ ORDER = 3
 BITS = 6
 SYMBOLS = 1 << BITS
 OTHER = SYMBOLS - 1
+#: Contexts of the order below the last.
+PARENTS = SYMBOLS ** (ORDER - 1)
 UNIT = 512
 LANES = 4
 EVEN = np.uint64(0x0000FFFF0000FFFF)
@@ -89,15 +91,24 @@ class Model:
         self.langs, self.bytes_seen, self.windows = langs, bytes_seen, windows
         self.symbol_of = symbols(bytes_seen)
 
-    def codes(self) -> list[np.ndarray]:
-        """Tables from window to the code lengths of its last symbol, those of four languages side by side."""
+    def codes(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per four languages, where the codes of each context start, and the code lengths of its 64 symbols.
+
+        Four languages lie side by side in a 64-bit number. A context that none of them has seen shares the codes of the
+        context without its first symbol, so the size grows with the contexts seen and not with all there could be.
+        """
         tables = []
         for first in range(0, len(self.langs), LANES):
-            packed = np.zeros((1 << 4 * BITS, LANES), np.uint16)
-            for lane, (at, n) in enumerate(self.windows[first:first + LANES]):
-                for start, codes in _code_lengths(at, n):
-                    packed[start:start + len(codes), lane] = np.rint(codes * UNIT)
-            tables.append(packed.view("<u8")[:, 0])
+            group = self.windows[first:first + LANES]
+            contexts = np.unique(np.concatenate([at >> BITS for at, _ in group]))
+            start_of = np.tile(np.arange(PARENTS, dtype=np.int32) << BITS, SYMBOLS)
+            start_of[contexts] = (PARENTS + np.arange(len(contexts))) << BITS
+            packed = np.zeros(((PARENTS + len(contexts)) << BITS, LANES), np.uint16)
+            for lane, (at, n) in enumerate(group):
+                parents, own = _code_lengths(at, n, contexts)
+                packed[:len(parents), lane] = np.rint(parents * UNIT)
+                packed[len(parents):, lane] = np.rint(own * UNIT)
+            tables.append((start_of, packed.view("<u8")[:, 0]))
         return tables
 
     def rare_codes(self) -> np.ndarray:
@@ -118,34 +129,28 @@ def symbols(bytes_seen: np.ndarray) -> np.ndarray:
     return symbol_of
 
 
-def _code_lengths(at: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Bits of the last symbol of every window, from one language's counts of windows, block after block.
+def _code_lengths(at: np.ndarray, n: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bits of every symbol after all contexts below the last order, and after ``contexts`` of the last order.
 
-    A context's parent is the context without its first symbol, so codes of the lower order repeat as a block. The last
-    order, by far the largest table, is never held as a whole.
+    ``at`` and ``n`` are one language's counts of windows; ``contexts`` are sorted and hold all that it has seen. A
+    context's parent is the context without its first symbol, so codes of the lower order repeat as a block.
     """
     below = np.full(SYMBOLS, float(BITS), np.float32)  # all symbols equally likely
     for order in range(ORDER + 1):
         keys, where = np.unique(at & ((1 << BITS * (order + 1)) - 1), return_inverse=True)
         counts = np.bincount(where, weights=n).astype(np.float64)
-        context, size = keys >> BITS, SYMBOLS**order
-        seen = np.bincount(context, weights=counts, minlength=size)
-        kinds = np.bincount(context, minlength=size)
+        wanted = contexts if order == ORDER else np.arange(SYMBOLS**order)
+        row = np.searchsorted(wanted, keys >> BITS)
+        seen = np.bincount(row, weights=counts, minlength=len(wanted))
+        kinds = np.bincount(row, minlength=len(wanted))
         with np.errstate(divide="ignore", invalid="ignore"):
             escape = np.where(kinds > 0, -np.log2(kinds / (seen + kinds)), 0).astype(np.float32)
-        known = -np.log2(counts / (seen + kinds)[context])
-        blocks, width = (SYMBOLS if order else 1), len(below)
-        made = []
-        for block in range(blocks):
-            contexts = slice(block * size // blocks, (block + 1) * size // blocks)
-            codes = (below.reshape(-1, SYMBOLS) + escape[contexts, None]).reshape(-1)
-            here = slice(*np.searchsorted(keys, [block * width, (block + 1) * width]))
-            codes[keys[here] - block * width] = known[here]
-            if order == ORDER:
-                yield block * width, codes
-            else:
-                made.append(codes)
-        below = np.concatenate(made) if made else below
+        parent = below.reshape(-1, SYMBOLS)
+        codes = (parent[wanted % len(parent)] + escape[:, None]).reshape(-1)
+        codes[(row << BITS) | (keys & OTHER)] = -np.log2(counts / (seen + kinds)[row])
+        if order < ORDER:
+            below = codes
+    return below, codes
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
@@ -179,7 +184,7 @@ def _lane_sums(packed: np.ndarray) -> np.ndarray:
     return total
 
 
-def code_lengths(text: str, codes: list[np.ndarray], rare: np.ndarray, symbol_of: np.ndarray) -> np.ndarray:
+def code_lengths(text: str, codes: list[tuple[np.ndarray, np.ndarray]], rare: np.ndarray, symbol_of: np.ndarray) -> np.ndarray:
     """Code length of the whole text under each language, in 1/512 bit."""
     data = text.encode("utf-8", "replace")
     total = np.zeros(rare.shape[1], np.int64)
@@ -187,7 +192,10 @@ def code_lengths(text: str, codes: list[np.ndarray], rare: np.ndarray, symbol_of
         before = START if start == 0 else data[start - ORDER:start]
         piece = data[start:start + PIECE]
         windows = _windows(before + piece, symbol_of)[len(before):]
-        total += np.concatenate([_lane_sums(table.take(windows)) for table in codes])[:len(total)]
+        last = (windows & OTHER).astype(np.int32)
+        total += np.concatenate([
+            _lane_sums(table.take(start_of.take(windows >> BITS) | last)) for start_of, table in codes
+        ])[:len(total)]
         others = np.frombuffer(piece, np.uint8)
         others = others[symbol_of[others] == OTHER]
         if len(others):
