@@ -383,11 +383,13 @@ def check_name_length(spark, sf_dir):
 _FILE_NUMBER = "CAST(regexp_extract(logical_path, '_([0-9]+)', 1) AS BIGINT)"
 
 
-@query(
+_DICTIONARIES = (
     f"WITH a AS ({DICTIONARY_SQL}), e AS (SELECT logical_path, column_index, column_name, "
     f"CASE WHEN {_FILE_NUMBER} % 3 = 0 AND column_index = 3 THEN '12.2' ELSE column_format END AS column_format, "
     f"data_type FROM a WHERE NOT ({_FILE_NUMBER} % 2 = 0 AND column_index = 4) UNION ALL "
     f"SELECT DISTINCT logical_path, 9, 'EXTRA', NULL, 'Double' FROM a WHERE {_FILE_NUMBER} % 2 = 1) "
+)
+_DIFFERENCES = (
     "SELECT coalesce(a.logical_path, e.logical_path) AS logical_path, "
     "CAST(coalesce(a.column_index, e.column_index) AS INTEGER) AS column_index, "
     + ", ".join(
@@ -400,7 +402,10 @@ _FILE_NUMBER = "CAST(regexp_extract(logical_path, '_([0-9]+)', 1) AS BIGINT)"
     "AND a.column_index = e.column_index WHERE a.column_name IS DISTINCT FROM e.column_name "
     "OR a.column_format IS DISTINCT FROM e.column_format OR a.data_type IS DISTINCT FROM e.data_type"
 )
-def check_dictionary(spark, sf_dir):
+
+
+def _dictionaries(spark, sf_dir):
+    """The dictionaries of the files, and others that should be theirs."""
     actual = xpt.dictionary(X.customer_files(spark, sf_dir))
     paths = table(spark, sf_dir, "customer").select(
         X.part_path("customer", "c_custkey").alias("logical_path"),
@@ -423,7 +428,40 @@ def check_dictionary(spark, sf_dir):
             "column_format", F.when((number % 3 == 0) & (index == 3), "12.2").otherwise(F.col("column_format"))
         )
     )
-    return quality.dictionary_differences(actual, expected)
+    return actual, expected
+
+
+@query(_DICTIONARIES + _DIFFERENCES)
+def check_dictionary(spark, sf_dir):
+    return quality.dictionary_differences(*_dictionaries(spark, sf_dir))
+
+
+def _signatures(of: str) -> str:
+    texts = ", ".join(f"coalesce({c}, '')" for c in ("column_name", "column_format", "data_type"))
+    return (f"SELECT logical_path, string_agg(concat_ws('|', column_index, {texts}), ';' ORDER BY column_index) AS s "
+            f"FROM {of} GROUP BY logical_path")
+
+
+@query(
+    _DICTIONARIES + f", d AS ({_DIFFERENCES}), c AS (SELECT min(logical_path) AS first_path, count(*) AS files FROM "
+    f"({_signatures('a')}) AS x FULL JOIN ({_signatures('e')}) AS y USING (logical_path) GROUP BY x.s, y.s) "
+    "SELECT first_path, files, d.* EXCLUDE (logical_path) FROM d JOIN c ON logical_path = first_path"
+)
+def check_dictionary_classes(spark, sf_dir):
+    """The same findings, once for all files that are alike."""
+    return quality.dictionary_class_differences(*_dictionaries(spark, sf_dir))
+
+
+@query(
+    f"WITH a AS ({DICTIONARY_SQL}), f AS ({_signatures('a')}) SELECT min(logical_path) AS first_path, count(*) AS files, "
+    "CAST(any_value(n) AS INTEGER) AS n_columns FROM f JOIN (SELECT logical_path, count(*) AS n FROM a GROUP BY 1) "
+    "USING (logical_path) GROUP BY s"
+)
+def dictionary_classes(spark, sf_dir):
+    """The different dictionaries of a table of files."""
+    return quality.dictionary_classes(xpt.dictionary(X.customer_files(spark, sf_dir))).selectExpr(
+        "first_path", "files", "size(columns) AS n_columns"
+    )
 
 
 # --- values -------------------------------------------------------------------

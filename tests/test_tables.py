@@ -10,7 +10,7 @@ import __spark_entry__ as entry_point
 import cellframe as cf
 from cellframe.functions import values as V
 from cellframe.functions.formats import format_text, type_from_format, type_of_format
-from cellframe.operators import row_index
+from cellframe.operators import quality, row_index
 from cellframe.operators.cells import pivot
 from cellframe.operators.dictionary import describe
 from cellframe.operators.row_index import with_row_index
@@ -248,3 +248,23 @@ def test_formats(spark):
                               (("DATE", 9, 0), ("BEST", 9, 3), ("", 9, 3), ("DATE", 0, 0), ("", 0, 0)))
     ).first()
     assert list(written) == ["DATE9.", "BEST9.3", "9.3", "DATE.", None]
+
+
+def test_dictionary_classes_find_what_single_files_do(spark):
+    schema = "logical_path string, column_index int, column_name string, column_format string, data_type string, x int"
+    one = [(0, "A", None, "Double"), (1, "B", "DATE9.", "Date")]
+    kinds = {"same": (one, one), "gone": (one[:1], one), "more": (one, one[:1]), "none": (one, []), "absent": ([], one),
+             "other": ([(0, "A", "8.2", "Double"), one[1]], one), "null": ([(0, None, None, None)], [(0, "", None, None)])}
+    sides = []
+    for side in (0, 1):
+        rows = [(f"{kind}/{i}", *c, i) for kind, both in kinds.items() for i in range(3) for c in both[side]]
+        # a file that could not be read has a row without a column
+        sides.append(spark.createDataFrame(rows + [("bad", None, None, None, None, 0)], schema))
+    single = quality.dictionary_differences(*[s.where("column_index IS NOT NULL") for s in sides])
+    want = sorted(map(str, (tuple(r) for r in single.where("endswith(logical_path, '/0')").collect())))
+    classes = quality.dictionary_class_differences(*sides)
+    got = classes.collect()
+    assert sorted(str((r[0], *r[2:])) for r in got) == want and {r.files for r in got} == {3}
+    assert {r.files for r in quality.dictionary_classes(sides[0]).collect()} == {9, 3}
+    assert quality.dictionary_class_differences(sides[0].limit(0), sides[1].limit(0)).isEmpty()
+    assert quality.dictionary_classes(sides[0].where("logical_path = 'bad'")).isEmpty()
