@@ -860,6 +860,13 @@ def read_files_whole(spark, sf_dir):
         spark, X.written_folder(X.spoiled_customer_files(spark, sf_dir, X.ROWS_PER_FILE // 2))))
 
 
+@query(f"SELECT * FROM ({_FOLDER_CELLS}) ORDER BY logical_path, row_index NULLS FIRST, column_index NULLS FIRST LIMIT 10000")
+def sample_cells_of_files(spark, sf_dir):
+    """The first cells of the folder; of the files, only the ranges of bytes that hold these are read."""
+    folder = X.written_folder(X.spoiled_customer_files(spark, sf_dir, X.ROWS_PER_FILE // 2))
+    return _without_folder(xpt.read_first(spark, folder, 10_000))
+
+
 @query(_FOLDER_CELLS)
 def read_files_by_ranges(spark, sf_dir):
     """The same files, each read by ranges of bytes."""

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cellframe.functions import values as V
 from cellframe.functions.bytes import (
@@ -44,6 +44,7 @@ from cellframe.operators.errors import (
     VALUE_FAILED,
     XPT_FAILED,
 )
+from cellframe.operators.quality import sample_cells
 from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, conform
 from cellframe.sources.files import list_files, open_input, read_ranges
 
@@ -166,6 +167,11 @@ def scan_large_xpt(
             "* EXCEPT (extra, more)", f"coalesce(extra, {_NO_NAMES}) AS extra", "coalesce(more, 0L) AS more"
         )
     )
+    return _decode_ranges(heads, encoding, chunk_bytes)
+
+
+def _decode_ranges(heads: DataFrame, encoding: str, chunk_bytes: int) -> DataFrame:
+    """Cells and error rows of files of which the headers are known, read by ranges of bytes."""
     spread = _fixed(heads, ranges=_chunk_ranges(chunk_bytes)).selectExpr(
         "logical_path", "dataset_label", "columns", "record_size", "inline(ranges)"
     ).repartition("logical_path", "first_row")
@@ -215,6 +221,34 @@ def read_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     ).selectExpr("logical_path", "n_rows", "n_columns", "n_rows * n_columns AS cells", "error_msg")
 
 
+def read_first(
+    spark: SparkSession, path: str | list[str], n: int, encoding: str = "UTF-8", prefixes: Prefixes = FORMAT_PREFIXES
+) -> DataFrame:
+    """The first ``n`` rows, in the order of ``sample_cells``, of the cells of all transport files below ``path``.
+
+    Headers and lengths tell where these rows lie, so no other records are read. Later members are not looked for.
+    """
+    # Each file has a row at least, so no file behind the first n paths is opened.
+    listing = list_files(spark, path, ".xpt").orderBy("logical_path").limit(n).repartition("logical_path")
+    heads = _first_rows(read_headers(_fetched_heads(listing), encoding, prefixes), n)
+    return sample_cells(_decode_ranges(heads, encoding, LARGE_CHUNK_BYTES), n)
+
+
+def _first_rows(heads: DataFrame, n: int) -> DataFrame:
+    """The files that hold the first ``n`` rows of cells, their ``rows`` cut to what is needed; at most n files go in.
+
+    An error row of a file comes in front of its cells.
+    """
+    earlier = Window.orderBy("logical_path").rowsBetween(Window.unboundedPreceding, -1)
+    sized = heads.selectExpr(
+        "*", "greatest(coalesce(size(columns), 0), 1) AS width",
+        "CASE WHEN file_error IS NOT NULL OR cut_short THEN 1L ELSE 0L END AS errors",
+    ).selectExpr("*", "errors + CASE WHEN file_error IS NULL THEN rows * width ELSE 0L END AS emitted")
+    placed = sized.withColumn("before", F.coalesce(F.sum("emitted").over(earlier), F.lit(0))).where(F.col("before") < n)
+    needed = f"(greatest({n}L - before - errors, 0L) + width - 1) div width"
+    return placed.selectExpr("* EXCEPT (rows, width, errors, emitted, before)", f"least(rows, {needed}) AS rows")
+
+
 def _dictionary_of(heads: DataFrame) -> DataFrame:
     # a file without records has a dictionary all the same
     bad = f"CASE WHEN file_error <> {quoted(EMPTY_DATASET)} THEN file_error END"

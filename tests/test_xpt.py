@@ -11,6 +11,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 import cellframe as cf
+from cellframe.operators import quality
 from cellframe.sources import files, xpt
 from fixtures.transport import Field, bits_bytes, card, extended_header, header, hex_float_steps, pad_card
 from pyspark.sql import functions as F
@@ -386,6 +387,25 @@ def test_code_pages(spark):
 # --- files ----------------------------------------------------------------------------------------
 
 
+def test_first_rows_read_no_other_records(spark, tmp_path):
+    fields = [Field("K"), Field("T", 5, True)]
+    many = write(fields, [(float(i), f"t{i}") for i in range(1000)])
+    few = write(fields, [(float(i), "x") for i in range(20)])
+    contents = {"a": b"", "b": few[:-45], "c": b"junk", "d": write(fields, []), "e": many, "f": few, "g": many}
+    for name, content in contents.items():
+        (tmp_path / f"{name}.xpt").write_bytes(content)
+    (tmp_path / "aa.txt").write_bytes(b"x")
+    cells = cf.read_files(spark, str(tmp_path)).where("endswith(logical_path, '.xpt')")
+    every = [tuple(r) for r in quality.sample_cells(cells, 100_000).collect()]
+    heads = xpt.read_headers(
+        xpt._fetched_heads(files.list_files(spark, str(tmp_path), ".xpt")), "UTF-8", xpt.FORMAT_PREFIXES).cache()
+    for n in (1, 2, 3, 41, 42, 43, 2043, 2083, 5000):
+        planned = xpt._first_rows(heads, n).where("file_error IS NULL").agg(F.sum("rows")).first()[0] or 0
+        assert planned == len({(r[0], r[2]) for r in every[:n] if r[2] is not None})
+    for n in (3, 43, 2083):
+        assert [tuple(r) for r in xpt.read_first(spark, str(tmp_path), n).collect()] == every[:n]
+
+
 def test_listing_and_writing(spark, tmp_path):
     inside = {"a/x y%20.xpt": b"", "a/b/c.sas7bdat": None, "z.XPT": b"abc", "t.txt": b"q", "a/_hidden.xpt": b"s", "_d/k.xpt": b"s"}
     written = files.write_files(frame(spark, inside), str(tmp_path / "new"))
