@@ -149,6 +149,37 @@ def cells_pruned(spark, sf_dir):
     return table_cells(spark, sf_dir, "orders", columns=PRUNED)
 
 
+FILTERED_COLUMNS = "column_name IN ('o_orderdate', 'o_totalprice') AND data_type <> 'String'"
+FILTERED_DATASETS = "logical_path = 'orders_1-URGENT' OR endswith(logical_path, 'LOW')"
+
+
+@query(
+    "SELECT * FROM ("
+    + cells_sql("SELECT * FROM orders", "'orders_' || o_orderpriority", "o_orderkey",
+                [plain(*c) for c in TABLE_COLUMNS["orders"]], datasets="o_orderpriority")
+    + ") WHERE column_name IN ('o_orderdate', 'o_totalprice') AND logical_path IN ('orders_1-URGENT', 'orders_5-LOW')"
+)
+def cells_filtered(spark, sf_dir):
+    """Filters over cells that reach the scan: other columns are not read, other datasets not numbered."""
+    path = F.concat(F.lit("orders_"), F.col("o_orderpriority"))
+    return cf.to_cells(
+        table(spark, sf_dir, "orders"), path, columns=[c for c, _ in TABLE_COLUMNS["orders"]], order_by=["o_orderkey"],
+        rows_per_bucket=ROWS_PER_BUCKET, columns_where=FILTERED_COLUMNS, datasets_where=FILTERED_DATASETS,
+    )
+
+
+@query(
+    "SELECT CAST(row_number() OVER (ORDER BY o_orderstatus = 'F' OR o_orderkey % 10 <> 0 DESC, o_orderkey) - 1 AS INTEGER)"
+    " AS row_index, o_orderkey FROM orders"
+)
+def row_index_heavy_value(spark, sf_dir):
+    """Numbers where nearly all rows have one value in the column that cuts them into buckets."""
+    rows = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderstatus = 'F' OR o_orderkey % 10 <> 0 THEN 0 ELSE 1 END AS part"
+    )
+    return with_row_index(rows, ["part", "o_orderkey"], rows_per_bucket=ROWS_PER_BUCKET, bucket_by=["part"]).drop("part")
+
+
 @query(
     cells_sql(
         "SELECT *, date_diff('day', DATE '1960-01-01', o_orderdate::DATE) AS days FROM orders",

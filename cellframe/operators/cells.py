@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from cellframe.functions import values as V
 from cellframe.functions.formats import FORMAT_PREFIXES, quoted
-from cellframe.operators.dictionary import ColumnInfo, describe
+from cellframe.operators.dictionary import DICTIONARY_SCHEMA, ColumnInfo, describe
 from cellframe.operators.errors import ROW_FAILED, TOO_MANY_ROWS
 from cellframe.operators.row_index import with_row_index
-from cellframe.schema import DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform, ident
+from cellframe.schema import CELL_SCHEMA, DATE, DOUBLE, STRING, TIME, TIMESTAMP, VALUE_SLOTS, conform, ident
 
 
 _MICROS = {
@@ -35,13 +35,19 @@ def to_cells(
     prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
     rows_per_bucket: int = 1_000_000,
     bucket_by: Sequence[str] | None = None,
+    columns_where: str | None = None,
+    datasets_where: str | None = None,
 ) -> DataFrame:
     """One row per cell of ``df``: rows x columns, missing values included.
 
     ``logical_path`` names the dataset; as a Column it cuts the table into datasets.
     Rows are numbered by the existing column ``row_index``, or else in the order of
     ``order_by`` within each dataset. ``columns`` picks what is pivoted; filters
-    cannot move below the pivot, so this is what lets Parquet skip the other columns.
+    cannot move below the pivot by themselves, so this is what lets Parquet skip the other columns.
+    ``columns_where`` and ``datasets_where`` are filters over the result that are applied below the pivot: the former
+    an SQL condition on what describes a column (``column_index`` to ``data_type``), answered from the dictionary, the
+    latter on ``logical_path``, before rows are numbered. The cells are those of the whole result that fulfil both,
+    with the numbers they have there.
     ``bucket_by``, a leading part of ``order_by``, makes numbering cheaper, see ``with_row_index``.
     Rows past 32 bits keep their cells, with a null index and an error.
     """
@@ -52,8 +58,18 @@ def to_cells(
     infos = describe(df, columns, labels, formats, prefixes)
     if not infos:
         raise ValueError("no columns to pivot")
+    if columns_where is not None:
+        infos = _columns_that(df.sparkSession, infos, columns_where)
+        columns = [i.name for i in infos]
     one_dataset = isinstance(logical_path, str)
-    df = df.withColumn("_path", F.lit(logical_path) if one_dataset else logical_path)
+    path = F.lit(logical_path) if one_dataset else logical_path
+    if datasets_where is None:
+        df = df.withColumn("_path", path)
+    else:  # packed, as the table may have a column of that name itself
+        packed = df.select(F.struct(*map(ident, df.columns)).alias("_row"), path.alias("logical_path"))
+        df = packed.where(datasets_where).select("_row.*", F.col("logical_path").alias("_path"))
+    if not infos:
+        return df.sparkSession.createDataFrame([], CELL_SCHEMA)
     if row_index is None:
         row_index = "_row_index"
         needed = dict.fromkeys(["_path", *columns, *order_by])
@@ -65,6 +81,15 @@ def to_cells(
     return pivot(df, infos, "_path", row_index, dataset_label)
 
 
+def _columns_that(spark: SparkSession, infos: Sequence[ColumnInfo], condition: str) -> list[ColumnInfo]:
+    """The columns whose dictionary entry fulfils an SQL condition; as few rows as the table has columns."""
+    names = ["column_index", "column_name", "column_label", "column_format", "data_type"]
+    fields = T.StructType([f for f in DICTIONARY_SCHEMA if f.name in names])
+    entries = spark.createDataFrame([(i.index, i.name, i.label, i.format, i.data_type) for i in infos], fields)
+    kept = {r.column_index for r in entries.where(condition).collect()}
+    return [i for i in infos if i.index in kept]
+
+
 def pivot(
     df: DataFrame,
     infos: Sequence[ColumnInfo],
@@ -111,7 +136,7 @@ def pivot(
         logical_path=path,
         dataset_label="NULL" if dataset_label is None else quoted(dataset_label),
         row_index="_row",
-        column_index="_column",
+        column_index=lookup([str(i.index) for i in infos]) if any(i.index != n for n, i in enumerate(infos)) else "_column",
         column_name=texts(i.name for i in infos),
         column_label=texts(i.label for i in infos),
         column_format=texts(i.format for i in infos),

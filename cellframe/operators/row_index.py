@@ -10,7 +10,13 @@ from cellframe.schema import ident
 
 INT_MAX = 2**31 - 1
 # Boundaries are drawn from a sample of this many rows per bucket.
-_SAMPLE_PER_BUCKET = 8
+_SAMPLE_PER_BUCKET = 32
+# Keys travel as text to the driver and back; instants keep their microseconds.
+_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def with_row_index(
@@ -34,30 +40,29 @@ def with_row_index(
     shuffle and are as few as there are buckets and datasets.
 
     ``bucket_by`` is a leading part of ``order_by``, by default all of it. Boundaries
-    and counts then read these columns alone, but rows equal in them are never split.
+    and counts then read these columns alone, unless some of its values hold more than
+    half a bucket each: the rows of these get a second level of boundaries, over the
+    whole of ``order_by``. Only rows equal in all keys are never split.
     Up to ``rows_per_bucket`` rows are one bucket and one task per dataset; beyond
     ``max_buckets`` buckets only their size grows, as the driver holds the boundaries.
-    Building runs jobs: a count of rows and, for more than one bucket, the sample.
+    Building runs jobs: a count of rows and, for more than one bucket, a sample for
+    each level of boundaries.
     An index past 32 bits is null.
     """
     bucket_by = list(order_by if bucket_by is None else bucket_by)
     if bucket_by != list(order_by)[: len(bucket_by)] or not bucket_by:
         raise ValueError("bucket_by has to be a leading part of order_by")
-    keys = [*dataset_by, *bucket_by]
     total = df.count()
     buckets = min(max_buckets, total // rows_per_bucket + 1)
     if buckets == 1:
         window = _window(dataset_by, order_by)
         return df.withColumn(name, _to_int(F.row_number().over(window) - 1))
 
-    parts = [F.col(ident(k)) for k in keys]
-    key = parts[0] if len(parts) == 1 else F.struct(*parts)
-    bounds = _boundaries(df.select(key.alias("key")), total, buckets)
     # Dataset and bucket as one struct: never null, so grouping, ranking and joining
     # all need the same partitioning and the rows are not moved again for the join.
     group = F.struct(
         *[F.col(ident(c)).alias(f"set{i}") for i, c in enumerate(dataset_by)],
-        _bucket_of(key, bounds, buckets).alias("bucket"),
+        _bucket(df, order_by, dataset_by, bucket_by, total, buckets).alias("bucket"),
     )
     placed = df.withColumn("_group", group)
     counts = placed.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows"))
@@ -84,25 +89,64 @@ def _to_int(index: Column) -> Column:
     return F.when(index <= INT_MAX, index.cast("int"))
 
 
-def _boundaries(keys: DataFrame, total: int, buckets: int) -> Column:
-    """Ordered bucket boundaries as one literal array.
+def _bucket(
+    df: DataFrame, order_by: Sequence[str], dataset_by: Sequence[str], bucket_by: Sequence[str], total: int, buckets: int
+) -> Column:
+    """The ordered bucket of a row, as a number, or as a pair of numbers if some values need a second level."""
+    key = _key([*dataset_by, *bucket_by])
+    bounds, heavy, share = _boundaries(df.select(key.alias("key")), total, buckets)
+    bucket = _bucket_of(key, bounds, buckets)
+    if not share or list(bucket_by) == list(order_by):
+        return bucket
 
-    The driver sees a bounded number of sampled keys. The literal makes the bucket
-    of a row the same in every evaluation, also when a lost task is run again.
+    def is_heavy(found: Column) -> Column:
+        return (F.get(heavy, found - 1) & F.get(bounds, found - 1).eqNullSafe(key)).eqNullSafe(True)
+
+    whole = _key([*dataset_by, *order_by])
+    inside = df.where(F.get(F.transform(F.array(bucket), is_heavy), F.lit(0)))
+    inner_buckets = int(buckets * share) + 1
+    inner, _, _ = _boundaries(inside.select(whole.alias("key")), max(1, int(total * share)), inner_buckets)
+
+    def both(found: Column) -> Column:
+        # A bucket starts with its heavy value; what else is in it comes behind.
+        part = F.when(is_heavy(found), _bucket_of(whole, inner, inner_buckets)).otherwise(F.lit(INT_MAX))
+        return F.struct(found.alias("outer"), part.alias("inner"))
+
+    return F.get(F.transform(F.array(bucket), both), F.lit(0))
+
+
+def _key(names: Sequence[str]) -> Column:
+    parts = [F.col(ident(k)) for k in names]
+    return parts[0] if len(parts) == 1 else F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+
+
+def _boundaries(keys: DataFrame, total: int, buckets: int) -> tuple[Column, Column, float]:
+    """Ordered bucket boundaries as one literal array, whether each is a heavy value, and the share of rows in such.
+
+    A heavy value holds more than half a bucket of the sample. The driver sees a bounded
+    number of sampled keys. The literal makes the bucket of a row the same in every
+    evaluation, also when a lost task is run again.
     """
     wanted = buckets * _SAMPLE_PER_BUCKET
     sample = keys.sample(fraction=min(1.0, wanted / total), seed=7)
-    rank = F.row_number().over(Window.orderBy("key"))
+    by_key = Window.orderBy("key")
     step = F.greatest(F.lit(1), (F.count(F.lit(1)).over(Window.partitionBy()) / buckets).cast("int"))
+    equal = F.count(F.lit(1)).over(by_key.rangeBetween(Window.currentRow, Window.currentRow))
     picked = (
-        sample.select("key", rank.alias("n"), step.alias("step"))
-        .filter(F.col("n") % F.col("step") == 0)
-        .select(F.struct("key").alias("key"))
-        .agg(F.to_json(F.sort_array(F.collect_set("key")), {"ignoreNullFields": "false"}).alias("bounds"))
+        sample.select("key", F.row_number().over(by_key).alias("n"), step.alias("step"), equal.alias("equal"))
+        .select("key", ((F.col("equal") > 1) & (2 * F.col("equal") > F.col("step"))).alias("heavy"),
+                (F.col("n") % F.col("step") == 0).alias("bound"))
+        .agg(
+            F.to_json(
+                F.sort_array(F.collect_set(F.when(F.col("bound"), F.struct("key", "heavy")))), _JSON
+            ).alias("bounds"),
+            F.coalesce(F.avg(F.col("heavy").cast("int")), F.lit(0.0)).alias("share"),
+        )
         .first()
     )
-    schema = f"array<struct<key: {keys.schema['key'].dataType.simpleString()}>>"
-    return F.sort_array(F.transform(F.from_json(F.lit(picked["bounds"]), schema), lambda b: b["key"]))
+    schema = f"array<struct<key: {keys.schema['key'].dataType.simpleString()}, heavy: boolean>>"
+    told = F.sort_array(F.from_json(F.lit(picked["bounds"]), schema, _JSON))
+    return F.transform(told, lambda b: b["key"]), F.transform(told, lambda b: b["heavy"]), picked["share"]
 
 
 def _bucket_of(key: Column, bounds: Column, buckets: int) -> Column:
@@ -114,7 +158,8 @@ def _bucket_of(key: Column, bounds: Column, buckets: int) -> Column:
     def search(k: Column) -> Column:
         def advance(found: Column, step: Column) -> Column:
             probe = found + step
-            hit = (probe <= size) & (F.get(bounds, probe - 1) <= k)
+            bound = F.get(bounds, probe - 1)
+            hit = (probe <= size) & F.coalesce(bound <= k, bound.isNull())  # a null key is the first of all
             return F.when(hit, probe).otherwise(found)
 
         return F.aggregate(steps, F.lit(0), advance)

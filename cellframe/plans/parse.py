@@ -44,19 +44,27 @@ def read_files(
     encoding: str = "UTF-8",
     prefixes: Sequence[tuple[str, str]] = FORMAT_PREFIXES,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    datasets_where: str | None = None,
 ) -> DataFrame:
     """Cells of all files below ``path``: files, folders, patterns. A file without a byte is an error row as well.
 
+    Files whose ``logical_path`` does not fulfil the SQL condition ``datasets_where`` are listed, but not opened.
+
     Up to ``whole_file_bytes`` a file is one row and one task's work; beyond that its byte ranges are spread over the
     cluster.
     """
     options = {"prefixes": prefixes}
-    parts = [unsupported_files(list_files(spark, path))]
+
+    def listed() -> DataFrame:
+        files = list_files(spark, path)
+        return files if datasets_where is None else files.select("logical_path", "length").where(datasets_where)
+
+    parts = [unsupported_files(listed())]
     for fmt, failed, whole, large, extra in (
         (XPT, XPT_FAILED, scan_xpt, scan_large_xpt, {"encoding": encoding}),
         (SAS7BDAT, SAS_FAILED, scan_sas7bdat, scan_large_sas7bdat, {}),
     ):
-        files = of_format(list_files(spark, path), fmt)
+        files = of_format(listed(), fmt)
         small = read_whole(files.filter(F.col("length") <= whole_file_bytes))
         parts.append(whole(small.where("read_error IS NULL"), spread=False, **options, **extra))
         parts.append(file_errors(small.where("read_error IS NOT NULL"), f"concat({quoted(failed)}, read_error)"))
@@ -68,9 +76,13 @@ def read_files(
 
 
 def parse_table(df: DataFrame, logical_path: str, **options) -> DataFrame:
-    """Cells of one table; like an empty file, an empty table gives one error row."""
+    """Cells of one table; like an empty file, an empty table gives one error row, if the filters of ``to_cells`` let it."""
     cells = to_cells(df, logical_path, **options)
     # One column and one row are enough to tell whether there are any.
     first = df.select(F.lit(logical_path).alias("logical_path")).limit(1)
     dataset = df.sparkSession.range(1).select(F.lit(logical_path).alias("logical_path"))
-    return cells.unionByName(empty_datasets(dataset, first))
+    errors = empty_datasets(dataset, first)
+    for condition in ("columns_where", "datasets_where"):
+        if options.get(condition) is not None:
+            errors = errors.where(options[condition])
+    return cells.unionByName(errors)

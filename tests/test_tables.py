@@ -160,6 +160,54 @@ def test_row_index_by_a_part_of_the_order(spark, keys):
         with_row_index(df, ["k", "id"], bucket_by=["id"])
 
 
+@pytest.mark.parametrize("dataset_by", [[], ["set"]])
+def test_a_heavy_value_is_cut_by_the_rest_of_the_order(spark, dataset_by):
+    """Nine tenths of the rows have one value; it is an instant with microseconds, others are null."""
+    heavy = F.expr("TIMESTAMP'2020-01-01 01:02:03.123456'")
+    df = spark.range(40000).select(
+        F.when(F.col("id") % 10 != 0, heavy)
+        .when(F.col("id") % 20 == 0, heavy + F.expr("make_dt_interval(0, 0, 0, CAST(id - 20000 AS DECIMAL(18, 6)))")).alias("k"),
+        F.when(F.col("id") % 7 != 0, F.rand(3)).alias("r"), "id", F.when(F.col("id") % 4 > 0, "a").alias("set"),
+    )
+    order = ["k", "r", "id"]
+    got = with_row_index(df, order, dataset_by, rows_per_bucket=1000, bucket_by=["k"])
+    window = Window.partitionBy(*dataset_by).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    wanted = df.withColumn("row_index", (F.row_number().over(window) - 1).cast("int"))
+    assert got.count() == 40000 and got.exceptAll(wanted).count() == 0
+    bucket = row_index._bucket(df, order, dataset_by, ["k"], 40000, 41)
+    sizes = [r["count"] for r in df.groupBy(bucket.alias("b"), *dataset_by).count().collect()]
+    assert len(sizes) > 30 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_without_heavy_values_only_the_leading_columns_are_read(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    key = row_index._bucket(df, df.columns, [], ["l_orderkey"], 6000, 10)
+    plan = df.groupBy(key.alias("b")).count()._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
+def test_filters_over_cells_reach_the_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").withColumn("logical_path", F.col("o_orderpriority"))
+    path = F.concat(F.lit("p/"), "o_orderpriority")
+    for columns, datasets in [
+        ("column_index IN (1, 3)", "logical_path LIKE '%LOW'"), ("data_type = 'String'", "logical_path = 'p/1-URGENT'"),
+        ("column_format IS NULL AND column_name = 'o_orderdate'", "logical_path = 'none'"), ("false", "true"),
+        ("column_label = 'x'", "true"),
+    ]:
+        options = {"order_by": ["o_orderkey"], "labels": {"o_custkey": "x"}, "rows_per_bucket": 200}
+        got = cf.to_cells(df, path, columns_where=columns, datasets_where=datasets, **options)
+        wanted = cf.to_cells(df, path, **options).where(columns).where(datasets)
+        assert cf.matches_contract(got)
+        assert got.count() == wanted.count() and got.exceptAll(wanted).count() == 0
+    plan = entry_point.queries()["cells_filtered"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    read = {c.partition(":")[0] for s in re.findall(r"ReadSchema: struct<([^>]*)>", text) for c in s.split(",") if c}
+    assert read == {"o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice"}
+    empty = cf.parse_table(df.limit(0), "t", order_by=["o_orderkey"], columns_where="column_name IS NULL")
+    assert [r.error_msg for r in empty.collect()] == ["Empty SAS dataset"]
+    assert cf.parse_table(df.limit(0), "t", order_by=["o_orderkey"], columns_where="column_name = 'o_orderkey'").isEmpty()
+
+
 def test_rows_past_32_bits_keep_their_cells(spark):
     index = F.col("id") + 2**31 - 2
     rows = spark.range(4).select(row_index._to_int(index).alias("n"), F.lit("v").alias("t"))
