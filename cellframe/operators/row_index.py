@@ -94,18 +94,19 @@ def _bucket(
 ) -> Column:
     """The ordered bucket of a row, as a number, or as a pair of numbers if some values need a second level."""
     key = _key([*dataset_by, *bucket_by])
-    bounds, heavy, share = _boundaries(df.select(key.alias("key")), total, buckets)
+    bounds, share = _boundaries(df.select(key.alias("key")), total, buckets)
     bucket = _bucket_of(key, bounds, buckets)
     if not share or list(bucket_by) == list(order_by):
         return bucket
 
     def is_heavy(found: Column) -> Column:
-        return (F.get(heavy, found - 1) & F.get(bounds, found - 1).eqNullSafe(key)).eqNullSafe(True)
+        bound = F.get(bounds, found - 1)
+        return (bound["heavy"] & bound["key"].eqNullSafe(key)).eqNullSafe(True)
 
     whole = _key([*dataset_by, *order_by])
     inside = df.where(F.get(F.transform(F.array(bucket), is_heavy), F.lit(0)))
     inner_buckets = int(buckets * share) + 1
-    inner, _, _ = _boundaries(inside.select(whole.alias("key")), max(1, int(total * share)), inner_buckets)
+    inner, _ = _boundaries(inside.select(whole.alias("key")), max(1, int(total * share)), inner_buckets)
 
     def both(found: Column) -> Column:
         # A bucket starts with its heavy value; what else is in it comes behind.
@@ -120,8 +121,8 @@ def _key(names: Sequence[str]) -> Column:
     return parts[0] if len(parts) == 1 else F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
 
 
-def _boundaries(keys: DataFrame, total: int, buckets: int) -> tuple[Column, Column, float]:
-    """Ordered bucket boundaries as one literal array, whether each is a heavy value, and the share of rows in such.
+def _boundaries(keys: DataFrame, total: int, buckets: int) -> tuple[Column, float]:
+    """Ordered bucket boundaries (key, heavy: whether it is a heavy value) as one literal array, and the share of rows in such.
 
     A heavy value holds more than half a bucket of the sample. The driver sees a bounded
     number of sampled keys. The literal makes the bucket of a row the same in every
@@ -145,8 +146,8 @@ def _boundaries(keys: DataFrame, total: int, buckets: int) -> tuple[Column, Colu
         .first()
     )
     schema = f"array<struct<key: {keys.schema['key'].dataType.simpleString()}, heavy: boolean>>"
-    told = F.sort_array(F.from_json(F.lit(picked["bounds"]), schema, _JSON))
-    return F.transform(told, lambda b: b["key"]), F.transform(told, lambda b: b["heavy"]), picked["share"]
+    # Folded once for all rows. Higher-order functions over it would not be, but run for each step of each row's search.
+    return F.sort_array(F.from_json(F.lit(picked["bounds"]), schema, _JSON)), picked["share"]
 
 
 def _bucket_of(key: Column, bounds: Column, buckets: int) -> Column:
@@ -158,7 +159,7 @@ def _bucket_of(key: Column, bounds: Column, buckets: int) -> Column:
     def search(k: Column) -> Column:
         def advance(found: Column, step: Column) -> Column:
             probe = found + step
-            bound = F.get(bounds, probe - 1)
+            bound = F.get(bounds, probe - 1)["key"]
             hit = (probe <= size) & F.coalesce(bound <= k, bound.isNull())  # a null key is the first of all
             return F.when(hit, probe).otherwise(found)
 

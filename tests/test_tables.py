@@ -179,6 +179,17 @@ def test_a_heavy_value_is_cut_by_the_rest_of_the_order(spark, dataset_by):
     assert len(sizes) > 30 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
 
 
+@pytest.mark.parametrize("heavy", [False, True])
+def test_the_search_of_a_bucket_never_walks_over_all_boundaries(spark, heavy):
+    """A row's work may grow with the logarithm of the number of boundaries alone: these are folded, and only indexed."""
+    df = spark.range(20000).select((F.when(F.col("id") % 10 != 0, 0) if heavy else F.col("id")).alias("k"), "id")
+    bucket = row_index._bucket(df, ["k", "id"], [], ["k"], 20000, 200)
+    plan = df.select(bucket.alias("b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "sort_array" not in plan
+    assert "transform([[" not in plan  # the literal of boundaries inside a higher-order function
+    assert df.select(bucket.alias("b")).distinct().count() > 100
+
+
 def test_without_heavy_values_only_the_leading_columns_are_read(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     key = row_index._bucket(df, df.columns, [], ["l_orderkey"], 6000, 10)
