@@ -215,22 +215,24 @@ def scan_sas7bdat(
         "logical_path", "content", "l.*"
     )
     step = _range_size(range_bytes)
+    # Files that cannot be read go along as one range without bytes: filters on the layout would make it anew for each side.
     ranges = bound(
-        "content",
+        "if(file_error IS NULL, content, NULL)",
         "b",
-        "transform(sequence(0, greatest(size(range_rows), 1) - 1), i -> named_struct('range', CAST(i AS BIGINT), "
+        "transform(sequence(0, if(file_error IS NULL, greatest(size(range_rows), 1), 1) - 1), i -> "
+        "named_struct('range', CAST(i AS BIGINT), "
         "'before', aggregate(slice(range_rows, 1, i), 0L, (n, r) -> n + r), "
         "'counted', coalesce(get(range_rows, i), 0L), "
         f"'body', {slice_bytes('b', f'prefix_end + i * {step}', step)}))",
     )
-    fine = laid.filter("file_error IS NULL").selectExpr(
-        "logical_path", "columns", "prefix_rows", "row_count",
-        f"{slice_bytes('content', 0, 'prefix_end')} AS prefix", "CAST(NULL AS STRING) AS body_error",
-        f"inline({ranges})",
+    placed = laid.selectExpr(
+        "logical_path", "file_error", "columns", "prefix_rows", "row_count",
+        f"if(file_error IS NULL, {slice_bytes('content', 0, 'prefix_end')}, NULL) AS prefix",
+        "CAST(NULL AS STRING) AS body_error", f"inline({ranges})",
     )
     if spread:
-        fine = fine.repartition("logical_path", "range")
-    return _cells_of(fine, laid.filter("file_error IS NOT NULL"), prefixes)
+        placed = placed.repartition("logical_path", "range")
+    return _cells_of(placed, prefixes)
 
 
 def scan_large_sas7bdat(
@@ -282,10 +284,12 @@ def scan_large_sas7bdat(
         "* EXCEPT (offset, size, range_error)", "range_error AS first_error", "0L AS offset", "prefix_end AS size"
     )
     whole = read_ranges(bodies, "prefix").selectExpr("*", "coalesce(first_error, range_error) AS body_error")
-    return _cells_of(whole, laid.filter("file_error IS NOT NULL"), prefixes)
+    bad = laid.filter("file_error IS NOT NULL").select("logical_path", "file_error")
+    return _cells_of(whole.unionByName(bad, allowMissingColumns=True), prefixes)
 
 
-def _cells_of(ranges: DataFrame, bad: DataFrame, prefixes: Prefixes) -> DataFrame:
+def _cells_of(ranges: DataFrame, prefixes: Prefixes) -> DataFrame:
+    """Cells of ranges of pages, and an error row for each row with a ``file_error``."""
     columns = (
         "transform(columns, p -> named_struct('index', p.index, 'name', p.name, "
         f"'label', {none_if_blank('p.label')}, 'format', {format_text('p.format_name', 'p.width', 'p.decimals')}, "
@@ -293,18 +297,14 @@ def _cells_of(ranges: DataFrame, bad: DataFrame, prefixes: Prefixes) -> DataFram
     )
     # The data page at the end of the metadata belongs to the first range.
     work = ranges.selectExpr(
-        "logical_path", f"{columns} AS columns", "prefix", "body", "row_count", "body_error",
+        "logical_path", "file_error", f"{columns} AS columns", "prefix", "body", "row_count", "body_error",
         "CASE WHEN range = 0 THEN 0L ELSE prefix_rows END AS skip",
         "CASE WHEN range = 0 THEN 0L ELSE prefix_rows + before END AS first_row",
         "CASE WHEN range = 0 THEN prefix_rows + counted ELSE counted END AS rows",
     )
     blocks = work.mapInArrow(_decode_ranges, _BLOCK)
-    errors = bad.selectExpr(
-        "logical_path", "file_error AS error",
-        *[f"CAST(NULL AS {_BLOCK[n].dataType.simpleString()}) AS {n}" for n in ("c", "first_row", "numbers", "texts")],
-    )
     logical = f"CASE WHEN c.text THEN {quoted(STRING)} ELSE {type_from_format('c.format', quoted(DOUBLE), prefixes)} END"
-    typed = blocks.unionByName(errors).selectExpr(
+    typed = blocks.selectExpr(
         "logical_path", "error", "first_row",
         "CASE WHEN c IS NOT NULL THEN named_struct('index', c.index, 'name', c.name, 'label', c.label, "
         f"'format', c.format, 'type', {logical}, 'time_of_day', {is_time_of_day('c.format')}) END AS c",
@@ -345,6 +345,9 @@ def _decode_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     for batch in batches:
         for r in batch.to_pylist():
+            if r["file_error"] is not None:
+                yield emit(r["logical_path"], r["file_error"], None, None, None)
+                continue
             done, step = 0, max(1, BLOCK_CELLS // max(1, len(r["columns"])))
             try:
                 if r["body_error"]:

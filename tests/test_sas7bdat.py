@@ -5,10 +5,11 @@ from datetime import date
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import cellframe as cf
 from cellframe.sources import sas7bdat
-from fixtures.sas7bdat import write_sas7bdat
+from fixtures.sas7bdat import sas7bdat_files, write_sas7bdat
 from fixtures.transport import Field
 
 FIELDS = [
@@ -119,6 +120,21 @@ def test_large_files_are_read_by_ranges(spark, files, contents, tmp_path):
     assert listed(pieces) == listed(sas7bdat.scan_sas7bdat(files))
 
 
+def test_each_file_is_made_and_laid_out_once(spark):
+    """Files of no interest to a branch are not made for it; files that cannot be read need no second look at all of them."""
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS key", "id AS n")
+    path = F.concat(F.lit("f"), F.floor(F.col("n") / 100).cast("string"), F.lit(".sas7bdat"))
+    written = sas7bdat_files(df, path, ["key"], FIELDS[:1])
+    plan = cf.parse_files(written)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("MapInArrow") == 1
+    lines = plan.splitlines()
+    made = [n for n, line in enumerate(lines) if "write(" in line]
+    assert 1 <= len(made) <= 2 and "FlatMapGroupsInPandas" not in plan
+    assert all("Filter" in "".join(lines[n + 1 : n + 3]) for n in made)  # for files of one format, told by their paths
+    cells = cf.parse_files(written)
+    assert cells.count() == 1000 and cells.where("logical_path = 'f3.sas7bdat' AND row_index = 7").first().value_double == 307.0
+
+
 @pytest.mark.parametrize("options", KINDS.values(), ids=KINDS)
 def test_row_counts_of_pages(options):
     content = write_sas7bdat(FIELDS, rows(700), **options)
