@@ -94,25 +94,33 @@ def probe_windows(k: int) -> list[Window]:
     return [(k, *window) for window in windows(k) if window[1:] != (0, 0)]
 
 
-def _by_class(steps: Classes, windows_of: Callable[[int], list[Window]], earlier: bool) -> str:
-    """SQL: the windows of the classes that ``size`` falls into; with ``earlier`` from k before a class starts."""
+def _by_size(steps: Classes, *kinds: tuple[Callable[[int], list[Window]], bool]) -> str:
+    """SQL: the windows of the classes that ``size`` falls into, for each (windows of k, whether from k before a class starts).
+
+    One constant list for each range of sizes, null outside: nothing is put together for a line.
+    """
+    ends = [start for start, _ in steps[1:]]
+    bounds = sorted({bound for start, k in steps for bound in (start - k, start)})
     found = []
-    for (start, k), end in zip(steps, [*(start for start, _ in steps[1:]), None]):
+    for low, high in reversed([*zip(bounds, [*bounds[1:], None])]):
         rows = ", ".join(
-            f"named_struct('k', {w[0]}, 'segment', {w[1]}, 'shorter', {w[2]}, 'shift', {w[3]})" for w in windows_of(k)
+            f"named_struct('k', {w[0]}, 'segment', {w[1]}, 'shorter', {w[2]}, 'shift', {w[3]})"
+            for windows_of, earlier in kinds
+            for (start, k), end in zip(steps, [*ends, None])
+            if low >= (start - k if earlier else start) and (end is None or low < end)
+            for w in windows_of(k)
         )
-        fits = [f"size >= {start - k if earlier else start}"] + ([f"size < {end}"] if end else [])
-        found.append(f"CASE WHEN {' AND '.join(fits)} THEN array({rows}) ELSE filter(array({rows}), w -> false) END")
-    return f"concat({', '.join(found)})"
+        found += [f"WHEN size >= {low} THEN array({rows})"] if rows else []
+    return f"CASE {' '.join(found)} END"
 
 
-def keys(lines: DataFrame, *windows: str) -> DataFrame:
+def keys(lines: DataFrame, windows: str) -> DataFrame:
     """(id, key): the key of each window of each line, the substring that lies like a segment of a line ``shorter``.
 
     Characters of one width are found without walking to them; behind a generator they are made once for a line.
     """
     sized = lines.selectExpr("id", "inline(array(named_struct('size', length(line), 'units', encode(line, 'UTF-32'))))")
-    placed = sized.selectExpr("id", "size", "units", f"inline(concat({', '.join(windows)}))")
+    placed = sized.selectExpr("id", "size", "units", f"inline({windows})")
     start, end = (f"CAST((segment + {i}) * (size - shorter) div (k + 1) AS INT)" for i in (0, 1))
     units = f"substring(units, 4 * ({start} + shift) + 1, 4 * ({end} - {start}))"
     return placed.selectExpr("id", f"xxhash64(k, segment, size - shorter, {units}) AS key")
@@ -125,12 +133,12 @@ def buckets(known: DataFrame, steps: Classes, broadcast_rows: int) -> DataFrame:
     """(key, id) of all index keys of the lines of ``known`` (id, line), and of the probes that may meet one."""
     n = known.count() * (steps[-1][1] + 1)  # index keys, at most but for those around the bounds of classes
     blocks = min(BLOOM_BLOCKS, 1 << max(6, (n // 8).bit_length()))
-    as_index, as_probe = _by_class(steps, index_windows, True), _by_class(steps, probe_windows, False)
+    as_index, as_probe = (index_windows, True), (probe_windows, False)
     bloom = keep(
-        keys(known, as_index).selectExpr(f"pmod(key, {blocks}) AS block", f"{_BITS} AS bits").groupBy("block")
+        keys(known, _by_size(steps, as_index)).selectExpr(f"pmod(key, {blocks}) AS block", f"{_BITS} AS bits").groupBy("block")
         .agg(F.expr("bit_or(bits)").alias("word"))
     )
-    probes = keys(known, as_index, as_probe)
+    probes = keys(known, _by_size(steps, as_index, as_probe))
     met = F.expr(f"block = pmod(key, {blocks}) AND (word & {_BITS}) = {_BITS}")
     return keep(probes.join(small(bloom, broadcast_rows), met, "left_semi").select("key", "id"))
 

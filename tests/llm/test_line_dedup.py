@@ -171,3 +171,24 @@ def test_windows_are_as_small_as_they_can_be():
     for k in range(1, 6):
         for shorter in range(k + 1):
             assert sum(d == shorter for _, d, _ in line_dedup.windows(k)) == (k * k - shorter * shorter) // 2 + k + 1
+
+
+@pytest.mark.parametrize("steps", [line_dedup.CLASSES, ((12, 2),)])
+def test_windows_of_a_size_are_one_constant_list(spark, steps):
+    """Those of every class that the size falls into, and nothing is evaluated for each line to find them."""
+    as_index, as_probe = (line_dedup.index_windows, True), (line_dedup.probe_windows, False)
+    windows = line_dedup._by_size(steps, as_index, as_probe)
+    sizes = sorted({max(start + d, 0) for start, _ in steps for d in range(-6, 7)} | {5_000})
+    rows = spark.createDataFrame([(n,) for n in sizes], "size int").selectExpr("size", f"inline_outer({windows})")
+    got = defaultdict(list)
+    for r in rows.where("k IS NOT NULL").collect():
+        got[r.size].append((r.k, r.segment, r.shorter, r.shift))
+    for n in sizes:
+        want = []
+        for (start, k), end in zip(steps, [*(start for start, _ in steps[1:]), 10**9]):
+            want += line_dedup.index_windows(k) if start - k <= n < end else []
+            want += line_dedup.probe_windows(k) if start <= n < end else []
+        assert sorted(got[n]) == sorted(want)
+    lines = spark.createDataFrame([(1, "x" * 100)], "id long, line string")
+    plan = line_dedup.keys(lines, windows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "concat" not in plan
