@@ -13,7 +13,8 @@ Most probes meet nothing. A Bloom filter of the index keys, one 64-bit block and
 below a counted size it is broadcast, and only probes that it lets pass are kept and shuffled. It only ever spares work.
 
 What meets is compared by length and by counts of letters, which are necessary conditions, then by a banded bit-parallel
-edit distance, after the common starts and ends are cut off.
+edit distance, after the common starts and ends are cut off. Where near copies of a line share a bucket without being alike,
+counts before and after cuts tell them apart, and a pair is compared in few of the buckets that it shares (``narrow``).
 
 Alike lines form groups; the first line of a group (smallest doc_id, then text hash, then place) stays and the others
 are removed from their documents, exact repeats included. Lines shorter than ``MIN_CHARS`` always stay.
@@ -30,9 +31,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as Over, functions as F
 
-from cellframe.llm.linking import link
+from cellframe.llm.linking import Narrow, Near, Sides, link
 from cellframe.llm.shared import BROADCAST_ROWS, keep, small, table
 
 MIN_CHARS = 30
@@ -42,6 +43,12 @@ CLASSES = ((MIN_CHARS, 1), (80, 2), (160, 3), (320, 4))
 BLOOM_BLOCKS = 1 << 20
 #: Their counts are compared before lines are aligned; an edit changes the sum of differences by at most two.
 LETTERS = "etaoinshrdlucmfwygpbvk.,"
+#: A line is cut in two at the ends of all but the last of so many even parts, see ``narrow``.
+PARTS = 16
+#: Members of a bucket up to which they are compared without cuts.
+FEW = 16
+#: Letters whose counts before and after a cut are put into one word, 3 bits each; all other characters are one more class.
+CUT_LETTERS = LETTERS[:20]
 
 
 def lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -114,6 +121,10 @@ def _by_size(steps: Classes, *kinds: tuple[Callable[[int], list[Window]], bool])
     return f"CASE {' '.join(found)} END"
 
 
+#: The bit of a key that says whether its segment is the first of its line.
+_OF_FIRST = "shiftleft(1L, 62)"
+
+
 def keys(lines: DataFrame, windows: str) -> DataFrame:
     """(id, key): the key of each window of each line, the substring that lies like a segment of a line ``shorter``.
 
@@ -123,7 +134,8 @@ def keys(lines: DataFrame, windows: str) -> DataFrame:
     placed = sized.selectExpr("id", "size", "units", f"inline({windows})")
     start, end = (f"CAST((segment + {i}) * (size - shorter) div (k + 1) AS INT)" for i in (0, 1))
     units = f"substring(units, 4 * ({start} + shift) + 1, 4 * ({end} - {start}))"
-    return placed.selectExpr("id", f"xxhash64(k, segment, size - shorter, {units}) AS key")
+    key = f"xxhash64(k, segment, size - shorter, {units})"
+    return placed.selectExpr("id", f"{key} & ~{_OF_FIRST} | if(segment = 0, {_OF_FIRST}, 0L) AS key")
 
 
 _BITS = "(shiftleft(1L, CAST(pmod(shiftright(key, 32), 64) AS INT)) | shiftleft(1L, CAST(pmod(shiftright(key, 40), 64) AS INT)))"
@@ -207,6 +219,83 @@ def letter_counts() -> list[Column]:
     return [F.expr(f"length(line) - length(replace(line, '{c}', ''))").alias(f"c{i}") for i, c in enumerate(LETTERS)]
 
 
+def cut_words(texts: DataFrame) -> DataFrame:
+    """(id, step, words): for a line (id, step, line) the letter counts before and after each ``step`` characters, a word each.
+
+    Every class of characters has 3 bits, which stand for its count modulo 6 such that one more changes one bit. So two
+    words differ in no more bits than the counts that they stand for differ by in all.
+    """
+    last = PARTS - 1
+    part = f"substring(line, p * step + 1, if(p < {last}, step, length(line)))"
+    parts = texts.selectExpr("id", "step", f"posexplode(transform(sequence(0, {last}), p -> {part})) AS (part, text)")
+    letters = [F.expr(f"length(text) - length(replace(text, '{c}', ''))") for c in CUT_LETTERS]
+    counts = {f"c{i}": c for i, c in enumerate([*letters, F.length("text")])}
+    counted = parts.select("id", "step", "part", *[c.alias(name) for name, c in counts.items()])
+    line = Over.partitionBy("id", "step")
+    before = line.orderBy("part").rowsBetween(Over.unboundedPreceding, Over.currentRow)
+    summed = counted.select(
+        "id", "step", "part", *[F.sum(c).over(before).alias(f"l{c}") for c in counts],
+        *[(F.sum(c).over(line) - F.sum(c).over(before)).alias(f"r{c}") for c in counts],
+    ).where(f"part < {last}")
+
+    def word(side: str) -> str:
+        of = [f"{side}{c}" for c in counts]
+        of[-1] = f"({of[-1]} - {' - '.join(of[:-1])})"
+        return " | ".join(f"shiftleft(shiftright(shiftleft(7L, CAST({c} % 6 AS INT)), 3) & 7L, {3 * i})" for i, c in enumerate(of))
+
+    words = summed.selectExpr("id", "step", "part", f"{word('l')} AS l", f"{word('r')} AS r")
+    return words.groupBy("id", "step").agg(
+        F.expr("flatten(transform(sort_array(collect_list(struct(part, l, r))), x -> array(x.l, x.r))) AS words")
+    )
+
+
+def narrow(near: Near, steps: Classes, broadcast_rows: int, few: int = FEW) -> Narrow:
+    """What lines of a bucket are compared by once the hubs have linked what they can; it holds for every alike pair.
+
+    * The bucket is that of the shorter line's own segment, so this line is one of the shortest of the bucket.
+    * In a bucket of more than ``few`` members: if the lines begin with the same segment, it is the bucket of this one, as no
+      alignment is better than one that keeps a common start.
+    * There too: cut both lines at one place. With e edits before it, that move the place by d characters, letter counts before
+      it differ by at most 2e in sum. With f edits after it, counts there differ by at most 2f + |d| - |s - d| if the lines'
+      sizes differ by s. Both together are no more than 2k + |s|, at every cut. Lines that part from a third one at far places
+      fail there, although all their letters together may be the same.
+    """
+    last = PARTS - 1
+
+    def sides(rest: DataFrame, described: DataFrame) -> list[Sides]:
+        bucket = Over.partitionBy("key")
+        rest = keep(rest.select(
+            "key", "id", "label", F.col("of").dropFields("line").alias("of"), F.min("of.size").over(bucket).alias("least"),
+            F.count("id").over(bucket).alias("n"),
+        ))
+        small_ones = rest.where(f"n <= {few}")
+        large = rest.where(f"n > {few}").selectExpr("key", "id", "label", "of.size", "least", f"CAST(least div {PARTS} AS INT) AS step")
+        cut = small(keep(large.select("id", "step").distinct()), broadcast_rows)
+        texts = described.select("id", F.col("of.line").alias("line")).join(cut, "id")
+        # at least as long as the first segment of a line of any size that has this step
+        begin = f"left(line, CAST(({PARTS} * step + {last}) div ({allowed_sql(f'({PARTS} * step)', steps)} + 1) AS INT)) AS begin"
+        told = cut_words(texts).join(texts.selectExpr("id", "step", begin), ["id", "step"])
+        of = F.struct("size", "begin", "words").alias("of")
+        large = keep(large.join(told, ["id", "step"]).select("key", "id", "label", "least", of))
+        return [
+            (small_ones.where("of.size = least"), small_ones, lambda x, y: ordered(x, y) & near(x, y)),
+            (large.where("of.size = least"), large, lambda x, y: ordered(x, y) & parted(x, y)),
+        ]
+
+    def ordered(x: str, y: str) -> Column:
+        return F.expr(f"({y}.size > {x}.size OR a < b)")
+
+    def parted(x: str, y: str) -> Column:
+        k, apart = allowed_sql(f"{y}.size", steps), f"({y}.size - {x}.size)"
+        cuts = " AND ".join(
+            f"bit_count({x}.words[{i}] ^ {y}.words[{i}]) + bit_count({x}.words[{i + 1}] ^ {y}.words[{i + 1}]) <= 2 * {k} + {apart}"
+            for i in range(0, 2 * last, 2)
+        )
+        return F.expr(f"{apart} <= {k} AND (k_a & {_OF_FIRST} <> 0 OR {x}.begin <> {y}.begin) AND {cuts}")
+
+    return sides
+
+
 def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN_CHARS,
              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, text_hash, place, line_hash, first_doc_id) of every line that is alike to an earlier one.
@@ -236,7 +325,7 @@ def removals(docs: DataFrame, max_edits: int | None = None, min_chars: int = MIN
         aligned = " ".join(f"WHEN {n} THEN {alike('of_a.line', 'of_b.line', n)}" for _, n in steps)
         return pairs.where(F.expr(f"CASE {k} {aligned} END"))
 
-    labels = link(members, describe, near, verify)
+    labels = link(members, describe, near, verify, narrow(near, steps, broadcast_rows))
     of = known.select("id", "second", "first", "n")
     linked = keep(labels.join(of, "id"))
     heads = linked.groupBy("label").agg(F.min("first").alias("head"))

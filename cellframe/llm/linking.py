@@ -17,6 +17,8 @@ from cellframe.llm.shared import keep
 
 Verify = Callable[[DataFrame], DataFrame]
 Near = Callable[[str, str], Column]
+Sides = tuple[DataFrame, DataFrame, Near]
+Narrow = Callable[[DataFrame, DataFrame], list[Sides]]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -53,12 +55,18 @@ def components(edges: DataFrame) -> DataFrame:
     return keep(labels)
 
 
-def link(members: DataFrame, describe: Callable[[DataFrame], DataFrame], near: Near, verify: Verify) -> DataFrame:
+def link(members: DataFrame, describe: Callable[[DataFrame], DataFrame], near: Near, verify: Verify,
+         narrow: Narrow | None = None) -> DataFrame:
     """(id, label) of all ids that have a verified link.
 
     ``members`` (key, id) are the buckets, without repeated rows. ``describe`` gets (id) and returns (id, …), what
     ``near(x, y)`` and ``verify`` compare: ``near`` gets the names of two structs of these columns and must hold for
     every pair that ``verify`` accepts. ``verify`` takes (a, b, of_a, of_b) with a < b and returns rows of (a, b).
+
+    ``narrow`` gets the members that are left for the second step, (key, id, label, of), and all descriptions, (id, of). It says
+    what to compare there: pairs of tables (key, id, label, of), with an ``of`` of their own, and what a member a of the first and
+    one b of the second must fulfil. For every pair that ``verify`` accepts this must hold in one bucket at least, in one order
+    of the two. Without ``narrow`` all members of a bucket are compared by ``near``.
     """
     shared = members.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     multi = keep(members.join(shared.select("key"), "key"))
@@ -87,12 +95,18 @@ def link(members: DataFrame, describe: Callable[[DataFrame], DataFrame], near: N
     labelled = multi.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     rest = labelled.join(mixed.select("key"), "key").join(described, "id")
-    one, two = (
-        rest.select(F.col("key").alias(f"k_{end}"), F.col("id").alias(end), F.col("label").alias(f"l_{end}"),
-                    F.col("of").alias(f"of_{end}"))
-        for end in ("a", "b")
-    )
-    open_pair = F.expr("k_a = k_b AND a < b AND l_a <> l_b") & near("of_a", "of_b")
-    late = one.join(two, open_pair).select("a", "b").distinct()
+    everything: list[Sides] = [(rest, rest, lambda x, y: F.expr("a < b") & near(x, y))]
+    late = None
+    for *sides, holds in narrow(rest, described) if narrow else everything:
+        one, two = (
+            side.select(F.col("key").alias(f"k_{end}"), F.col("id").alias(end), F.col("label").alias(f"l_{end}"),
+                        F.col("of").alias(f"of_{end}"))
+            for side, end in zip(sides, ("a", "b"))
+        )
+        found = one.join(two, F.expr("k_a = k_b AND l_a <> l_b") & holds("of_a", "of_b")).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+        )
+        late = found if late is None else late.unionByName(found)
+    late = late.distinct()
     more = verified(late.join(pairs, ["a", "b"], "left_anti"))
     return labels if more.isEmpty() else components(edges.unionByName(more))

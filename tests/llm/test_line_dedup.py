@@ -192,3 +192,58 @@ def test_windows_of_a_size_are_one_constant_list(spark, steps):
     lines = spark.createDataFrame([(1, "x" * 100)], "id long, line string")
     plan = line_dedup.keys(lines, windows)._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan and "concat" not in plan
+
+
+def test_near_copies_apart_are_not_paired(spark, monkeypatch):
+    """Lines that part from one line at different places, beyond the allowed edits and with equal letters in all."""
+    random.seed(5)
+    words = ["".join(random.sample("abcdefgh", 8)) for _ in range(40)]
+    docs = [(99, " ".join(words))]
+    for i in range(40):
+        other = "".join(random.sample("stuvmnop", 8))
+        docs.append((100 + i, " ".join([*words[:i], other, *words[i + 1:]])))
+        if i % 8 == 0:  # a copy of it, one letter apart, that the base does not link
+            docs.append((200 + i, " ".join([*words[:i], other[:3] + "z" + other[4:], *words[i + 1:]])))
+    verified, link = [], line_dedup.link
+
+    def counted(members, describe, near, verify, *more):
+        def counting(pairs):
+            verified.append(pairs.select("a", "b").distinct().count())
+            return verify(pairs)
+
+        return link(members, describe, near, counting, *more)
+
+    monkeypatch.setattr(line_dedup, "link", counted)
+    got = {r.doc_id for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string")).where("n_removed > 0").collect()}
+    assert got == {200 + i for i in range(0, 40, 8)}
+    assert verified[1] < 150  # of 1,035
+
+
+@pytest.mark.parametrize("steps", [line_dedup.CLASSES, ((12, 2),)])
+def test_no_alike_pair_is_narrowed_away(spark, steps):
+    """Pairs of lines as far apart as is allowed, of like and unlike sizes, around every bound of lengths."""
+    random.seed(17)
+    lines = []
+    for n in (12, 15, 16, 17, 31, 47, 79, 80, 81, 100, 159, 160, 162, 318, 320, 323, 700):
+        for _ in range(4 if n >= steps[0][0] else 0):
+            base = "".join(random.choices("abcdetx,ç ", k=n))
+            k = line_dedup.allowed(n, steps)
+            copies = [changed(base, random.choice([1, k, k + 1]), "abcdetx,ç ") for _ in range(5)]
+            lines += [x for x in {base, *copies, base[1:] + "a", "b" + base[:-1]} if len(x) >= steps[0][0]]
+    known = spark.createDataFrame(list(enumerate(lines)), "id long, line string").cache()
+    windows = line_dedup._by_size(steps, (line_dedup.index_windows, True), (line_dedup.probe_windows, False))
+    described = known.select("id", F.struct("line", F.length("line").alias("size")).alias("of"))
+    rest = line_dedup.keys(known, windows).join(described, "id").withColumn("label", F.col("id"))
+    for broadcast_rows, few in ((1_000_000, 0), (0, 8)):
+        got = set()
+        for one, two, holds in line_dedup.narrow(lambda x, y: F.lit(True), steps, broadcast_rows, few)(rest, described):
+            one, two = (
+                side.select(F.col("key").alias(f"k_{end}"), F.col("id").alias(end), F.col("of").alias(f"of_{end}"))
+                for side, end in ((one, "a"), (two, "b"))
+            )
+            met = one.join(two, F.expr("k_a = k_b AND a <> b") & holds("of_a", "of_b"))
+            got |= {(min(r.a, r.b), max(r.a, r.b)) for r in met.select("a", "b").distinct().collect()}
+        k = line_dedup.allowed_sql("greatest(length(x.line), length(y.line))", steps)
+        alike = known.alias("x").join(known.alias("y"), F.expr(f"x.id < y.id AND levenshtein(x.line, y.line) <= {k}"))
+        want = {(r.a, r.b) for r in alike.selectExpr("x.id AS a", "y.id AS b").collect()}
+        assert len(want) > 100 and want <= got
