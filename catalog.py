@@ -684,9 +684,19 @@ _BASE_NAME = "substring_index(logical_path, '/', -1)"
 
 @query(f"SELECT name, true AS whole, 'PAR1' AS magic FROM ({_TABLE_FILES})")
 def scan_files(spark, sf_dir):
-    """The files of the tables themselves, with their contents."""
-    return files.scan_files(spark, sf_dir, ".parquet").selectExpr(
-        f"{_BASE_NAME} AS name", "length(content) = length AS whole", "CAST(substr(content, 1, 4) AS STRING) AS magic"
+    """The files of the tables themselves, with their contents, in ranges: a table may be larger than a row can be."""
+    contents = files.scan_files(spark, sf_dir, ".parquet", range_bytes=files.RANGE_BYTES)
+    # Dealt out before they are put together, so that only these values are, and no buffer of a sort holds contents.
+    ranges = contents.selectExpr(
+        "logical_path", "length", "length(content) AS size",
+        "CASE WHEN offset = 0 THEN CAST(substr(content, 1, 4) AS STRING) END AS magic",
+    ).repartition("logical_path")
+    found = ranges.groupBy("logical_path", "length").agg(
+        F.expr("bool_and(size IS NOT NULL) AS is_read"), F.sum("size").alias("size"), F.max("magic").alias("magic")
+    )
+    return found.selectExpr(
+        f"{_BASE_NAME} AS name", "CASE WHEN is_read THEN size = length END AS whole",
+        "CASE WHEN is_read THEN magic END AS magic",
     )
 
 

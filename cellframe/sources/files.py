@@ -22,6 +22,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 _ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "file": "file"}
 _WILD = re.compile(r"[*?\[]")
 
+#: Contents that are read in ranges come in rows of so many bytes: the tasks of a machine hold a few of them each.
+RANGE_BYTES = 4 << 20
+
 
 def open_store(path: str):
     """The file system of a path as Spark writes it, and the path inside it."""
@@ -150,14 +153,21 @@ def list_files(spark: SparkSession, path: str | list[str], ending: str | None =
 
 
 def scan_files(
-    spark: SparkSession, path: str | list[str], ending: str | None = None, max_bytes: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    ending: str | None = None,
+    max_bytes: int | None = None,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """Path, length and whole content of each file, not opening those longer than ``max_bytes``.
 
-    A file that cannot be read has null content and says why in ``read_error``.
+    A file that cannot be read has null content and says why in ``read_error``. With ``range_bytes``, a file's content
+    comes in rows of so many bytes, see ``read_in_ranges``: for files that may be larger than a task's memory.
     """
     files = list_files(spark, path, ending)
-    return read_whole(files if max_bytes is None else files.where(F.col("length") <= max_bytes))
+    if max_bytes is not None:
+        files = files.where(F.col("length") <= max_bytes)
+    return read_whole(files) if range_bytes is None else read_in_ranges(files, range_bytes)
 
 
 def read_whole(listing: DataFrame) -> DataFrame:
@@ -166,6 +176,21 @@ def read_whole(listing: DataFrame) -> DataFrame:
     return read_ranges(placed, "content").selectExpr("logical_path", "length", "content", "range_error AS read_error")
 
 
+def read_in_ranges(listing: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """The whole contents of listed files, a row for each ``range_bytes`` of one, with its ``offset``.
+
+    A file without a byte is one row. A range that cannot be read has null content, as a file has in ``read_whole``.
+    """
+    placed = listing.selectExpr(
+        "logical_path", "length", f"explode(sequence(0L, greatest(length - 1, 0L), {range_bytes}L)) AS offset"
+    ).selectExpr("*", f"CASE WHEN length - offset > {range_bytes} THEN {range_bytes}L ELSE length - offset END AS size")
+    # By number: adaptive execution goes by the size of these small rows, and would have one task read all files.
+    tasks = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return read_ranges(placed.repartition(tasks, "logical_path", "offset"), "content").selectExpr(
+        "logical_path", "length", "offset", "content", "range_error AS read_error"
+    )
+
+
 def read_ranges(ranges: DataFrame, into: str = "bytes") -> DataFrame:
     """Add the bytes at (``logical_path``, ``offset``, ``size``) of each row.
 
